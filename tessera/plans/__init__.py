@@ -1,6 +1,6 @@
 """Named queries over the test tables, each with its DuckDB oracle."""
 
-from . import relational_plans  # noqa: F401  (registration side effects)
+from . import column_plans, relational_plans, sampling_plans, stats_plans, udf_plans  # noqa: F401
 from .registry import REGISTRY
 
 __all__ = ["REGISTRY"]
