@@ -1,6 +1,6 @@
 """Named queries over the test tables, each with its DuckDB oracle."""
 
-from . import column_plans, relational_plans, sampling_plans, source_plans, stats_plans, udf_plans  # noqa: F401
+from . import column_plans, ml_plans, relational_plans, sampling_plans, source_plans, stats_plans, udf_plans  # noqa: F401
 from .registry import REGISTRY
 
 __all__ = ["REGISTRY"]
