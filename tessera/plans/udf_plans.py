@@ -69,3 +69,18 @@ def m27_input(spark, d):
 def m27_arrival_time_rule(spark, d):
     return m27_input(spark, d).withColumn(
         "pred_arr_time", predicted_arrival_hhmm("sched_arr_time", "dep_delay"))
+
+
+@query("m27_stream_scoring", M27_SQL, "M27")
+def m27_stream_scoring(spark, d):
+    from ..session import scratch_path
+    from ..streaming.scoring import start_scoring
+
+    requests = m27_input(spark, d)
+    source, sink, ckpt = (scratch_path(spark, p) for p in ("requests", "scored", "stream-checkpoint"))
+    requests.write.parquet(source)
+    q = start_scoring(spark, source, requests.schema, sink, ckpt)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"scoring stream failed: {q.exception()}")
+    return spark.read.parquet(sink)
