@@ -47,9 +47,12 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
     probs = [float(p) for p in probabilities]
     counts = (df.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
               .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ensure_checkpoint_dir(spark)
-    ranged = (counts.repartitionByRange(parts, "v").sortWithinPartitions("v")
+    # Without an explicit count adaptive execution may merge adjacent ranges;
+    # the checkpoint fixes whatever layout ran, and pids below refer to it.
+    ranged = counts.repartitionByRange(num_partitions, "v") if num_partitions \
+        else counts.repartitionByRange("v")
+    ranged = (ranged.sortWithinPartitions("v")
               .withColumn("pid", F.spark_partition_id()).checkpoint(eager=True))
     totals = {r["pid"]: r["c"] for r in
               ranged.groupBy("pid").agg(F.sum("c").alias("c")).collect()}

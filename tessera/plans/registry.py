@@ -8,12 +8,14 @@ Doubles are rounded in both forms so results compare exactly.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from ..sources.readers import load as _load
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -34,7 +36,13 @@ def query(name: str, sql: str | None, inventory: str):
     def deco(fn: Builder) -> Builder:
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = Entry(name, fn, sql.strip() if sql else None, inventory)
+
+        @functools.wraps(fn)
+        def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        REGISTRY[name] = Entry(name, build, sql.strip() if sql else None, inventory)
         return fn
     return deco
 
