@@ -60,6 +60,9 @@ def approx_quantiles(df: DataFrame, col: str, probabilities: Sequence[float],
         F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("i") + 1).alias("p"), "value")
 
 
+MAX_CROSSTAB_COLUMNS = 10_000  # as Spark's own crosstab, a wide table is refused
+
+
 def typed_crosstab(df: DataFrame, row_key: str, col_key: str,
                    col_values: Sequence | None = None) -> DataFrame:
     """Contingency table with typed keys: ``crosstab`` without string keys.
@@ -71,7 +74,11 @@ def typed_crosstab(df: DataFrame, row_key: str, col_key: str,
     ``(row, col)`` pairs before pivoting.
     """
     if col_values is None:
-        col_values = [r[0] for r in df.select(col_key).distinct().orderBy(col_key).collect()]
+        found = df.select(col_key).distinct().limit(MAX_CROSSTAB_COLUMNS + 1).collect()
+        if len(found) > MAX_CROSSTAB_COLUMNS:
+            raise ValueError(f"{col_key} has more than {MAX_CROSSTAB_COLUMNS} distinct values; "
+                             "use a grouped count instead of a contingency table")
+        col_values = sorted((r[0] for r in found), key=lambda v: (v is not None, v))
     pairs = df.groupBy(row_key, col_key).agg(F.count(F.lit(1)).alias("n"))
     aggs = [F.coalesce(F.sum(F.when(F.col(col_key).eqNullSafe(F.lit(v)), F.col("n"))),
                        F.lit(0)).cast("long").alias(_crosstab_name(v)) for v in col_values]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scoring import predicted_arrival_hhmm
-from ..functions.udfs import haversine_udf, hour_of_day_row_udf, hour_of_day_udf
+from ..functions.udfs import haversine_row_udf, haversine_udf, hour_of_day_row_udf, hour_of_day_udf
 from .frames import RIDES_SQL, rides
 from .registry import query, round_doubles, table
 
@@ -35,6 +35,14 @@ def u2_haversine_pandas_udf(spark, d):
                                   .alias("haversine_approximation")), 2)
 
 
+@query("u2_haversine_row_udf", f"""
+SELECT id, round({_HAV}, 2) AS haversine_approximation FROM {RIDES_SQL}""", "U2")
+def u2_haversine_row_udf(spark, d):
+    r = rides(spark, d)
+    return round_doubles(r.select("id", haversine_row_udf("origin_lat", "origin_lon", "dest_lat", "dest_lon")
+                                  .alias("haversine_approximation")), 2)
+
+
 @query("u4_udf_result_vs_recorded", f"""
 SELECT {_HAV} > distance AS haversine_gt_distance, count(*) AS count FROM {RIDES_SQL} GROUP BY 1""", "U4")
 def u4_udf_result_vs_recorded(spark, d):

@@ -77,3 +77,26 @@ def test_empty_frame_roundtrip(spark, frame):
     path = scratch_path(spark, "test-empty")
     W.write_parquet(frame.where(F.lit(False)), path)
     assert R.read_parquet(spark, path).count() == 0
+
+
+def test_catalog_use_show_describe(spark, frame):
+    spark.sql("USE default")
+    name = W.save_as_table(frame, path=scratch_path(spark, "test-table"))
+    names = {r.tableName for r in spark.sql("SHOW TABLES").collect()}
+    assert name in names
+    from tessera.sources.inspect import describe_table
+
+    assert [r.col_name for r in describe_table(spark, name).collect()] == ["id", "s", "v", "n"]
+    W.drop_table(spark, name)
+
+
+def test_crosstab_refuses_wide_tables(spark):
+    from tessera.operators import stats as S
+
+    df = spark.range(0, 20).withColumn("k", F.lit(1))
+    S.MAX_CROSSTAB_COLUMNS, old = 10, S.MAX_CROSSTAB_COLUMNS
+    try:
+        with pytest.raises(ValueError):
+            S.typed_crosstab(df, "k", "id")
+    finally:
+        S.MAX_CROSSTAB_COLUMNS = old
