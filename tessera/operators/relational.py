@@ -42,3 +42,17 @@ def shares(df: DataFrame, **predicates: Column) -> DataFrame:
 def group_by_expression(df: DataFrame, expr: Column, name: str) -> DataFrame:
     """Count rows per value of an expression (null is its own group)."""
     return df.groupBy(expr.alias(name)).agg(F.count(F.lit(1)).alias("count"))
+
+
+def sort_splittable(df: DataFrame, cols: list[str], tiebreak: str | list[str],
+                    ascending: bool = True) -> DataFrame:
+    """Global sort whose range partitions can split a hot key.
+
+    A global sort range-partitions on the sort key; when one key value holds
+    a large share of rows, all of them land in one partition.  Appending a
+    unique column refines the order without changing it (ties were in no
+    defined order anyway) and lets the range bounds cut through the hot key.
+    """
+    extra = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
+    keys = [F.col(c).asc() if ascending else F.col(c).desc() for c in cols]
+    return df.orderBy(*keys, *[F.col(c).asc() for c in extra])

@@ -316,9 +316,17 @@ def m13_objective_history(spark, d):
     return MO.objective_history(spark, _fit_logistic(_binary_data(spark, d)))
 
 
-@query("m14_training_roc_curve", None, "M14")
+@query("m14_training_roc_curve", f"""
+WITH t AS {_FIVE_STAR_SQL},
+s AS (SELECT reviewed, avg(y) AS score FROM t GROUP BY reviewed),
+g AS (SELECT s.score, sum(t.y) AS pos, sum(1 - t.y) AS neg FROM t JOIN s ON t.reviewed = s.reviewed
+      GROUP BY s.score),
+c AS (SELECT sum(neg) OVER (ORDER BY score DESC) / (SELECT sum(neg) FROM g) AS FPR,
+             sum(pos) OVER (ORDER BY score DESC) / (SELECT sum(pos) FROM g) AS TPR FROM g)
+SELECT round(FPR, 9) AS FPR, round(TPR, 9) AS TPR FROM c
+UNION ALL SELECT 0.0, 0.0 UNION ALL SELECT 1.0, 1.0""", "M14")
 def m14_training_roc_curve(spark, d):
-    return MO.roc_curve(_fit_logistic(_binary_data(spark, d)))
+    return round_doubles(MO.roc_curve(_fit_logistic(_binary_data(spark, d))), 9)
 
 
 @query("m10_other_classifiers", None, "M10 M19")

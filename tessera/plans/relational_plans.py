@@ -37,7 +37,13 @@ def a5_sql_group_sort(spark, d):
 
 from ..functions.geo import haversine  # noqa: E402
 from ..operators.joins import orders_enriched  # noqa: E402
-from ..operators.relational import frequency, group_by_expression, label_by_feature, shares  # noqa: E402
+from ..operators.relational import (  # noqa: E402
+    frequency,
+    group_by_expression,
+    label_by_feature,
+    shares,
+    sort_splittable,
+)
 from ..sources.inspect import head_rows  # noqa: E402
 from .frames import FLIGHTS_SQL, RIDERS_SQL, RIDES_SQL, flights, riders, rides  # noqa: E402
 
@@ -49,13 +55,14 @@ def o1_distinct_values(spark, d):
 
 @query("o2_sort_ascending", f"SELECT id, month, day FROM {FLIGHTS_SQL} ORDER BY month, day", "O2")
 def o2_sort_ascending(spark, d):
-    return flights(spark, d).select("id", "month", "day").orderBy("month", "day")
+    return sort_splittable(flights(spark, d).select("id", "month", "day"), ["month", "day"], "id")
 
 
 @query("o3_sort_descending", f"""
 SELECT id, month, day FROM {FLIGHTS_SQL} ORDER BY month DESC, day DESC""", "O3")
 def o3_sort_descending(spark, d):
-    return flights(spark, d).select("id", "month", "day").orderBy("month", "day", ascending=False)
+    return sort_splittable(flights(spark, d).select("id", "month", "day"), ["month", "day"], "id",
+                           ascending=False)
 
 
 @query("o4_i1_limit_first_rows", """
