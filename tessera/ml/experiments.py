@@ -8,11 +8,16 @@ r_squared_corr, rmse)`` to the table at ``table_path``.  ``r2`` is
 value, which without an intercept is measured against zero and so is not
 comparable across the two settings; ``r_squared_corr`` is the squared
 correlation of label and prediction.
+
+Each run is written to its own folder ``run_id=<id>`` with mode overwrite,
+and the id is a hash of the run's settings: a run that is retried after a
+failure replaces its own row instead of adding a second one.
 """
 
 from __future__ import annotations
 
-import uuid
+import hashlib
+import json
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import DataFrame
@@ -21,7 +26,7 @@ from pyspark.sql import functions as F
 from ..operators.sampling import hash_split
 from .models import linear_regression
 
-RUN_SCHEMA = ("run_id string, fit_intercept boolean, train_fraction double, n_train long, n_test long, "
+RUN_SCHEMA = ("fit_intercept boolean, train_fraction double, n_train long, n_test long, "
               "r2 double, r2_summary double, r_squared_corr double, rmse double")
 
 
@@ -36,9 +41,11 @@ def run_experiments(data: DataFrame, params: list[dict], table_path: str, key_co
         scored = model.transform(test)
         ev = RegressionEvaluator(labelCol=label_col, predictionCol="prediction")
         corr2 = scored.agg(F.pow(F.corr(label_col, "prediction"), 2).alias("c")).first()["c"]
-        row = (uuid.uuid4().hex, bool(p.get("fit_intercept", True)), frac, int(model.summary.numInstances),
+        run_id = hashlib.md5(json.dumps(p, sort_keys=True).encode()).hexdigest()[:16]
+        row = (bool(p.get("fit_intercept", True)), frac, int(model.summary.numInstances),
                int(scored.count()), float(ev.setMetricName("r2").evaluate(scored)),
                float(model.summary.r2), float(corr2) if corr2 is not None else None,
                float(ev.setMetricName("rmse").evaluate(scored)))
-        spark.createDataFrame([row], RUN_SCHEMA).write.mode("append").parquet(table_path)
+        spark.createDataFrame([row], RUN_SCHEMA).write.mode("overwrite").parquet(
+            f"{table_path.rstrip('/')}/run_id={run_id}")
     return spark.read.parquet(table_path)

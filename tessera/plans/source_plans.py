@@ -126,8 +126,8 @@ _SPARK_TYPE_SQL = """CASE {t} WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'i
 
 
 @query("s8_describe_table", f"""
-SELECT column_name AS col_name, {_SPARK_TYPE_SQL.format(t='data_type')} AS data_type
-FROM information_schema.columns WHERE table_name = 'customer'""", "S8")
+SELECT column_name AS col_name, {_SPARK_TYPE_SQL.format(t='column_type')} AS data_type
+FROM (DESCRIBE customer)""", "S8")
 def s8_describe_table(spark, d):
     name = W.save_as_table(table(spark, d, "customer"), path=scratch_path(spark, "table"))
     return describe_table(spark, name).select("col_name", "data_type")
@@ -189,8 +189,8 @@ def s15_save_unique_table_then_drop(spark, d):
 
 
 @query("i2_schema_listing", f"""
-SELECT ordinal_position AS position, column_name AS col_name,
-       {_SPARK_TYPE_SQL.format(t='data_type')} AS data_type
-FROM information_schema.columns WHERE table_name = 'lineitem'""", "I2")
+SELECT CAST(row_number() OVER () AS INTEGER) AS position, column_name AS col_name,
+       {_SPARK_TYPE_SQL.format(t='column_type')} AS data_type
+FROM (DESCRIBE lineitem)""", "I2")
 def i2_schema_listing(spark, d):
     return schema_frame(table(spark, d, "lineitem")).select("position", "col_name", "data_type")

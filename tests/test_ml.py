@@ -95,3 +95,19 @@ def test_holdout_refits_best_on_all_training_rows(spark):
 def test_drop_prediction_columns(spark):
     df = spark.createDataFrame([(1.0, 1.0)], "prediction double, label double")
     assert EV.drop_prediction_columns(df).columns == ["label"]
+
+
+def test_experiment_runs_are_idempotent(spark):
+    from tessera.ml.experiments import run_experiments
+
+    df = spark.createDataFrame([(i, float(i % 17), 2.0 * (i % 17) + (i % 3)) for i in range(300)],
+                               "k long, x double, label double")
+    data = FE.assemble(df, ["x"], "features")
+    path = scratch_path(spark, "test-runs")
+    params = [{"fit_intercept": True, "train_fraction": 0.7}, {"fit_intercept": False, "train_fraction": 0.7}]
+    run_experiments(data, params, path, ["k"])
+    out = run_experiments(data, params[:1], path, ["k"])  # a retried run
+    rows = out.collect()
+    assert len(rows) == 2 and len({r.run_id for r in rows}) == 2
+    with_int = [r for r in rows if r.fit_intercept][0]
+    assert with_int.r2 > 0.9 and with_int.n_train + with_int.n_test == 300
