@@ -9,8 +9,6 @@ subquery (``*_SQL``) for the oracles.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from .registry import table
 
 # flights ↔ lineitem: carrier, flight, origin, dest, delays, date parts.
@@ -27,17 +25,15 @@ FLIGHTS_SQL = """(SELECT
 
 
 def flights(spark, d):
-    li = table(spark, d, "lineitem")
-    return li.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
-        F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"),
-        F.dayofmonth("l_shipdate").alias("day"),
-        F.concat(F.lit("C"), (F.col("l_suppkey") % 16).cast("string")).alias("carrier"),
-        F.when(F.col("l_linenumber") != 7, F.col("l_linenumber")).alias("flight"),
-        F.col("l_returnflag").alias("origin"), F.col("l_linestatus").alias("dest"),
-        F.when(F.col("l_quantity") < 49, F.col("l_quantity") - 20).alias("dep_delay"),
-        F.when(F.col("l_tax") != 0.08, F.col("l_extendedprice") / 1000 - 50).alias("arr_delay"),
-        (F.col("l_extendedprice") / 100).alias("distance"),
+    return table(spark, d, "lineitem").selectExpr(
+        "l_orderkey * 10 + l_linenumber AS id",
+        "year(l_shipdate) AS year", "month(l_shipdate) AS month", "dayofmonth(l_shipdate) AS day",
+        "concat('C', CAST(l_suppkey % 16 AS STRING)) AS carrier",
+        "CASE WHEN l_linenumber = 7 THEN NULL ELSE l_linenumber END AS flight",
+        "l_returnflag AS origin", "l_linestatus AS dest",
+        "CASE WHEN l_quantity >= 49 THEN NULL ELSE l_quantity - 20 END AS dep_delay",
+        "CASE WHEN l_tax = 0.08D THEN NULL ELSE l_extendedprice / 1000 - 50 END AS arr_delay",
+        "l_extendedprice / 100 AS distance",
     )
 
 
@@ -57,19 +53,17 @@ RIDES_SQL = """(SELECT
 
 
 def rides(spark, d):
-    li = table(spark, d, "lineitem")
-    cancelled = F.col("l_returnflag") == "R"
-    return li.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
-        F.when(cancelled, 1).otherwise(0).alias("cancelled"),
-        F.when(~cancelled, F.col("l_extendedprice")).alias("distance"),
-        (F.col("l_quantity") * 60).alias("duration"),
-        F.when(F.col("l_suppkey") % 10 != 0, F.col("l_orderkey") % 2).alias("rider_student"),
-        F.month("l_shipdate").alias("ship_month"),
-        (F.col("l_partkey") % 180 - 90 + F.col("l_discount")).alias("origin_lat"),
-        (F.col("l_suppkey") % 360 - 180 + F.col("l_tax")).alias("origin_lon"),
-        (F.col("l_orderkey") % 170 - 85 + F.col("l_discount")).alias("dest_lat"),
-        ((F.col("l_partkey") + F.col("l_suppkey")) % 360 - 180 - F.col("l_tax")).alias("dest_lon"),
+    return table(spark, d, "lineitem").selectExpr(
+        "l_orderkey * 10 + l_linenumber AS id",
+        "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS cancelled",
+        "CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_extendedprice END AS distance",
+        "l_quantity * 60 AS duration",
+        "CASE WHEN l_suppkey % 10 = 0 THEN NULL ELSE l_orderkey % 2 END AS rider_student",
+        "month(l_shipdate) AS ship_month",
+        "l_partkey % 180 - 90 + l_discount AS origin_lat",
+        "l_suppkey % 360 - 180 + l_tax AS origin_lon",
+        "l_orderkey % 170 - 85 + l_discount AS dest_lat",
+        "(l_partkey + l_suppkey) % 360 - 180 - l_tax AS dest_lon",
     )
 
 
@@ -85,16 +79,13 @@ RIDERS_SQL = """(SELECT
 
 
 def riders(spark, d):
-    c = table(spark, d, "customer")
-    return c.select(
-        F.col("c_custkey").alias("id"),
-        F.when(F.col("c_nationkey") % 7 != 0, F.lower("c_mktsegment")).alias("sex"),
-        F.when(F.col("c_nationkey") != 3, (F.col("c_custkey") % 2).cast("int")).alias("student"),
-        F.when(F.col("c_nationkey") % 5 == 0,
-               F.concat(F.lit("B"), F.lpad((F.col("c_custkey") * 7919).cast("string"), 14, "0")))
-         .otherwise(F.lpad((F.col("c_custkey") * 7919 + 100000000000).cast("string"), 15, "0"))
-         .alias("home_block"),
-        F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nationkey"),
+    return table(spark, d, "customer").selectExpr(
+        "c_custkey AS id",
+        "CASE WHEN c_nationkey % 7 = 0 THEN NULL ELSE lower(c_mktsegment) END AS sex",
+        "CASE WHEN c_nationkey = 3 THEN NULL ELSE CAST(c_custkey % 2 AS INT) END AS student",
+        "CASE WHEN c_nationkey % 5 = 0 THEN concat('B', lpad(CAST(c_custkey * 7919 AS STRING), 14, '0')) "
+        "ELSE lpad(CAST(c_custkey * 7919 + 100000000000 AS STRING), 15, '0') END AS home_block",
+        "c_mktsegment AS segment", "c_nationkey AS nationkey",
     )
 
 
@@ -109,11 +100,10 @@ RATED_SQL = """(SELECT
 
 
 def rated(spark, d):
-    o = table(spark, d, "orders")
-    return o.select(
-        F.col("o_orderkey").alias("id"),
-        F.when(F.col("o_orderstatus") == "P", 1).otherwise(0).alias("cancelled"),
-        F.substring("o_orderpriority", 1, 1).cast("int").alias("star_rating"),
-        F.when(F.col("o_totalprice") > 200000, F.col("o_orderpriority")).alias("review"),
-        F.col("o_totalprice").alias("totalprice"), F.col("o_custkey").alias("custkey"),
+    return table(spark, d, "orders").selectExpr(
+        "o_orderkey AS id",
+        "CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS cancelled",
+        "CAST(substr(o_orderpriority, 1, 1) AS INT) AS star_rating",
+        "CASE WHEN o_totalprice > 200000 THEN o_orderpriority ELSE NULL END AS review",
+        "o_totalprice AS totalprice", "o_custkey AS custkey",
     )
