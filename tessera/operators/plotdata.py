@@ -37,11 +37,15 @@ def ordered_counts(df: DataFrame, key: str, order: Sequence, hue: str | None = N
     return out
 
 
-def _range(df: DataFrame, col: str) -> tuple[float, float, int]:
-    r = df.agg(F.min(F.col(col).cast("double")).alias("lo"),
-               F.max(F.col(col).cast("double")).alias("hi"),
-               F.count(col).alias("n")).first()
-    return r["lo"], r["hi"], r["n"]
+def _ranges(df: DataFrame, *cols: str) -> dict[str, tuple]:
+    """(min, max, count, sample stddev) of several columns in one pass."""
+    aggs = []
+    for c in cols:
+        x = F.col(c).cast("double")
+        aggs += [F.min(x).alias(f"{c}__lo"), F.max(x).alias(f"{c}__hi"), F.count(x).alias(f"{c}__n"),
+                 F.stddev_samp(x).alias(f"{c}__s")]
+    r = df.agg(*aggs).first()
+    return {c: (r[f"{c}__lo"], r[f"{c}__hi"], r[f"{c}__n"], r[f"{c}__s"]) for c in cols}
 
 
 def bucket_of(col: str | Column, lo: float, hi: float, bins: int) -> Column:
@@ -55,8 +59,14 @@ def bucket_of(col: str | Column, lo: float, hi: float, bins: int) -> Column:
 
 
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
-    """Equal-width histogram: (bucket, lower, upper, count); empty buckets omitted."""
-    lo, hi, _ = _range(df, col)
+    """Equal-width histogram: (bucket, lower, upper, count); empty buckets omitted.
+
+    One pass for the range, one grouped count."""
+    lo, hi, _, _ = _ranges(df, col)[col]
+    return _histogram_in_range(df, col, bins, lo, hi)
+
+
+def _histogram_in_range(df: DataFrame, col: str, bins: int, lo, hi) -> DataFrame:
     if lo is None:
         return df.sparkSession.createDataFrame([], "bucket long, lower double, upper double, count long")
     width = (hi - lo) / bins
@@ -75,12 +85,11 @@ def density_curve(df: DataFrame, col: str, bins: int = 50, grid: int = 100) -> D
     contributes ``count · φ((g - centre)/h)`` to grid point ``g``; the work is
     bins × grid rows whatever the data size.
     """
-    stats = df.agg(F.stddev_samp(F.col(col).cast("double")).alias("s"), F.count(col).alias("n")).first()
-    lo, hi, n = _range(df, col)
-    if not n or stats["s"] is None or stats["s"] == 0:
+    lo, hi, n, sd = _ranges(df, col)[col]
+    if not n or sd is None or sd == 0:
         return df.sparkSession.createDataFrame([], "point long, x double, density double")
-    h = 1.06 * stats["s"] * n ** (-0.2)
-    hist = histogram(df, col, bins)
+    h = 1.06 * sd * n ** (-0.2)
+    hist = _histogram_in_range(df, col, bins, lo, hi)
     step = (hi - lo) / (grid - 1)
     return (hist.select(((F.col("lower") + F.col("upper")) / 2).alias("centre"), "count",
                         F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
@@ -135,9 +144,10 @@ def quadratic_fit(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def binned_2d(df: DataFrame, x: str, y: str, bins_x: int = 20, bins_y: int = 20) -> DataFrame:
-    """Counts on a bins_x × bins_y grid of equal-width cells (empty cells omitted)."""
-    lx, hx, _ = _range(df, x)
-    ly, hy, _ = _range(df, y)
+    """Counts on a bins_x × bins_y grid of equal-width cells over the complete
+    pairs (empty cells omitted); one range pass, one grouped count."""
+    rng = _ranges(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()), x, y)
+    (lx, hx, _, _), (ly, hy, _, _) = rng[x], rng[y]
     clean = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     return clean.groupBy(bucket_of(x, lx, hx, bins_x).alias("bx"),
                          bucket_of(y, ly, hy, bins_y).alias("by")).agg(F.count(F.lit(1)).alias("count"))

@@ -169,7 +169,7 @@ def v8_pair_correlations(spark, d):
 
 
 @query("v9_binned_2d", f"""
-WITH t AS (SELECT distance, duration FROM {RIDES_SQL}),
+WITH t AS (SELECT distance, duration FROM {RIDES_SQL} WHERE distance IS NOT NULL AND duration IS NOT NULL),
 sx AS (SELECT min(distance) AS lo, max(distance) AS hi FROM t),
 sy AS (SELECT min(duration) AS lo, max(duration) AS hi FROM t)
 SELECT least(CAST(floor((distance - sx.lo) / (sx.hi - sx.lo) * 20) AS BIGINT) + 1, 20) AS bx,
