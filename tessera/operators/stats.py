@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .quantiles import exact_quantiles
 
 
@@ -69,17 +70,22 @@ def typed_crosstab(df: DataFrame, row_key: str, col_key: str,
 
     One row per ``row_key`` value (first column named ``{row}_{col}`` like
     ``crosstab``), one bigint count column per ``col_key`` value, 0 where
-    absent.  Values are taken from ``col_values`` or found with one distinct
-    pass (a crosstab is meant for low-cardinality keys).  Pre-aggregates
-    ``(row, col)`` pairs before pivoting.
+    absent.  Values are taken from ``col_values`` or read off the
+    pre-aggregated ``(row, col)`` counts (a crosstab is meant for
+    low-cardinality keys; wider ones are refused).
     """
+    pairs = df.groupBy(row_key, col_key).agg(F.count(F.lit(1)).alias("n"))
     if col_values is None:
-        found = df.select(col_key).distinct().limit(MAX_CROSSTAB_COLUMNS + 1).collect()
+        # one pass over the data: the (row, col) counts are written to the
+        # shared checkpoint folder and both the value list and the table are
+        # read from there
+        ensure_checkpoint_dir(df.sparkSession)
+        pairs = pairs.checkpoint(eager=True)
+        found = pairs.select(col_key).distinct().limit(MAX_CROSSTAB_COLUMNS + 1).collect()
         if len(found) > MAX_CROSSTAB_COLUMNS:
             raise ValueError(f"{col_key} has more than {MAX_CROSSTAB_COLUMNS} distinct values; "
                              "use a grouped count instead of a contingency table")
         col_values = sorted((r[0] for r in found), key=lambda v: (v is not None, v))
-    pairs = df.groupBy(row_key, col_key).agg(F.count(F.lit(1)).alias("n"))
     aggs = [F.coalesce(F.sum(F.when(F.col(col_key).eqNullSafe(F.lit(v)), F.col("n"))),
                        F.lit(0)).cast("long").alias(_crosstab_name(v)) for v in col_values]
     return (pairs.groupBy(row_key).agg(*aggs)

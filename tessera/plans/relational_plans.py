@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.relational import grouped_count_mean
+from ..functions.geo import haversine
+from ..operators.joins import orders_enriched
+from ..operators.relational import (
+    frequency,
+    group_by_expression,
+    grouped_count_mean,
+    label_by_feature,
+    shares,
+    sort_splittable,
+)
+from ..sources.inspect import head_rows
+from .frames import FLIGHTS_SQL, RIDERS_SQL, RIDES_SQL, flights, riders, rides
 from .registry import query, round_doubles, table
 
 
@@ -35,19 +46,6 @@ def a5_sql_group_sort(spark, d):
 
 # ---- distinct, sorts, limits -----------------------------------------------
 
-from ..functions.geo import haversine  # noqa: E402
-from ..operators.joins import orders_enriched  # noqa: E402
-from ..operators.relational import (  # noqa: E402
-    frequency,
-    group_by_expression,
-    label_by_feature,
-    shares,
-    sort_splittable,
-)
-from ..sources.inspect import head_rows  # noqa: E402
-from .frames import FLIGHTS_SQL, RIDERS_SQL, RIDES_SQL, flights, riders, rides  # noqa: E402
-
-
 @query("o1_distinct_values", f"SELECT DISTINCT carrier FROM {FLIGHTS_SQL}", "O1")
 def o1_distinct_values(spark, d):
     return flights(spark, d).select("carrier").distinct()
