@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 
 def head_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
