@@ -179,6 +179,17 @@ def j1_orders_enriched(spark, d):
     return j.select("o_orderkey", "o_totalprice", "c_name", "c_mktsegment", "n_name", "r_name")
 
 
+@query("j1_orders_enriched_hot_key_split", """
+SELECT o.o_orderkey, o.o_totalprice, c.c_name, c.c_mktsegment, n.n_name, r.r_name
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey""", "J1")
+def j1_orders_enriched_hot_key_split(spark, d):
+    # customers holding at least 0.05% of all orders take the broadcast path
+    j = orders_enriched(table(spark, d, "orders"), table(spark, d, "customer"),
+                        table(spark, d, "nation"), table(spark, d, "region"), hot_key_share=0.0005)
+    return j.select("o_orderkey", "o_totalprice", "c_name", "c_mktsegment", "n_name", "r_name")
+
+
 @query("s19_persist_reused_result", f"""
 SELECT 'by_origin' AS grouping, origin AS key, count(*) AS n FROM {FLIGHTS_SQL} WHERE arr_delay > 0 GROUP BY origin
 UNION ALL

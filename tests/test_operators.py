@@ -165,3 +165,18 @@ def test_all_pair_correlations(spark):
     df = spark.createDataFrame([(float(i), 2.0 * i, float((-1) ** i)) for i in range(10)], "a double, b double, c double")
     out = {(r.x, r.y): r.corr for r in S.all_pair_correlations(df, ["a", "b", "c"]).collect()}
     assert out[("a", "b")] == pytest.approx(1.0) and len(out) == 3
+
+
+def test_join_splitting_hot_keys_equals_plain_join(spark):
+    from tessera.operators.joins import hot_keys, join_splitting_hot_keys
+
+    # key 7 holds a third of the fact rows; key None never matches
+    fact = spark.createDataFrame([(i, 7 if i % 3 == 0 else (None if i % 50 == 1 else i % 40)) for i in range(3000)],
+                                 "id long, k long")
+    dim = spark.createDataFrame([(k, f"name{k}") for k in range(0, 40, 1) if k != 5], "dk long, name string")
+    assert hot_keys(fact, "k", 0.2) == [7]
+    for how in ("inner", "left"):
+        got = sorted(tuple(r) for r in join_splitting_hot_keys(fact, dim, "k", "dk", how, 0.2)
+                     .select("id", "k", "name").collect())
+        want = sorted(tuple(r) for r in fact.join(dim, fact.k == dim.dk, how).select("id", "k", "name").collect())
+        assert got == want, how
