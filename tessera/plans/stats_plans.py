@@ -126,9 +126,10 @@ def v3_density_curve(spark, d):
 WITH t AS (SELECT distance AS x FROM {RIDES_SQL} WHERE distance IS NOT NULL),
 q AS (SELECT quantile_disc(x, 0.25) AS q1, quantile_disc(x, 0.5) AS median, quantile_disc(x, 0.75) AS q3 FROM t),
 f AS (SELECT q1, median, q3, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence FROM q)
-SELECT q1, median, q3, lower_fence, upper_fence,
-       min(x) FILTER (WHERE x >= lower_fence AND x <= upper_fence) AS lower_whisker,
-       max(x) FILTER (WHERE x >= lower_fence AND x <= upper_fence) AS upper_whisker,
+SELECT round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+       round(lower_fence, 6) AS lower_fence, round(upper_fence, 6) AS upper_fence,
+       round(min(x) FILTER (WHERE x >= lower_fence AND x <= upper_fence), 6) AS lower_whisker,
+       round(max(x) FILTER (WHERE x >= lower_fence AND x <= upper_fence), 6) AS upper_whisker,
        count(x) FILTER (WHERE NOT (x >= lower_fence AND x <= upper_fence)) AS n_outliers
 FROM t, f GROUP BY q1, median, q3, lower_fence, upper_fence""", "V4")
 def v4_box_stats(spark, d):
