@@ -112,11 +112,20 @@ def s6_s14_orc_sink_and_scan(spark, d):
     return _typed_like(R.read_orc(spark, path), src)
 
 
+def _catalog_name(d: str, name: str) -> str:
+    """One catalog entry per (dataset, table): reruns replace it instead of
+    adding tables."""
+    import hashlib
+
+    return f"tessera_{name}_{hashlib.md5(d.rstrip('/').encode()).hexdigest()[:10]}"
+
+
 @query("s7_catalog_table_scan", """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""", "S7 S15")
 def s7_catalog_table_scan(spark, d):
     src = table(spark, d, "customer")
-    name = W.save_as_table(src, path=scratch_path(spark, "table"))
+    name = W.save_as_table(src, _catalog_name(d, "customer"), path=scratch_path(spark, "table"),
+                           mode="overwrite")
     return R.read_table(spark, name)
 
 
@@ -129,7 +138,8 @@ _SPARK_TYPE_SQL = """CASE {t} WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'i
 SELECT column_name AS col_name, {_SPARK_TYPE_SQL.format(t='column_type')} AS data_type
 FROM (DESCRIBE customer)""", "S8")
 def s8_describe_table(spark, d):
-    name = W.save_as_table(table(spark, d, "customer"), path=scratch_path(spark, "table"))
+    name = W.save_as_table(table(spark, d, "customer"), _catalog_name(d, "customer_described"),
+                           path=scratch_path(spark, "table"), mode="overwrite")
     return describe_table(spark, name).select("col_name", "data_type")
 
 

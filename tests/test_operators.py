@@ -180,3 +180,13 @@ def test_join_splitting_hot_keys_equals_plain_join(spark):
                      .select("id", "k", "name").collect())
         want = sorted(tuple(r) for r in fact.join(dim, fact.k == dim.dk, how).select("id", "k", "name").collect())
         assert got == want, how
+
+
+def test_bernoulli_sample_size_within_five_sigma(spark):
+    from tessera.operators.sampling import bernoulli_sample
+
+    n, f = 20000, 0.05
+    got = bernoulli_sample(spark.range(0, n), f, seed=12345).count()
+    assert abs(got - n * f) <= 5 * math.sqrt(n * f * (1 - f))
+    again = bernoulli_sample(spark.range(0, n), f, seed=12345).count()
+    assert again == got
