@@ -5,48 +5,107 @@ values, the definition of ``percentile_disc`` and of ``approxQuantile`` with
 relative error 0.  Spark's exact forms keep every value of a group in one
 task; this operator instead:
 
-1. counts each distinct value (``groupBy`` with map-side combine, so a hot
-   value becomes one row however many times it occurs);
-2. range-partitions the distinct values, sorts within partitions and
-   checkpoints the result to the shared checkpoint folder (reliable, so the
-   partition layout used for offsets is fixed and survives executor loss);
-3. collects one row per partition (its total count) to place each partition
-   on the global rank axis;
-4. in each partition, walks the cumulative counts and emits the value for
-   every target rank that falls inside it.
-
-Only ``number of partitions`` numbers and ``number of probabilities`` rows
-reach the driver.
+1. (numeric columns) one aggregate pass computes ``n`` and an approximate
+   quantile sketch at ``p ± 2ε``.  The sketch's rank guarantee (±εn) puts
+   the exact answer between those two values: a bracket;
+2. one aggregate pass counts the rows below each bracket;
+3. only values inside a bracket (about 4εn rows per probability) are kept:
+   counted per distinct value (map-side combined, so a hot value becomes
+   one row), range-partitioned, sorted within partitions and checkpointed
+   to the shared checkpoint folder (reliable, so the layout the offsets
+   refer to is fixed and survives executor loss);
+4. one row per partition (in-bracket totals) goes to the driver to place
+   each partition on each bracket's rank axis;
+5. each partition walks its cumulative counts and emits the value of every
+   target rank that falls inside it.
+
+Every bracket is verified (rows below < target rank ≤ rows below + rows
+inside); a bracket that fails, or a non-numeric column, falls back to the
+unbracketed form (all distinct values), so the result is always exact.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
+DEFAULT_BRACKET_ERROR = 1e-4
+
 
 def target_ranks(probabilities: Sequence[float], n: int) -> list[int]:
     return [min(n, max(1, math.ceil(p * n))) for p in probabilities]
 
 
+def _inside(v: Column, lo, hi) -> Column:
+    cond = F.lit(True)
+    if lo is not None:
+        cond = cond & (v >= F.lit(lo))
+    if hi is not None:
+        cond = cond & (v <= F.lit(hi))
+    return cond
+
+
+def _brackets(vals: DataFrame, probs: list[float], eps: float, numeric: bool):
+    """(n, [(lo, hi)]) with lo/hi None meaning unbounded."""
+    if not numeric or eps <= 0:
+        return vals.count(), [(None, None)] * len(probs)
+    qs = sorted({min(1.0, max(0.0, p + s * 2 * eps)) for p in probs for s in (-1, 1)})
+    row = vals.agg(F.count(F.lit(1)).alias("n"),
+                   F.percentile_approx("v", qs, int(math.ceil(1 / eps))).alias("q")).first()
+    approx = dict(zip(qs, row["q"] or []))
+    out = []
+    for p in probs:
+        lo = None if p - 2 * eps <= 0 else approx.get(max(0.0, p - 2 * eps))
+        hi = None if p + 2 * eps >= 1 else approx.get(min(1.0, p + 2 * eps))
+        out.append((lo, hi))
+    return row["n"], out
+
+
 def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None,
+                    bracket_error: float = DEFAULT_BRACKET_ERROR) -> DataFrame:
     """DataFrame ``(p double, value <type of column>)``, one row per probability."""
+    return _exact_quantiles(df, column, probabilities, num_partitions, bracket_error, unbracketed=False)
+
+
+def _exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
+                     num_partitions: int | None, bracket_error: float, unbracketed: bool) -> DataFrame:
     spark = df.sparkSession
     value_type = df.schema[column].dataType
     out_schema = T.StructType([T.StructField("p", T.DoubleType()),
                                T.StructField("value", value_type)])
     probs = [float(p) for p in probabilities]
-    counts = (df.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
-              .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
+    vals = df.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
+    numeric = isinstance(value_type, T.NumericType)
+    if unbracketed:
+        n, brackets = vals.count(), [(None, None)] * len(probs)
+    else:
+        n, brackets = _brackets(vals, probs, bracket_error, numeric)
+    if n == 0:
+        return spark.createDataFrame([(p, None) for p in probs], out_schema)
+    ranks = target_ranks(probs, n)
+    v = F.col("v")
+
+    # rows strictly below each bracket, one pass
+    below = [0] * len(probs)
+    lows = [(i, lo) for i, (lo, _) in enumerate(brackets) if lo is not None]
+    if lows:
+        r = vals.agg(*[F.count(F.when(v < F.lit(lo), 1)).alias(f"b{i}") for i, lo in lows]).first()
+        for i, _ in lows:
+            below[i] = r[f"b{i}"]
+
+    inside = [_inside(v, lo, hi) for lo, hi in brackets]
+    candidates = vals.where(reduce(lambda a, b: a | b, inside))
+    counts = candidates.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
     ensure_checkpoint_dir(spark)
     # Without an explicit count adaptive execution may merge adjacent ranges;
     # the checkpoint fixes whatever layout ran, and pids below refer to it.
@@ -54,16 +113,21 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
         else counts.repartitionByRange("v")
     ranged = (ranged.sortWithinPartitions("v")
               .withColumn("pid", F.spark_partition_id()).checkpoint(eager=True))
-    totals = {r["pid"]: r["c"] for r in
-              ranged.groupBy("pid").agg(F.sum("c").alias("c")).collect()}
-    n = sum(totals.values())
-    if n == 0:
-        return spark.createDataFrame([(p, None) for p in probs], out_schema)
-    offsets, running = {}, 0
+    per_pid = ranged.groupBy("pid").agg(
+        *[F.sum(F.when(inside[i], F.col("c")).otherwise(0)).alias(f"t{i}") for i in range(len(probs))]
+    ).collect()
+    totals = {row["pid"]: [row[f"t{i}"] for i in range(len(probs))] for row in per_pid}
+
+    # verify every bracket; failures fall back to the unbracketed form
+    failed = [i for i in range(len(probs))
+              if not (below[i] < ranks[i] <= below[i] + sum(t[i] for t in totals.values()))]
+    keep = [i for i in range(len(probs)) if i not in failed]
+    offsets: dict[int, list[int]] = {}
+    running = list(below)
     for pid in sorted(totals):
-        offsets[pid] = running
-        running += totals[pid]
-    wanted = list(zip(probs, target_ranks(probs, n)))
+        offsets[pid] = list(running)
+        running = [running[i] + totals[pid][i] for i in range(len(probs))]
+    wanted = [(i, probs[i], ranks[i], brackets[i][0], brackets[i][1]) for i in keep]
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = None
@@ -72,16 +136,29 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
                 continue
             pid = int(pdf["pid"].iloc[0])
             if seen is None:
-                seen = offsets.get(pid, 0)
-            cum = seen + np.cumsum(pdf["c"].to_numpy())
-            lo = seen
-            seen = int(cum[-1])
-            rows = [(p, pdf["v"].iloc[int(np.searchsorted(cum, r, side="left"))])
-                    for p, r in wanted if lo < r <= seen]
+                seen = list(offsets.get(pid, below))
+            values, counts_ = pdf["v"], pdf["c"].to_numpy()
+            rows = []
+            for i, p, r, lo, hi in wanted:
+                mask = np.ones(len(pdf), dtype=bool)
+                if lo is not None:
+                    mask &= (values >= lo).to_numpy()
+                if hi is not None:
+                    mask &= (values <= hi).to_numpy()
+                cum = seen[i] + np.cumsum(np.where(mask, counts_, 0))
+                if seen[i] < r <= cum[-1]:
+                    rows.append((p, values.iloc[int(np.searchsorted(cum, r, side="left"))]))
+                seen[i] = int(cum[-1])
             if rows:
                 yield pd.DataFrame(rows, columns=["p", "value"])
 
-    return ranged.mapInPandas(pick, schema=out_schema)
+    result = ranged.mapInPandas(pick, schema=out_schema)
+    if failed:
+        if unbracketed:
+            raise RuntimeError("exact quantile ranks inconsistent with the counted values")
+        rest = _exact_quantiles(df, column, [probs[i] for i in failed], num_partitions, 0.0, unbracketed=True)
+        result = result.unionByName(rest)
+    return result
 
 
 def quantile_row(quantiles: DataFrame, names: dict[float, str]) -> DataFrame:

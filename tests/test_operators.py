@@ -190,3 +190,31 @@ def test_bernoulli_sample_size_within_five_sigma(spark):
     assert abs(got - n * f) <= 5 * math.sqrt(n * f * (1 - f))
     again = bernoulli_sample(spark.range(0, n), f, seed=12345).count()
     assert again == got
+
+
+def test_exact_quantiles_bracketed_path_large(spark):
+    rnd = random.Random(11)
+    vals = [round(rnd.expovariate(1 / 50.0), 2) for _ in range(40000)] + [12.5] * 20000
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(8)
+    probs = [0.001, 0.1, 0.3333, 0.5, 0.9, 0.999]
+    got = {r.p: r.value for r in exact_quantiles(df, "x", probs, bracket_error=1e-3).collect()}
+    assert [got[p] for p in probs] == brute_quantiles(vals, probs)
+
+
+def test_exact_quantiles_wrong_brackets_fall_back(spark, monkeypatch):
+    from tessera.operators import quantiles as Q
+
+    vals = list(range(1000))
+    df = spark.createDataFrame([(v,) for v in vals], "x long")
+    monkeypatch.setattr(Q, "_brackets", lambda v, probs, eps, numeric: (1000, [(900, 950)] * len(probs)))
+    got = {r.p: r.value for r in Q.exact_quantiles(df, "x", [0.1, 0.5, 0.92]).collect()}
+    assert [got[p] for p in (0.1, 0.5, 0.92)] == brute_quantiles(vals, [0.1, 0.5, 0.92])
+
+
+def test_exact_quantiles_dates_use_unbracketed_form(spark):
+    import datetime as dt
+
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=i % 97) for i in range(500)]
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    got = {r.p: r.value for r in exact_quantiles(df, "d", [0.25, 0.5]).collect()}
+    assert [got[0.25], got[0.5]] == brute_quantiles(days, [0.25, 0.5])
