@@ -27,6 +27,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", os.environ.get("TESSERA_SESSION_TZ", "UTC"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # checkpoint files of operators (exact quantiles, crosstab pairs) are
+        # deleted once nothing refers to them any more
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
     )
     if shuffle_partitions:
