@@ -372,13 +372,13 @@ def m22_m23_kfold_tuning(spark, d):
     return metrics
 
 
-@query("m24_m25_pipeline_save_load", f"""
+@query("m24_m25_staged_model_save_load", f"""
 WITH t AS {_FIVE_STAR_SQL},
 m AS (SELECT reviewed, CASE WHEN avg(y) > 0.5 THEN 1.0 ELSE 0.0 END AS prediction FROM t GROUP BY reviewed)
 SELECT m.prediction AS prediction_five_star_rating,
        count(*) FILTER (WHERE t.y = 0.0) AS "0.0", count(*) FILTER (WHERE t.y = 1.0) AS "1.0"
 FROM t JOIN m ON t.reviewed = m.reviewed GROUP BY m.prediction""", "M24 M25 F11 P8 M1 A15")
-def m24_m25_pipeline_save_load(spark, d):
+def m24_m25_staged_model_save_load(spark, d):
     data = rated(spark, d)
     pipe_path, model_path = scratch_path(spark, "pipeline"), scratch_path(spark, "pipeline-model")
     PL.save_pipeline(PL.five_star_pipeline(), pipe_path)
@@ -389,8 +389,8 @@ def m24_m25_pipeline_save_load(spark, d):
     return typed_crosstab(scored, "prediction", "five_star_rating", [0.0, 1.0])
 
 
-@query("m24_validator_in_pipeline", None, "M24 M12 M20 M21")
-def m24_validator_in_pipeline(spark, d):
+@query("m24_validator_as_last_stage", None, "M24 M12 M20 M21")
+def m24_validator_as_last_stage(spark, d):
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
