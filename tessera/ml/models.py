@@ -90,3 +90,19 @@ def feature_importances(model, scored: DataFrame, features_col: str = "features"
                                                  "idx int, score double")
     out = meta.join(scores, "idx").orderBy(F.desc("score"), F.asc("idx"))
     return out.limit(top) if top else out
+
+
+def least_squares_one_feature(df: DataFrame, x: str, y: str) -> DataFrame:
+    """Intercept, slope, R², RMSE and n of ``y ~ x`` in one aggregate pass.
+
+    The closed form of a one-feature linear regression: the residual sum of
+    squares is ``Syy − Sxy²/Sxx`` on centred sums, so no second pass over
+    the residuals is needed.  Equal to ``LinearRegression`` with an
+    intercept and no regularisation.
+    """
+    agg = df.agg(F.regr_intercept(y, x).alias("intercept"), F.regr_slope(y, x).alias("slope"),
+                 F.regr_r2(y, x).alias("r2"), F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"),
+                 F.regr_sxy(y, x).alias("sxy"), F.regr_count(y, x).alias("n"))
+    sse = F.col("syy") - F.col("sxy") * F.col("sxy") / F.col("sxx")
+    return agg.select("intercept", "slope", "r2",
+                      F.sqrt(F.greatest(sse, F.lit(0.0)) / F.col("n")).alias("rmse"), "n")

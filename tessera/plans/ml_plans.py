@@ -152,6 +152,17 @@ def m7_linear_regression(spark, d):
         "intercept double, slope double, r2 double, rmse double, n long")
 
 
+@query("m7_least_squares_aggregate", f"""{_FIT_SQL}
+SELECT round(a, 4) AS intercept, round(b, 4) AS slope, round(r2, 6) AS r2,
+       round(sqrt(avg(power(y - (a + b * x), 2))), 2) AS rmse, count(*) AS n
+FROM t, c GROUP BY a, b, r2""", "M7 V6")
+def m7_least_squares_aggregate(spark, d):
+    li = table(spark, d, "lineitem")
+    out = MO.least_squares_one_feature(li, "l_quantity", "l_extendedprice")
+    return out.select(F.round("intercept", 4).alias("intercept"), F.round("slope", 4).alias("slope"),
+                      F.round("r2", 6).alias("r2"), F.round("rmse", 2).alias("rmse"), "n")
+
+
 @query("m8_no_intercept_regression", """
 WITH t AS (SELECT l_quantity AS x, l_extendedprice AS y FROM lineitem),
 c AS (SELECT sum(x * y) / sum(x * x) AS b, avg(y) AS ybar FROM t)

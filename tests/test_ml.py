@@ -111,3 +111,13 @@ def test_experiment_runs_are_idempotent(spark):
     assert len(rows) == 2 and len({r.run_id for r in rows}) == 2
     with_int = [r for r in rows if r.fit_intercept][0]
     assert with_int.r2 > 0.9 and with_int.n_train + with_int.n_test == 300
+
+
+def test_least_squares_aggregate_equals_mllib(spark):
+    df = spark.createDataFrame([(float(x), 2.5 * x + (x % 7) - 3.0) for x in range(200)], "x double, label double")
+    r = MO.least_squares_one_feature(df, "x", "label").first()
+    model = MO.linear_regression(solver="normal").fit(FE.assemble(df, ["x"], "features"))
+    assert r.intercept == pytest.approx(model.intercept, rel=1e-9)
+    assert r.slope == pytest.approx(model.coefficients[0], rel=1e-9)
+    assert r.r2 == pytest.approx(model.summary.r2, rel=1e-9)
+    assert r.rmse == pytest.approx(model.summary.rootMeanSquaredError, rel=1e-9) and r.n == 200
