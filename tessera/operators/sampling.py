@@ -35,7 +35,11 @@ def labelled_random_split(df: DataFrame, weights: Sequence[float], seed: int | N
 
 
 def hash_unit(*keys: str | Column) -> Column:
-    """Integer in [0, 2^32) from the first 8 hex digits of md5 of the keys."""
+    """Integer in [0, 2^32) from the first 8 hex digits of md5 of the keys.
+
+    Keys should be integers or strings: their text form is the same in
+    every engine, so the same rows are chosen everywhere (doubles print
+    differently across engines)."""
     cols = [F.col(k) if isinstance(k, str) else k for k in keys]
     text = cols[0].cast("string") if len(cols) == 1 else F.concat_ws("|", *[c.cast("string") for c in cols])
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")

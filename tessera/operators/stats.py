@@ -21,7 +21,7 @@ def describe_typed(df: DataFrame, *cols: str) -> DataFrame:
     """
     aggs = []
     for c in cols:
-        x = F.col(c).cast("double")
+        x = F.col(c).try_cast("double")  # non-numeric text gives null, not an ANSI error
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__stddev"), F.min(x).alias(f"{c}__min"),
                  F.max(x).alias(f"{c}__max")]

@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app: str = "tessera") -> SparkSession:
+                  app: str = "tessera", extra_conf: dict | None = None) -> SparkSession:
     """Session used by tests, the bench and local runs.
 
     On a cluster the submitter supplies the master and sizing; here only the
@@ -34,6 +34,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, str(v))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
