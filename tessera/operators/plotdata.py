@@ -151,3 +151,23 @@ def binned_2d(df: DataFrame, x: str, y: str, bins_x: int = 20, bins_y: int = 20)
     clean = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     return clean.groupBy(bucket_of(x, lx, hx, bins_x).alias("bx"),
                          bucket_of(y, ly, hy, bins_y).alias("by")).agg(F.count(F.lit(1)).alias("count"))
+
+
+def pair_grid_counts(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
+    """2-D binned counts for every pair of columns, in one scan.
+
+    One pass finds each column's range over the complete rows; then every
+    row emits one (pair, bucket x, bucket y) entry per column pair (a fixed
+    number, k(k-1)/2) and a single grouped count with map-side combine
+    produces all grids.  Output: x, y (column names), bx, by, count.
+    """
+    clean = df.select(*cols).dropna()
+    rng = _ranges(clean, *cols)
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    cells = F.array(*[
+        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"),
+                 bucket_of(a, rng[a][0], rng[a][1], bins).alias("bx"),
+                 bucket_of(b, rng[b][0], rng[b][1], bins).alias("by"))
+        for a, b in pairs])
+    return (clean.select(F.explode(cells).alias("cell")).select("cell.*")
+            .groupBy("x", "y", "bx", "by").agg(F.count(F.lit(1)).alias("count")))

@@ -317,6 +317,20 @@ def m12_random_forest_multiclass(spark, d):
     return typed_crosstab(model.transform(data), "prediction", "star_rating", [1.0, 2.0, 3.0, 4.0, 5.0])
 
 
+@query("m14_training_area_under_roc", f"""
+WITH t AS {_FIVE_STAR_SQL},
+s AS (SELECT reviewed, avg(y) AS score FROM t GROUP BY reviewed),
+g AS (SELECT s.score, sum(t.y) AS pos, sum(1 - t.y) AS neg FROM t JOIN s ON t.reviewed = s.reviewed
+      GROUP BY s.score),
+c AS (SELECT pos, neg,
+             coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+      FROM g)
+SELECT round(sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)), 9) AS area_under_roc FROM c""", "M14")
+def m14_training_area_under_roc(spark, d):
+    model = _fit_logistic(_binary_data(spark, d))
+    return spark.createDataFrame([(round(float(model.summary.areaUnderROC), 9),)], "area_under_roc double")
+
+
 @query("m13_model_parameters", None, "M13")
 def m13_model_parameters(spark, d):
     return MO.model_parameters(spark, _fit_logistic(_binary_data(spark, d)))

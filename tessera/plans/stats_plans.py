@@ -169,6 +169,24 @@ def v8_pair_correlations(spark, d):
     return round_doubles(S.all_pair_correlations(rides(spark, d), _PAIR_COLS), 9)
 
 
+def _pair_grid_sql(cols, bins):
+    clean = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+    rng = ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in cols)
+
+    def bucket(c):
+        return (f"CASE WHEN hi_{c} = lo_{c} THEN 1 ELSE least(CAST(floor(({c} - lo_{c}) / (hi_{c} - lo_{c}) * {bins}) "
+                f"AS BIGINT) + 1, {bins}) END")
+    parts = [f"SELECT '{a}' AS x, '{b}' AS y, {bucket(a)} AS bx, {bucket(b)} AS \"by\" FROM t, s"
+             for i, a in enumerate(cols) for b in cols[i + 1:]]
+    return (f"WITH t AS (SELECT {', '.join(cols)} FROM {RIDES_SQL} WHERE {clean}), s AS (SELECT {rng} FROM t) "
+            f"SELECT x, y, bx, \"by\", count(*) AS count FROM ({' UNION ALL '.join(parts)}) GROUP BY x, y, bx, \"by\"")
+
+
+@query("v8_pair_grid_counts", _pair_grid_sql(_PAIR_COLS, 10), "V8 V9")
+def v8_pair_grid_counts(spark, d):
+    return V.pair_grid_counts(rides(spark, d), _PAIR_COLS, 10)
+
+
 @query("v9_binned_2d", f"""
 WITH t AS (SELECT distance, duration FROM {RIDES_SQL} WHERE distance IS NOT NULL AND duration IS NOT NULL),
 sx AS (SELECT min(distance) AS lo, max(distance) AS hi FROM t),

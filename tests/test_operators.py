@@ -218,3 +218,16 @@ def test_exact_quantiles_dates_use_unbracketed_form(spark):
     df = spark.createDataFrame([(d,) for d in days], "d date")
     got = {r.p: r.value for r in exact_quantiles(df, "d", [0.25, 0.5]).collect()}
     assert [got[0.25], got[0.5]] == brute_quantiles(days, [0.25, 0.5])
+
+
+def test_pair_grid_counts_match_single_pair_bins(spark):
+    rnd = random.Random(5)
+    df = spark.createDataFrame([(rnd.random(), rnd.random() * 10, None if i % 17 == 0 else float(i % 13))
+                                for i in range(2000)], "a double, b double, c double")
+    grid = V.pair_grid_counts(df, ["a", "b", "c"], 5)
+    assert {(r.x, r.y) for r in grid.collect()} == {("a", "b"), ("a", "c"), ("b", "c")}
+    complete = df.dropna()
+    for x, y in (("a", "b"), ("b", "c")):
+        got = {(r.bx, r.by): r["count"] for r in grid.where((F.col("x") == x) & (F.col("y") == y)).collect()}
+        want = {(r.bx, r.by): r["count"] for r in V.binned_2d(complete, x, y, 5, 5).collect()}
+        assert got == want
