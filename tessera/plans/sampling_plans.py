@@ -54,3 +54,22 @@ WHERE ('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumbe
 def k5_hash_sample_two_keys(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
     return K.hash_sample(li, ["l_orderkey", "l_linenumber"], 0.02)
+
+
+_PARTITION_SQL = f"SELECT count(*) AS n_rows, count(DISTINCT id) AS n_ids, 2 AS n_parts FROM {RIDES_SQL}"
+
+
+def _split_totals(parts_df):
+    return parts_df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_ids"),
+                        F.count_distinct("split").cast("int").alias("n_parts"))
+
+
+@query("k3_seeded_split_is_partition", _PARTITION_SQL, "K3")
+def k3_seeded_split_is_partition(spark, d):
+    """The parts of a seeded random split cover every row exactly once."""
+    return _split_totals(K.labelled_random_split(rides(spark, d), [0.7, 0.3], seed=12345))
+
+
+@query("k4_unseeded_split_is_partition", _PARTITION_SQL, "K4")
+def k4_unseeded_split_is_partition(spark, d):
+    return _split_totals(K.labelled_random_split(rides(spark, d), [0.7, 0.3]))
