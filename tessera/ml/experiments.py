@@ -48,4 +48,5 @@ def run_experiments(data: DataFrame, params: list[dict], table_path: str, key_co
                float(ev.setMetricName("rmse").evaluate(scored)))
         spark.createDataFrame([row], RUN_SCHEMA).write.mode("overwrite").parquet(
             f"{table_path.rstrip('/')}/run_id={run_id}")
-    return spark.read.parquet(table_path)
+    # the partition column is read as declared: a hex id must not be inferred as a number
+    return spark.read.schema(f"{RUN_SCHEMA}, run_id string").parquet(table_path)

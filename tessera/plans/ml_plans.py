@@ -455,11 +455,48 @@ def m26_feature_importances_top10(spark, d):
     return MO.feature_importances(model, model.transform(data), "features", top=10)
 
 
-@query("m28_experiment_runs", None, "M28 M8 A18")
+_RUNS = [{"fit_intercept": True, "train_fraction": 0.7}, {"fit_intercept": False, "train_fraction": 0.7},
+         {"fit_intercept": True, "train_fraction": 0.5}]
+
+
+def _runs_values_sql() -> str:
+    import json
+
+    rows = [f"('{json.dumps(p, sort_keys=True)}', {str(p['fit_intercept']).lower()}, {p['train_fraction']})"
+            for p in _RUNS]
+    return ", ".join(rows)
+
+
+_M28_SQL = f"""
+WITH t AS (SELECT l_quantity AS x, l_extendedprice AS y,
+                  ('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)), 1, 8))::BIGINT
+                  AS h FROM lineitem),
+runs AS (SELECT substr(md5(settings), 1, 16) AS run_id, fit_intercept, train_fraction,
+                CAST(floor(train_fraction * 4294967296) AS BIGINT) AS cut
+         FROM (VALUES {_runs_values_sql()}) v(settings, fit_intercept, train_fraction)),
+fit AS (SELECT r.run_id,
+               CASE WHEN r.fit_intercept THEN regr_intercept(t.y, t.x) ELSE 0.0 END AS a,
+               CASE WHEN r.fit_intercept THEN regr_slope(t.y, t.x) ELSE sum(t.x * t.y) / sum(t.x * t.x) END AS b,
+               count(*) AS n_train, regr_r2(t.y, t.x) AS r2_int, sum(t.y * t.y) AS syy0
+        FROM runs r JOIN t ON t.h < r.cut GROUP BY r.run_id, r.fit_intercept),
+tr AS (SELECT f.run_id, sum(power(t.y - f.b * t.x, 2)) AS sse0
+       FROM fit f JOIN runs r ON f.run_id = r.run_id JOIN t ON t.h < r.cut GROUP BY f.run_id),
+te AS (SELECT r.run_id, count(*) AS n_test, sum(power(t.y - (f.a + f.b * t.x), 2)) AS sse,
+              var_pop(t.y) * count(*) AS sst, power(corr(t.y, f.a + f.b * t.x), 2) AS c2
+       FROM runs r JOIN fit f ON f.run_id = r.run_id JOIN t ON t.h >= r.cut GROUP BY r.run_id)
+SELECT r.run_id, r.fit_intercept, r.train_fraction, f.n_train, te.n_test,
+       round(1 - te.sse / te.sst, 6) AS r2,
+       round(CASE WHEN r.fit_intercept THEN f.r2_int ELSE 1 - tr.sse0 / f.syy0 END, 9) AS r2_summary,
+       round(te.c2, 9) AS r_squared_corr, round(sqrt(te.sse / te.n_test), 2) AS rmse
+FROM runs r JOIN fit f ON r.run_id = f.run_id JOIN tr ON r.run_id = tr.run_id JOIN te ON r.run_id = te.run_id"""
+
+
+@query("m28_experiment_runs", _M28_SQL, "M28 M8 A18 K5")
 def m28_experiment_runs(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber",
                                             F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("label"))
     data = FE.assemble(li, ["x"], "features")
-    params = [{"fit_intercept": True, "train_fraction": 0.7}, {"fit_intercept": False, "train_fraction": 0.7},
-              {"fit_intercept": True, "train_fraction": 0.5}]
-    return run_experiments(data, params, scratch_path(spark, "experiments"), ["l_orderkey", "l_linenumber"])
+    runs = run_experiments(data, _RUNS, scratch_path(spark, "experiments"), ["l_orderkey", "l_linenumber"])
+    return runs.select("run_id", "fit_intercept", "train_fraction", "n_train", "n_test",
+                       F.round("r2", 6).alias("r2"), F.round("r2_summary", 9).alias("r2_summary"),
+                       F.round("r_squared_corr", 9).alias("r_squared_corr"), F.round("rmse", 2).alias("rmse"))
