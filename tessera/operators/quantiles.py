@@ -8,12 +8,14 @@ task; this operator instead:
 1. (numeric columns) one aggregate pass computes ``n`` and an approximate
    quantile sketch at ``p ± 2ε``.  The sketch's rank guarantee (±εn) puts
    the exact answer between those two values: a bracket;
-2. one aggregate pass counts the rows below each bracket;
-3. only values inside a bracket (about 4εn rows per probability) are kept:
-   counted per distinct value (map-side combined, so a hot value becomes
-   one row), range-partitioned, sorted within partitions and checkpointed
-   to the shared checkpoint folder (reliable, so the layout the offsets
-   refer to is fixed and survives executor loss);
+2. one more scan counts, per distinct value, only the values inside a
+   bracket (about 4εn rows per probability; map-side combined, so a hot
+   value becomes one row); all other rows collapse into at most k+1 groups
+   that record which brackets they lie below.  The result is
+   range-partitioned, sorted within partitions and checkpointed to the
+   shared checkpoint folder (reliable, so the layout the offsets refer to
+   is fixed and survives executor loss);
+3. the rows below each bracket are summed from that small table;
 4. one row per partition (in-bracket totals) goes to the driver to place
    each partition on each bracket's rank axis;
 5. each partition walks its cumulative counts and emits the value of every
@@ -94,18 +96,22 @@ def _exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
         return spark.createDataFrame([(p, None) for p in probs], out_schema)
     ranks = target_ranks(probs, n)
     v = F.col("v")
+    k = len(probs)
+    inside = [_inside(v, lo, hi) for lo, hi in brackets]
+    is_candidate = reduce(lambda a, b: a | b, inside)
 
-    # rows strictly below each bracket, one pass
-    below = [0] * len(probs)
+    # One scan: candidate values keep their own group; every other row is
+    # grouped under a null value and a bitmask of the bracket lower bounds it
+    # lies below (at most k+1 distinct masks, as the bounds are monotone).
+    # Rows below each bracket are summed from both kinds afterwards.
     lows = [(i, lo) for i, (lo, _) in enumerate(brackets) if lo is not None]
-    if lows:
-        r = vals.agg(*[F.count(F.when(v < F.lit(lo), 1)).alias(f"b{i}") for i, lo in lows]).first()
-        for i, _ in lows:
-            below[i] = r[f"b{i}"]
-
-    inside = [_inside(v, lo, hi) for lo, hi in brackets]
-    candidates = vals.where(reduce(lambda a, b: a | b, inside))
-    counts = candidates.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    if k > 62 and lows:
+        raise ValueError("at most 62 probabilities per call")
+    mask = reduce(lambda a, b: a + b, [F.when(v < F.lit(lo), F.lit(1 << i)).otherwise(F.lit(0))
+                                       for i, lo in lows], F.lit(0).cast("long"))
+    keyed = vals.select(F.when(is_candidate, v).alias("kv"),
+                        F.when(is_candidate, F.lit(0).cast("long")).otherwise(mask).alias("mask"))
+    counts = keyed.groupBy("kv", "mask").agg(F.count(F.lit(1)).alias("c")).withColumnRenamed("kv", "v")
     ensure_checkpoint_dir(spark)
     # Without an explicit count adaptive execution may merge adjacent ranges;
     # the checkpoint fixes whatever layout ran, and pids below refer to it.
@@ -113,20 +119,27 @@ def _exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
         else counts.repartitionByRange("v")
     ranged = (ranged.sortWithinPartitions("v")
               .withColumn("pid", F.spark_partition_id()).checkpoint(eager=True))
+    present = v.isNotNull()
+    c = F.col("c")
     per_pid = ranged.groupBy("pid").agg(
-        *[F.sum(F.when(inside[i], F.col("c")).otherwise(0)).alias(f"t{i}") for i in range(len(probs))]
+        *[F.sum(F.when(present & inside[i], c).otherwise(0)).alias(f"t{i}") for i in range(k)],
+        *[F.sum(F.when((~present & ((F.col("mask").bitwiseAND(F.lit(1 << i))) != 0))
+                       | (present & (v < F.lit(lo))), c).otherwise(0)).alias(f"b{i}") for i, lo in lows]
     ).collect()
-    totals = {row["pid"]: [row[f"t{i}"] for i in range(len(probs))] for row in per_pid}
+    totals = {row["pid"]: [row[f"t{i}"] for i in range(k)] for row in per_pid}
+    below = [0] * k
+    for i, _ in lows:
+        below[i] = sum(row[f"b{i}"] or 0 for row in per_pid)
 
     # verify every bracket; failures fall back to the unbracketed form
-    failed = [i for i in range(len(probs))
-              if not (below[i] < ranks[i] <= below[i] + sum(t[i] for t in totals.values()))]
-    keep = [i for i in range(len(probs)) if i not in failed]
+    failed = [i for i in range(k)
+              if not (below[i] < ranks[i] <= below[i] + sum(t[i] or 0 for t in totals.values()))]
+    keep = [i for i in range(k) if i not in failed]
     offsets: dict[int, list[int]] = {}
     running = list(below)
     for pid in sorted(totals):
         offsets[pid] = list(running)
-        running = [running[i] + totals[pid][i] for i in range(len(probs))]
+        running = [running[i] + (totals[pid][i] or 0) for i in range(k)]
     wanted = [(i, probs[i], ranks[i], brackets[i][0], brackets[i][1]) for i in keep]
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -152,7 +165,9 @@ def _exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
             if rows:
                 yield pd.DataFrame(rows, columns=["p", "value"])
 
-    result = ranged.mapInPandas(pick, schema=out_schema)
+    # the grouped rows outside every bracket are dropped by a narrow filter,
+    # which keeps each partition's order (and keeps integer columns integral)
+    result = ranged.where(F.col("v").isNotNull()).mapInPandas(pick, schema=out_schema)
     if failed:
         if unbracketed:
             raise RuntimeError("exact quantile ranks inconsistent with the counted values")

@@ -231,3 +231,13 @@ def test_pair_grid_counts_match_single_pair_bins(spark):
         got = {(r.bx, r.by): r["count"] for r in grid.where((F.col("x") == x) & (F.col("y") == y)).collect()}
         want = {(r.bx, r.by): r["count"] for r in V.binned_2d(complete, x, y, 5, 5).collect()}
         assert got == want
+
+
+def test_exact_quantiles_large_longs_bracketed(spark):
+    base = 2 ** 60
+    rnd = random.Random(9)
+    vals = [base + rnd.randrange(0, 10 ** 6) for _ in range(30000)] + [base + 17] * 5000
+    df = spark.createDataFrame([(v,) for v in vals], "x long").repartition(5)
+    probs = [0.01, 0.25, 0.5, 0.75, 0.99]
+    got = {r.p: r.value for r in exact_quantiles(df, "x", probs, bracket_error=1e-3).collect()}
+    assert [got[p] for p in probs] == brute_quantiles(vals, probs)
