@@ -33,9 +33,10 @@ NOTES = {
     "a8_grouped_moments": "count/avg/stddev share one aggregate; moment buffers, not rows, are shuffled.",
     "a9_shape_moments": "Global aggregate: each task sends one buffer row; no data shuffle.",
     "a10_pair_moments": "Three pair statistics in one global aggregate.",
-    "a12_exact_quantiles": "Sketch pass brackets each answer, a count pass fixes the ranks below, then only "
-                           "in-bracket values are counted (map-side combined), range-exchanged, checkpointed "
-                           "and picked. The plan below is the final pick over the checkpoint.",
+    "a12_exact_quantiles": "A sketch pass brackets each answer; one more scan counts in-bracket values "
+                           "(map-side combined) and folds all other rows into at most k+1 below-bracket "
+                           "groups; the result is range-exchanged, checkpointed and picked. The plan below is "
+                           "the final pick over the checkpoint.",
     "a15_typed_crosstab": "(row, col) pairs pre-aggregated once and checkpointed; value discovery and the "
                           "pivot read that small table.",
     "a17_one_pass_shares": "Three ratios in one global aggregate instead of four count jobs.",
