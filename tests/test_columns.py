@@ -105,3 +105,10 @@ def test_metres_to_miles(spark):
     df = spark.createDataFrame([(1609.344,), (None,)], "m double")
     assert [r[0] for r in df.select(C.metres_to_miles("m")).collect()] == [1.0, None]
     assert math.isclose(C.METRES_PER_MILE, 1609.344)
+
+
+def test_arrival_rule_carries_over_hour_24_and_minute_overflow(spark):
+    # 24:30 minus 5.9 minutes is 00:24 the next day; 07:75 is read as 08:15
+    df = spark.createDataFrame([(2430, 0.0), (775, 0.0)], "s int, d double")
+    got = [r[0] for r in df.select(predicted_arrival_hhmm("s", "d")).collect()]
+    assert got == [24, 809]

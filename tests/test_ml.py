@@ -121,3 +121,10 @@ def test_least_squares_aggregate_equals_mllib(spark):
     assert r.slope == pytest.approx(model.coefficients[0], rel=1e-9)
     assert r.r2 == pytest.approx(model.summary.r2, rel=1e-9)
     assert r.rmse == pytest.approx(model.summary.rootMeanSquaredError, rel=1e-9) and r.n == 200
+
+
+def test_assembler_skip_drops_rows_with_nulls(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (None, 3.0), (4.0, None)], "a double, b double")
+    assert FE.assemble(df, ["a", "b"], "f", handle_invalid="skip").count() == 1
+    with pytest.raises(Exception):
+        FE.assemble(df, ["a", "b"], "f").collect()

@@ -87,3 +87,12 @@ def test_inventory_tags_cover_survey():
     assert tags <= ids, tags - ids
     # S17 (bounded hand-over to a local frame) is a driver helper covered by unit tests
     assert ids - tags <= {"S17"}, ids - tags
+
+
+@pytest.mark.parametrize("a,b", [("a4_filter_group_sort", "a5_sql_group_sort"),
+                                 ("f6_and_filter", "f6_chained_filters"),
+                                 ("x19_haversine_native", "u2_haversine_pandas_udf"),
+                                 ("j1_orders_enriched", "j1_orders_enriched_hot_key_split")])
+def test_equivalent_forms_give_equal_rows(spark, a, b):
+    qa, qb = E.queries()[a](spark, SF_SMALL), E.queries()[b](spark, SF_SMALL)
+    assert sorted(map(tuple, qa.collect()), key=_key) == sorted(map(tuple, qb.collect()), key=_key)
