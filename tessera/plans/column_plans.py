@@ -273,7 +273,7 @@ def x13_x14_age_in_years(spark, d):
     return o.select("o_orderkey", C.age_in_years("o_orderdate", F.lit(AS_OF)).cast("long").alias("age"))
 
 
-@query("x15_hour_of_timestamp", "SELECT event_id, hour(ts) AS hour_of_day FROM events", "X15")
+@query("x15_hour_of_timestamp", "SELECT event_id, CAST(hour(ts) AS INTEGER) AS hour_of_day FROM events", "X15")
 def x15_hour_of_timestamp(spark, d):
     return table(spark, d, "events").select("event_id", C.hour_of_day("ts").alias("hour_of_day"))
 

@@ -14,7 +14,8 @@ from .registry import table
 # flights ↔ lineitem: carrier, flight, origin, dest, delays, date parts.
 FLIGHTS_SQL = """(SELECT
     l_orderkey * 10 + l_linenumber AS id,
-    year(l_shipdate) AS year, month(l_shipdate) AS month, day(l_shipdate) AS day,
+    CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month,
+    CAST(day(l_shipdate) AS INTEGER) AS day,
     'C' || CAST(l_suppkey % 16 AS VARCHAR) AS carrier,
     CASE WHEN l_linenumber = 7 THEN NULL ELSE l_linenumber END AS flight,
     l_returnflag AS origin, l_linestatus AS dest,

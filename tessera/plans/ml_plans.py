@@ -39,7 +39,7 @@ def _five_star(spark, d):
     return r.withColumn("reviewed", F.col("review").isNotNull())
 
 
-_FIVE_STAR_SQL = f"""(SELECT id, CASE WHEN CAST(star_rating AS DOUBLE) > 4.5 THEN 1.0 ELSE 0.0 END AS y,
+_FIVE_STAR_SQL = f"""(SELECT id, CASE WHEN CAST(star_rating AS DOUBLE) > 4.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS y,
     review IS NOT NULL AS reviewed, CAST(star_rating AS DOUBLE) AS star_rating_double,
     {_HASH} < {_CUT_70} AS is_train
   FROM {RATED_SQL} WHERE cancelled = 0)"""
@@ -80,7 +80,7 @@ def m2_string_indexer(spark, d):
 
 
 @query("m3_one_hot_encoder", f"""
-SELECT c.c_custkey, {", ".join(f"CASE WHEN s.idx = {k} THEN 1.0 ELSE 0.0 END AS oh_{k}" for k in range(4))}
+SELECT c.c_custkey, {", ".join(f"CASE WHEN s.idx = {k} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS oh_{k}" for k in range(4))}
 FROM customer c JOIN {_SEG_INDEX_SQL} s ON c.c_mktsegment = s.segment""", "M3")
 def m3_one_hot_encoder(spark, d):
     c = table(spark, d, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"))
@@ -95,7 +95,7 @@ _SEG_INDEX_JOINED_SQL = f"""(SELECT c_mktsegment AS segment,
 
 _ASSEMBLED_SQL = f"""
 SELECT r.id, CAST(r.review IS NOT NULL AS DOUBLE) AS f_0, r.totalprice AS f_1,
-       {", ".join(f"CASE WHEN s.idx = {k} THEN 1.0 ELSE 0.0 END AS f_{k + 2}" for k in range(4))}
+       {", ".join(f"CASE WHEN s.idx = {k} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS f_{k + 2}" for k in range(4))}
 FROM {RATED_SQL} r JOIN customer c ON r.custkey = c.c_custkey
 JOIN {_SEG_INDEX_JOINED_SQL} s ON c.c_mktsegment = s.segment"""
 
@@ -223,7 +223,7 @@ def m10_logistic_regression(spark, d):
 
 
 @query("m11_decision_tree", f"""
-SELECT reviewed, CASE WHEN avg(y) > 0.5 THEN 1.0 ELSE 0.0 END AS prediction
+SELECT reviewed, CASE WHEN avg(y) > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
 FROM {_FIVE_STAR_SQL} GROUP BY reviewed""", "M11")
 def m11_decision_tree(spark, d):
     data = _binary_data(spark, d)
@@ -268,7 +268,7 @@ def m15_holdout_area_under_roc(spark, d):
 
 
 @query("m16_predict_holdout", f"""{_SCORES_SQL}
-SELECT id, CASE WHEN score > 0.5 THEN 1.0 ELSE 0.0 END AS prediction, round(score, 6) AS probability FROM te""",
+SELECT id, CASE WHEN score > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, round(score, 6) AS probability FROM te""",
        "M16")
 def m16_predict_holdout(spark, d):
     model, test = _holdout_scored(spark, d)
@@ -399,7 +399,7 @@ def m22_m23_kfold_tuning(spark, d):
 
 @query("m24_m25_staged_model_save_load", f"""
 WITH t AS {_FIVE_STAR_SQL},
-m AS (SELECT reviewed, CASE WHEN avg(y) > 0.5 THEN 1.0 ELSE 0.0 END AS prediction FROM t GROUP BY reviewed)
+m AS (SELECT reviewed, CASE WHEN avg(y) > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction FROM t GROUP BY reviewed)
 SELECT m.prediction AS prediction_five_star_rating,
        count(*) FILTER (WHERE t.y = 0.0) AS "0.0", count(*) FILTER (WHERE t.y = 1.0) AS "1.0"
 FROM t JOIN m ON t.reviewed = m.reviewed GROUP BY m.prediction""", "M24 M25 F11 P8 M1 A15")
@@ -471,7 +471,7 @@ _M28_SQL = f"""
 WITH t AS (SELECT l_quantity AS x, l_extendedprice AS y,
                   ('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)), 1, 8))::BIGINT
                   AS h FROM lineitem),
-runs AS (SELECT substr(md5(settings), 1, 16) AS run_id, fit_intercept, train_fraction,
+runs AS (SELECT substr(md5(settings), 1, 16) AS run_id, fit_intercept, CAST(train_fraction AS DOUBLE) AS train_fraction,
                 CAST(floor(train_fraction * 4294967296) AS BIGINT) AS cut
          FROM (VALUES {_runs_values_sql()}) v(settings, fit_intercept, train_fraction)),
 fit AS (SELECT r.run_id,

@@ -143,7 +143,7 @@ def a13_group_by_boolean_expression(spark, d):
 
 
 @query("a14_rides_per_hour_native", """
-SELECT hour(ts) AS hour_of_day, count(*) AS count FROM events GROUP BY 1 ORDER BY 1""", "A14 X15")
+SELECT CAST(hour(ts) AS INTEGER) AS hour_of_day, count(*) AS count FROM events GROUP BY 1 ORDER BY 1""", "A14 X15")
 def a14_rides_per_hour_native(spark, d):
     return (table(spark, d, "events").groupBy(F.hour("ts").alias("hour_of_day"))
             .agg(F.count(F.lit(1)).alias("count")).orderBy("hour_of_day"))

@@ -52,14 +52,14 @@ def a11_approx_quantiles(spark, d):
 
 
 @query("a12_exact_quantiles", f"""
-SELECT unnest({_PROBS_SQL}) AS p, unnest(quantile_disc(l_extendedprice, {_PROBS_SQL})) AS value
+SELECT unnest({_PROBS_SQL}::DOUBLE[]) AS p, unnest(quantile_disc(l_extendedprice, {_PROBS_SQL})) AS value
 FROM lineitem""", "A12")
 def a12_exact_quantiles(spark, d):
     return exact_quantiles(table(spark, d, "lineitem"), "l_extendedprice", PROBS)
 
 
 @query("a12_exact_quantiles_nullable", f"""
-SELECT unnest({_PROBS_SQL}) AS p, unnest(quantile_disc(distance, {_PROBS_SQL})) AS value
+SELECT unnest({_PROBS_SQL}::DOUBLE[]) AS p, unnest(quantile_disc(distance, {_PROBS_SQL})) AS value
 FROM {RIDES_SQL}""", "A12")
 def a12_exact_quantiles_nullable(spark, d):
     return S.approx_quantiles(rides(spark, d), "distance", PROBS, 0.0)
@@ -86,8 +86,8 @@ HUE_ORDER = ["building", "automobile", "machinery", "household", "furniture", "m
 
 @query("v1_ordered_bar_counts", f"""
 SELECT segment, coalesce(sex, 'missing') AS sex, count(*) AS count,
-       coalesce(list_position({SEGMENT_ORDER!r}, segment), 0) AS position,
-       coalesce(list_position({HUE_ORDER!r}, coalesce(sex, 'missing')), 0) AS hue_position
+       CAST(coalesce(list_position({SEGMENT_ORDER!r}, segment), 0) AS BIGINT) AS position,
+       CAST(coalesce(list_position({HUE_ORDER!r}, coalesce(sex, 'missing')), 0) AS BIGINT) AS hue_position
 FROM {RIDERS_SQL} GROUP BY segment, coalesce(sex, 'missing')""", "V1")
 def v1_ordered_bar_counts(spark, d):
     return V.ordered_counts(riders(spark, d), "segment", SEGMENT_ORDER, hue="sex", hue_order=HUE_ORDER)
@@ -114,7 +114,7 @@ s AS (SELECT min(x) AS lo, max(x) AS hi, count(x) AS n, 1.06 * stddev_samp(x) *
 b AS (SELECT {_bucket_sql('x', 50)} AS bucket, count(*) AS c FROM t, s GROUP BY 1),
 c AS (SELECT (lo + (bucket - 1) * ((hi - lo) / 50) + lo + bucket * ((hi - lo) / 50)) / 2 AS centre, c FROM b, s),
 g AS (SELECT range AS point, lo + range * ((hi - lo) / 99) AS x FROM range(0, 100), s)
-SELECT point, round(x, 6) AS x,
+SELECT CAST(point AS INTEGER) AS point, round(x, 6) AS x,
        round(sum(c * exp(-0.5 * power((x - centre) / h, 2))) / (n * h * 2.5066282746310002), 12) AS density
 FROM g, c, s GROUP BY point, x, n, h""", "V3")
 def v3_density_curve(spark, d):
@@ -146,7 +146,7 @@ def v5_sample_points(spark, d):
 
 @query("v6_linear_fit", f"""
 SELECT round(regr_slope(duration, distance), 9) AS slope, round(regr_intercept(duration, distance), 6) AS intercept,
-       round(regr_r2(duration, distance), 9) AS r2, regr_count(duration, distance) AS n
+       round(regr_r2(duration, distance), 9) AS r2, CAST(regr_count(duration, distance) AS BIGINT) AS n
 FROM {RIDES_SQL}""", "V6")
 def v6_linear_fit(spark, d):
     out = V.linear_fit(rides(spark, d), "distance", "duration")

@@ -12,7 +12,7 @@ from .registry import query, round_doubles, table
 _HAV = """6372.8 * (2.0 * asin(sqrt(power(sin(radians(dest_lat - origin_lat) / 2.0), 2)
     + cos(radians(origin_lat)) * cos(radians(dest_lat)) * power(sin(radians(dest_lon - origin_lon) / 2.0), 2))))
     * 1000.0"""
-_HOURS_SQL = "SELECT hour(ts) AS hour_of_day, count(*) AS count FROM events GROUP BY 1 ORDER BY 1"
+_HOURS_SQL = "SELECT CAST(hour(ts) AS INTEGER) AS hour_of_day, count(*) AS count FROM events GROUP BY 1 ORDER BY 1"
 
 
 @query("u1_rides_per_hour_pandas_udf", _HOURS_SQL, "U1 U3 A14")

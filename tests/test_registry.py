@@ -54,10 +54,18 @@ def test_every_query_has_inventory_and_sql_parses(duck):
 ORACLE_NAMES = sorted(E.oracle_sql())
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
+
+
 @pytest.mark.parametrize("name", ORACLE_NAMES)
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF_SMALL)
     cols = sdf.columns
+    rel = duck.sql(E.oracle_sql()[name])
+    otypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for c, t in sdf.dtypes:
+        assert SPARK_TO_DUCK.get(t, t) == otypes.get(c), (c, t, otypes.get(c))
     srows = sorted((tuple(_norm(x) for x in r) for r in sdf.collect()), key=_key)
     res = duck.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
