@@ -75,19 +75,33 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``tessera`` importable in executor Python workers.
-
-    Pandas UDFs and ``mapInPandas`` functions defined here are pickled by
-    reference, so each worker must import the package.  The package is
-    zipped once per application and added with ``addPyFile``; Spark serves
-    it to every executor, including ones started later.
+    """Make ``tessera`` code usable in executor Python workers.
+
+    Pandas UDFs, row UDFs and ``mapInPandas`` functions defined here would
+    be pickled by reference, so each worker would have to import the
+    package.  Registering the package with cloudpickle sends their code by
+    value with each task instead, so executors need no copy of the package
+    and no file is written anywhere.  Only when that is unavailable is the
+    package zipped and added with ``addPyFile``.
     """
-    import zipfile
-
     sc = spark.sparkContext
     app = sc.applicationId
     if app in _SHIPPED:
         return
+    import tessera
+
+    try:
+        from pyspark import cloudpickle
+
+        cloudpickle.register_pickle_by_value(tessera)
+    except (ImportError, AttributeError, ValueError):
+        _add_package_zip(sc)
+    _SHIPPED.add(app)
+
+
+def _add_package_zip(sc) -> None:
+    import zipfile
+
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg_dir)
     fd, zpath = tempfile.mkstemp(prefix="tessera-", suffix=".zip")
@@ -100,4 +114,3 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(dirpath, f)
                     zf.write(full, os.path.relpath(full, root))
     sc.addPyFile(zpath)
-    _SHIPPED.add(app)
