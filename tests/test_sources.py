@@ -100,3 +100,13 @@ def test_crosstab_refuses_wide_tables(spark):
             S.typed_crosstab(df, "k", "id")
     finally:
         S.MAX_CROSSTAB_COLUMNS = old
+
+
+def test_checkpoint_dir_is_kept_when_set(spark):
+    from tessera.session import ensure_checkpoint_dir
+
+    before = spark.sparkContext.getCheckpointDir()
+    assert before and ensure_checkpoint_dir(spark) == before
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    path = scratch_path(spark, "probe")
+    assert "tessera-scratch/probe/" in path and (base is None or path.startswith(base.rstrip("/")))
