@@ -147,7 +147,7 @@ def cut_words(batch):
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_runs: int = SHARD_RUNS,
                    max_group: int = MAX_GROUP) -> DataFrame:
-    """doc_id, tag, a, b, origin: words ``a`` to ``b`` of the document also stand
+    """doc, tag, a, b, origin: words ``a`` to ``b`` of the document also stand
     in the earlier document ``origin``, as part of a stretch of at least
     ``length`` words."""
     C.prepare(docs.sparkSession)
@@ -155,14 +155,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     base = R.base(docs)
     found = R.candidates(base, unit, True, max_group)
     distinct = (found.groupBy("key", "content")
-                .agg(F.min(F.struct("doc_id", "tag", "start", "n")).alias("f"), F.max("doc_id").alias("last_doc"))
+                .agg(F.min(F.struct("doc", "tag", "start", "n")).alias("f"), F.max("doc").alias("last_doc"))
                 .select("key", "content", "f.*", "last_doc"))
     shards = max(1, -(-found.count() // shard_runs))
-    lists = (distinct.groupBy("doc_id", "tag")
+    lists = (distinct.groupBy("doc", "tag")
              .agg(F.collect_list(F.struct("key", "content", "start",
                                           (F.col("start") + F.col("n") + F.lit(length - 1)).alias("end"),
                                           "last_doc")).alias("runs")))
-    cut = C.map_arrow(base.join(lists, ["doc_id", "tag"]).select("doc_id", "text", "runs"), cut_words,
+    cut = C.map_arrow(base.join(lists, ["doc", "tag"]).select("doc", "text", "runs"), cut_words,
                       "key long, content long, first_doc long, last_doc long, words binary")
 
     def shard(table: pa.Table) -> pa.Table:
@@ -170,8 +170,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
 
     matches = (cut.withColumn("shard", F.pmod("key", F.lit(shards)))
                .groupBy("shard").applyInArrow(shard, MATCH))
-    return (found.join(matches, ["key", "content"]).where("origin < doc_id")
-            .select("doc_id", "tag", (F.col("start") + F.col("a")).alias("a"),
+    return (found.join(matches, ["key", "content"]).where("origin < doc")
+            .select("doc", "tag", (F.col("start") + F.col("a")).alias("a"),
                     (F.col("start") + F.col("b")).alias("b"), "origin"))
 
 
@@ -186,15 +186,15 @@ def remove_repeated_phrases(docs: DataFrame, length: int = LENGTH, gram: int = G
     removed.
     """
     spans = repeated_spans(docs, length, gram, shard_runs, max_group)
-    per_doc = (spans.select("doc_id", "tag", "a", "b").distinct()
-               .groupBy("doc_id", "tag").agg(F.collect_list(F.struct("a", "b")).alias("spans")))
+    per_doc = (spans.select("doc", "tag", "a", "b").distinct()
+               .groupBy("doc", "tag").agg(F.collect_list(F.struct("a", "b")).alias("spans")))
     kept = docs.where("doc_id is not null")
-    base = kept.select(F.struct("*").alias("row"), *_base_columns()) if carry else R.base(docs)
+    base = kept.select(F.struct("*").alias("row"), *R.columns()) if carry else R.base(docs)
     none = F.lit(None).cast("array<struct<a:bigint,b:bigint>>")
     rest = docs.where("doc_id is null")
-    rest = rest.select(*([F.struct("*").alias("row")] if carry else []), F.lit(None).cast("long").alias("doc_id"),
+    rest = rest.select(*([F.struct("*").alias("row")] if carry else []), F.lit(None).cast("long").alias("doc"),
                        F.col("text").cast("binary").alias("text"), none.alias("spans"))
-    joined = base.join(per_doc, ["doc_id", "tag"], "left").select(*rest.columns).unionByName(rest)
+    joined = base.join(per_doc, ["doc", "tag"], "left").select(*rest.columns).unionByName(rest)
     k = int(carry)
 
     def remove(batch):
@@ -235,11 +235,6 @@ def remove_repeated_phrases(docs: DataFrame, length: int = LENGTH, gram: int = G
     return out.withColumn("kept_text", F.col("kept_text").cast("string"))
 
 
-def _base_columns():
-    return (F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"),
-            C.text_tag(F.col("text").cast("binary")).alias("tag"))
-
-
 def op2_substring_dedup(spark, sf_dir: str) -> DataFrame:
     """doc_id, n_words, n_removed and the digest of the kept words, for every document."""
     docs = C.read(spark, sf_dir, "documents").select("doc_id", "text")

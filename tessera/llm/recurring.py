@@ -13,13 +13,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
 
-RUN = "key long, content long, doc_id long, tag long, start long, n long"
-
 
 class Unit:
     """Words or bytes as the units of windows."""
@@ -34,11 +32,17 @@ class Unit:
 
 
 def base(docs: DataFrame) -> DataFrame:
-    """doc_id, text as bytes and its tag, of rows with a doc_id."""
-    text = F.col("text")
-    return docs.where("doc_id is not null").select(
-        F.col("doc_id").cast("long").alias("doc_id"), text.cast("binary").alias("text"),
-        C.text_tag(text.cast("binary")).alias("tag"))
+    """doc (the doc_id), text as bytes and its tag, of rows with a doc_id.
+
+    The new name keeps this projection the same in every join of a plan, so
+    that Spark shuffles the texts once and reuses that exchange.
+    """
+    return docs.where("doc_id is not null").select(*columns())
+
+
+def columns() -> list[Column]:
+    text = F.col("text").cast("binary")
+    return [F.col("doc_id").cast("long").alias("doc"), text.alias("text"), C.text_tag(text).alias("tag")]
 
 
 def run_rows(base_docs: DataFrame, unit: Unit) -> DataFrame:
@@ -60,17 +64,17 @@ def run_rows(base_docs: DataFrame, unit: Unit) -> DataFrame:
             place.append((C.tag_of(data) << 39) | (start.astype(np.int64) << 8) | n.astype(np.int64))
         if key:
             yield {"key": C.signed(np.concatenate(key)), "content": C.signed(np.concatenate(content)),
-                   "doc_id": np.concatenate(doc), "place": np.concatenate(place)}
+                   "doc": np.concatenate(doc), "place": np.concatenate(place)}
 
-    long_enough = base_docs.where(F.octet_length("text") >= unit.least_bytes).select("doc_id", "text")
-    return C.map_arrow(long_enough, rows, "key long, content long, doc_id long, place long")
+    long_enough = base_docs.where(F.octet_length("text") >= unit.least_bytes).select("doc", "text")
+    return C.map_arrow(long_enough, rows, "key long, content long, doc long, place long")
 
 
 def unpack(df: DataFrame) -> DataFrame:
-    return df.select("key", "content", "doc_id", F.shiftright("place", 39).alias("tag"),
+    return df.select("key", "content", "doc", F.shiftright("place", 39).alias("tag"),
                      F.shiftright("place", 8).bitwiseAND(F.lit((1 << 31) - 1)).alias("start"),
                      F.col("place").bitwiseAND(F.lit(255)).cast("long").alias("n"),
-                     *[c for c in df.columns if c not in ("key", "content", "doc_id", "place")])
+                     *[c for c in df.columns if c not in ("key", "content", "doc", "place")])
 
 
 def candidates(base_docs: DataFrame, unit: Unit, across_documents: bool, max_group: int) -> DataFrame:
@@ -82,7 +86,7 @@ def candidates(base_docs: DataFrame, unit: Unit, across_documents: bool, max_gro
     partial aggregate.  No run is dropped.
     """
     runs = run_rows(base_docs, unit)
-    keys = (runs.groupBy("key").agg(F.count("*").alias("rows"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    keys = (runs.groupBy("key").agg(F.count("*").alias("rows"), F.min("doc").alias("lo"), F.max("doc").alias("hi"))
             .where("lo < hi" if across_documents else "rows > 1").select("key", "rows"))
     found = unpack(runs.join(keys, "key")).checkpoint()
     cold = found.where(F.col("rows") <= max_group).drop("rows")
@@ -101,17 +105,17 @@ def candidates(base_docs: DataFrame, unit: Unit, across_documents: bool, max_gro
         for d, t, data, lists in zip(*(batch.column(i).to_pylist() for i in range(4))):
             w = windows(d, data, [(r["key"], r["content"], r["start"], r["n"]) for r in lists])
             m = len(w["start"])
-            yield w | {"doc_id": np.full(m, d, np.int64), "tag": np.full(m, t, np.int64), "n": np.ones(m, np.int64)}
+            yield w | {"doc": np.full(m, d, np.int64), "tag": np.full(m, t, np.int64), "n": np.ones(m, np.int64)}
 
     single = C.map_arrow(with_runs(base_docs, hot), taken_apart,
-                         "key long, content long, doc_id long, tag long, start long, n long")
+                         "key long, content long, doc long, tag long, start long, n long")
     return cold.unionByName(single).checkpoint()
 
 
 def with_runs(base_docs: DataFrame, runs: DataFrame) -> DataFrame:
-    """doc_id, tag, text and the list of its runs (bounded by the text)."""
-    per_doc = runs.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("key", "content", "start", "n")).alias("runs"))
-    return base_docs.join(per_doc, ["doc_id", "tag"]).select("doc_id", "tag", "text", "runs")
+    """doc, tag, text and the list of its runs (bounded by the text)."""
+    per_doc = runs.groupBy("doc", "tag").agg(F.collect_list(F.struct("key", "content", "start", "n")).alias("runs"))
+    return base_docs.join(per_doc, ["doc", "tag"]).select("doc", "tag", "text", "runs")
 
 
 def list_parts(column: pa.ListArray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
