@@ -19,6 +19,8 @@ import tempfile
 
 import numpy as np
 
+from . import common as C
+
 END = 0
 BIG = np.int64(1) << 40
 
@@ -97,72 +99,214 @@ def _between(lcp: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-class _Induction:
-    """One pass over the symbols, up (L from marks) or down (S from L)."""
-
-    def __init__(self, t: np.ndarray, small: np.ndarray, memory: int):
-        self.t, self.small, self.memory = t, small, memory
-        self.symbols, counts = np.unique(t, return_counts=True)
-        self.bounds = np.concatenate(([0], np.cumsum(counts)))
-
-    def run(self, seeds: dict[int, np.ndarray], up: bool, with_lcp: bool) -> dict[int, np.ndarray]:
-        """``seeds``: per symbol the (position, lcp) tuples in order of the pass.
-
-        Returns per symbol the induced tuples in order of the pass.  A tuple's
-        prefix value is that with the tuple before it in the pass.
-        """
-        t, small, queue, done = self.t, self.small, BucketQueue(self.memory), {}
-        last: dict[int, int] = {}   # step of the latest push per symbol
-        low: list[int] = []         # running minima per step are kept per symbol below
-        pending: dict[int, int] = {}  # symbol -> smallest lcp met since its latest push
-        order = self.symbols if up else self.symbols[::-1]
-        for c in order.tolist():
-            waiting = queue.pop(c)
-            got = []
-            while waiting is not None and waiting.shape[1]:
-                got.append(waiting)
-                self._emit(waiting, c, up, queue, pending, with_lcp)
-                waiting = queue.pop(c)
-            if got:
-                done[c] = np.concatenate(got, axis=1)
-            extra = seeds.get(c)
-            if extra is not None and extra.shape[1]:
-                self._emit(extra, c, up, queue, pending, with_lcp)
-        queue.close()
-        return done
-
-    def _emit(self, tuples, c, up, queue, pending, with_lcp) -> None:
-        t, small = self.t, self.small
+class Steps:
+    """Common prefixes of tuples that one symbol receives in different steps.
+
+    A tuple induced now follows, under its symbol, the tuple induced last;
+    their common prefix is one more than the smallest value met in between.
+    """
+
+    def __init__(self):
+        self.low = np.empty(1024, np.int64)
+        self.n = 0
+        self.at: dict[int, tuple[int, int]] = {}
+
+    def close(self, lcp: np.ndarray) -> None:
+        if self.n == len(self.low):
+            self.low = np.concatenate((self.low, np.empty_like(self.low)))
+        self.low[self.n] = lcp.min()
+        self.n += 1
+
+    def since(self, symbol: int, lcp: np.ndarray, first: int, last: int) -> int:
+        """Value for the first tuple given to ``symbol`` in the present step."""
+        before = self.at.get(symbol)
+        self.at[symbol] = (self.n, int(lcp[last + 1:].min(initial=BIG)))
+        if before is None:
+            return 0
+        step, tail = before
+        between = int(self.low[step + 1:self.n].min(initial=BIG))
+        return min(tail, between, int(lcp[:first + 1].min())) + 1
+
+
+def induce(t: np.ndarray, small: np.ndarray, symbols: list[int], seeds, up: bool, memory: int,
+           run_length: np.ndarray | None) -> dict[int, np.ndarray]:
+    """One pass over the symbols: up, L tuples from the marks; down, S from L.
+
+    ``seeds`` gives per symbol its (position; prefix) tuples in the order of
+    the pass; a prefix is that with the tuple before in the pass.  Returns the
+    induced tuples per symbol in the same form.  ``run_length`` (length of the
+    run of equal symbols from each position) is given if prefixes are carried:
+    at the seam of L and S tuples under one symbol the shorter run is the
+    common prefix.
+    """
+    queue, done, steps = BucketQueue(memory), {}, Steps()
+
+    def emit(tuples):
         pos, lcp = tuples
-        ok = pos > 0
-        prev = np.where(ok, pos - 1, 0)
-        ok &= (t[prev] != END) & (small[prev] != up)
-        # everything passed lowers the minima that wait for a later tuple of a symbol
-        at = np.flatnonzero(ok)
-        if with_lcp:
-            whole = int(lcp.min())
+        prev = pos - 1
+        keep = pos > 0
+        prev[~keep] = 0
+        first = t[prev]
+        keep &= (first != END) & (small[prev] != up)
+        at = np.flatnonzero(keep)
         if len(at):
-            symbols = t[prev[at]]
-            by = np.argsort(symbols, kind="stable")
-            s = symbols[by]
-            cuts = np.flatnonzero(s[1:] != s[:-1]) + 1
-            for part in np.split(by, cuts):
-                sym, idx = int(symbols[part[0]]), at[part]
-                new = np.empty((2, len(idx)), np.int64)
+            of = first[at]
+            by = np.argsort(of, kind="stable")
+            of = of[by]
+            cuts = np.flatnonzero(of[1:] != of[:-1]) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(of)]):
+                idx, symbol = at[by[a:b]], int(of[a])
+                new = np.zeros((2, b - a), np.int64)
                 new[0] = prev[idx]
-                if with_lcp:
-                    new[1] = _between(lcp, idx) + 1
-                    before = int(lcp[:idx[0] + 1].min())
-                    new[1, 0] = min(pending.get(sym, -1), before) + 1 if sym in pending else 0
-                    pending[sym] = int(lcp[idx[-1] + 1:].min()) if idx[-1] + 1 < len(lcp) else int(BIG)
-                else:
-                    new[1] = 0
-                queue.push(sym, new)
-            if with_lcp:
-                touched = set(symbols.tolist())
-        else:
-            touched = set()
-        if with_lcp:
-            for sym in pending:
-                if sym not in touched or not len(at):
-                    pending[sym] = min(pending[sym], whole)
+                if run_length is not None:
+                    if b - a > 1:
+                        bounds = np.stack([idx[:-1] + 1, idx[1:] + 1], 1).ravel()
+                        new[1, 1:] = np.minimum.reduceat(np.append(lcp, BIG), bounds)[::2] + 1
+                    new[1, 0] = steps.since(symbol, lcp, int(idx[0]), int(idx[-1]))
+                queue.push(symbol, new)
+        if run_length is not None:
+            steps.close(lcp)
+
+    for c in symbols if up else symbols[::-1]:
+        got = []
+        while (waiting := queue.pop(c)) is not None:
+            got.append(waiting)
+            emit(waiting)
+        if got:
+            done[c] = np.concatenate(got, axis=1)
+        extra = seeds.get(c)
+        if extra is not None:
+            extra = extra.copy()
+            if run_length is not None:
+                extra[1, 0] = min(run_length[done[c][0, -1]], run_length[extra[0, 0]]) if got else 0
+            emit(extra)
+    queue.close()
+    return done
+
+
+def _down_seeds(large: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """L tuples in descending order, each with the prefix it shares with the next larger one."""
+    out = {}
+    for c, (pos, lcp) in large.items():
+        back = np.zeros((2, len(pos)), np.int64)
+        back[0] = pos[::-1]
+        back[1, 1:] = lcp[1:][::-1]
+        out[c] = back
+    return out
+
+
+def _by_symbol(t: np.ndarray, pos: np.ndarray, lcp: np.ndarray) -> dict[int, np.ndarray]:
+    of = t[pos]
+    cuts = np.flatnonzero(of[1:] != of[:-1]) + 1
+    return {int(of[a]): np.stack([pos[a:b], lcp[a:b]]).astype(np.int64)
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(of)])} if len(pos) else {}
+
+
+def common_prefixes(t: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """Common prefix of each listed suffix with the one listed before it,
+    four symbols at a time and then one by one."""
+    out = np.zeros(len(pos), np.int64)
+    a, b = pos[1:].copy(), pos[:-1].copy()
+    live = np.arange(1, len(pos))
+    if t.dtype == np.uint16:
+        wide = np.append(t, np.zeros(3, np.uint16)).astype(np.uint64)
+        four = wide[:-3] | wide[1:-2] << 16 | wide[2:-1] << 32 | wide[3:] << 48
+        whole = (wide[:-3] != END) & (wide[1:-2] != END) & (wide[2:-1] != END) & (wide[3:] != END)
+        go, x, y = live, a, b
+        while len(go):
+            same = (four[x] == four[y]) & whole[x]
+            go, x, y = go[same], x[same] + 4, y[same] + 4
+            out[go] += 4
+        a, b = a + out[1:], b + out[1:]
+    while len(live):
+        same = (t[a] == t[b]) & (t[a] != END)
+        live, a, b = live[same], a[same] + 1, b[same] + 1
+        out[live] += 1
+    return out
+
+
+def doubled_order(t: np.ndarray) -> np.ndarray:
+    """Suffixes by rank doubling: the end of the recursion, for a short
+    sequence over many names.  Positions of end marks are left out."""
+    n = len(t)
+    ends = np.flatnonzero(t == END)
+    reach = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)
+    rank, k, most = t.astype(np.int64), 1, int(reach.max(initial=0))
+    while k < most:
+        second = np.zeros(n, np.int64)
+        ok = reach > k
+        second[ok] = rank[np.flatnonzero(ok) + k]
+        values, rank = np.unique(rank * (int(rank.max()) + 1) + second, return_inverse=True)
+        if len(values) >= n - len(ends) + 1:
+            break
+        k *= 2
+    order = np.argsort(rank, kind="stable")
+    return order[t[order] != END]
+
+
+def sorted_marks(t: np.ndarray, small: np.ndarray, marks: np.ndarray, symbols: list[int], memory: int) -> np.ndarray:
+    """The marks (end marks left out) in the order of their suffixes."""
+    ends = marks[t[marks] == END]
+    inner = marks[t[marks] != END]
+    if not len(inner):
+        return inner
+    start = np.concatenate((ends, inner[np.argsort(t[inner], kind="stable")]))
+    large = induce(t, small, symbols, _by_symbol(t, start, np.zeros(len(start))), True, memory, None)
+    down = induce(t, small, symbols, {c: x[:, ::-1] for c, x in large.items()}, False, memory, None)
+    is_mark = np.zeros(len(t), bool)
+    is_mark[inner] = True
+    found = [down[c][0, ::-1] for c in symbols if c in down]
+    order = np.concatenate(found)
+    order = order[is_mark[order]]
+    nxt = np.append(marks[1:], len(t) - 1)[np.searchsorted(marks, order)]
+    h = C.Stretches(C.mix(t.astype(np.uint64) + np.uint64(1))).hash(order, nxt + 1)
+    name = np.cumsum(np.concatenate(([True], h[1:] != h[:-1])))
+    if name[-1] == len(order):
+        return order
+    named = np.zeros(len(t), np.int64)
+    named[order] = name
+    short = named[marks]  # the sequence of names; end marks stay end marks
+    if name[-1] <= FEW_NAMES and len(short) > SHORT:
+        return marks[suffix_order(short, memory, carry=False)[0]]
+    return marks[doubled_order(short)]
+
+
+FEW_NAMES = 2048
+SHORT = 64
+
+
+def suffix_order(t: np.ndarray, memory: int = 64 << 20, carry: bool = True) -> tuple[np.ndarray, np.ndarray | None]:
+    """All suffixes in order (end marks left out), and with ``carry`` the
+    common prefix of each with the one before it; prefixes end at end marks."""
+    if not len(t):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    small = suffix_types(t)
+    marks = marks_of(t, small)
+    symbols = np.unique(t).tolist()
+    inner = sorted_marks(t, small, marks, symbols, memory)
+    run_length = None
+    lcp = np.zeros(len(inner), np.int64)
+    if carry:
+        lcp = common_prefixes(t, inner)
+        edge = np.flatnonzero(np.append(t[1:] != t[:-1], True))
+        run_length = edge[np.searchsorted(edge, np.arange(len(t)))] - np.arange(len(t)) + 1
+    ends = marks[t[marks] == END]
+    seeds = _by_symbol(t, np.concatenate((ends, inner)), np.concatenate((np.zeros(len(ends), np.int64), lcp)))
+    large = induce(t, small, symbols, seeds, True, memory, run_length)
+    down = induce(t, small, symbols, _down_seeds(large), False, memory, run_length)
+    pos, out = [], []
+    for c in symbols:
+        up_part, down_part = large.get(c), down.get(c)
+        if up_part is not None:
+            pos.append(up_part[0])
+            out.append(up_part[1])
+        if down_part is not None:
+            pos.append(down_part[0, ::-1])
+            back = np.zeros(down_part.shape[1], np.int64)
+            back[1:] = down_part[1, 1:][::-1]
+            if run_length is not None and up_part is not None:
+                back[0] = min(run_length[up_part[0, -1]], run_length[down_part[0, -1]])
+            out.append(back)
+    if not pos:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(pos), np.concatenate(out) if carry else None

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from .phrases import op2_substring_dedup
+from .substrings import op9_suffix_array_dedup
 
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -25,6 +25,8 @@ class Unit:
     def __init__(self, name: str, length: int, gram: int):
         self.name, self.length, self.gram = name, length, gram
         self.windows = length - gram + 1
+        if self.windows > 127:
+            raise ValueError("a run holds at most 127 windows")
         self.least_bytes = length if name == "byte" else 2 * length - 1
 
     def codes(self, data: bytes) -> np.ndarray:
@@ -48,8 +50,8 @@ def columns() -> list[Column]:
 def run_rows(base_docs: DataFrame, unit: Unit) -> DataFrame:
     """One row per run: key, hash of its content, document, place.
 
-    Tag, start and length share one long (24, 31 and 8 bits) while the rows
-    are shuffled.
+    Tag, start, a mark of runs that may repeat in themselves, and length share
+    one long (24, 31, 1 and 7 bits) while the rows are shuffled.
     """
     def rows(batch):
         key, content, doc, place = [], [], [], []
@@ -57,11 +59,14 @@ def run_rows(base_docs: DataFrame, unit: Unit) -> DataFrame:
             codes = unit.codes(data)
             if len(codes) < unit.length:
                 continue
-            start, n, k = C.window_runs(C.Stretches(codes).grams(unit.gram), unit.windows)
+            grams = C.Stretches(codes).grams(unit.gram)
+            start, n, k = C.window_runs(grams, unit.windows)
+            again = C.repeating_runs(grams, unit.windows, start, n, k)
             key.append(k)
             content.append(C.Stretches(codes, 1).hash(start, start + n + unit.length - 1))
             doc.append(np.full(len(k), d, np.int64))
-            place.append((C.tag_of(data) << 39) | (start.astype(np.int64) << 8) | n.astype(np.int64))
+            place.append((C.tag_of(data) << 39) | (start.astype(np.int64) << 8)
+                         | (again.astype(np.int64) << 7) | n.astype(np.int64))
         if key:
             yield {"key": C.signed(np.concatenate(key)), "content": C.signed(np.concatenate(content)),
                    "doc": np.concatenate(doc), "place": np.concatenate(place)}
@@ -73,7 +78,7 @@ def run_rows(base_docs: DataFrame, unit: Unit) -> DataFrame:
 def unpack(df: DataFrame) -> DataFrame:
     return df.select("key", "content", "doc", F.shiftright("place", 39).alias("tag"),
                      F.shiftright("place", 8).bitwiseAND(F.lit((1 << 31) - 1)).alias("start"),
-                     F.col("place").bitwiseAND(F.lit(255)).cast("long").alias("n"),
+                     F.col("place").bitwiseAND(F.lit(127)).cast("long").alias("n"),
                      *[c for c in df.columns if c not in ("key", "content", "doc", "place")])
 
 
@@ -86,8 +91,12 @@ def candidates(base_docs: DataFrame, unit: Unit, across_documents: bool, max_gro
     partial aggregate.  No run is dropped.
     """
     runs = run_rows(base_docs, unit)
-    keys = (runs.groupBy("key").agg(F.count("*").alias("rows"), F.min("doc").alias("lo"), F.max("doc").alias("hi"))
-            .where("lo < hi" if across_documents else "rows > 1").select("key", "rows"))
+    if across_documents:
+        keys = (runs.groupBy("key").agg(F.count("*").alias("rows"), F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+                .where("lo < hi").select("key", "rows"))
+    else:
+        again = F.when(F.col("place").bitwiseAND(F.lit(128)) > 0, 2).otherwise(1)
+        keys = runs.groupBy("key").agg(F.sum(again).alias("rows")).where("rows > 1")
     found = unpack(runs.join(keys, "key")).checkpoint()
     cold = found.where(F.col("rows") <= max_group).drop("rows")
     hot = found.where(F.col("rows") > max_group).drop("rows")
