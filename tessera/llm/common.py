@@ -111,7 +111,8 @@ class Stretches:
 
     def grams(self, k: int) -> np.ndarray:
         m = len(self.sums) - k
-        return mix((self.sums[k:] - self.sums[:m]) * self.inv[:m])
+        h = (self.sums[k:] - self.sums[:m]) * self.inv[:m]
+        return (h ^ (h >> U64(32))) * U64(0x9FB21C651E98DF25)  # the high bits, which order grams, are well mixed
 
 
 def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

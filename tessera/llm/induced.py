@@ -202,6 +202,11 @@ def _by_symbol(t: np.ndarray, pos: np.ndarray, lcp: np.ndarray) -> dict[int, np.
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(of)])} if len(pos) else {}
 
 
+def _next(places: np.ndarray) -> np.ndarray:
+    """For every position the first of the ascending places at or after it."""
+    return np.repeat(places, np.diff(np.concatenate(([-1], places))))
+
+
 def common_prefixes(t: np.ndarray, pos: np.ndarray) -> np.ndarray:
     """Common prefix of each listed suffix with the one listed before it,
     four symbols at a time and then one by one."""
@@ -230,7 +235,7 @@ def doubled_order(t: np.ndarray) -> np.ndarray:
     sequence over many names.  Positions of end marks are left out."""
     n = len(t)
     ends = np.flatnonzero(t == END)
-    reach = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)
+    reach = _next(ends) - np.arange(n)
     rank, k, most = t.astype(np.int64), 1, int(reach.max(initial=0))
     while k < most:
         second = np.zeros(n, np.int64)
@@ -258,7 +263,9 @@ def sorted_marks(t: np.ndarray, small: np.ndarray, marks: np.ndarray, symbols: l
     found = [down[c][0, ::-1] for c in symbols if c in down]
     order = np.concatenate(found)
     order = order[is_mark[order]]
-    nxt = np.append(marks[1:], len(t) - 1)[np.searchsorted(marks, order)]
+    after = np.zeros(len(t), np.int64)
+    after[marks[:-1]] = marks[1:]
+    nxt = after[order]
     h = C.Stretches(C.mix(t.astype(np.uint64) + np.uint64(1))).hash(order, nxt + 1)
     name = np.cumsum(np.concatenate(([True], h[1:] != h[:-1])))
     if name[-1] == len(order):
@@ -289,7 +296,7 @@ def suffix_order(t: np.ndarray, memory: int = 64 << 20, carry: bool = True) -> t
     if carry:
         lcp = common_prefixes(t, inner)
         edge = np.flatnonzero(np.append(t[1:] != t[:-1], True))
-        run_length = edge[np.searchsorted(edge, np.arange(len(t)))] - np.arange(len(t)) + 1
+        run_length = _next(edge) - np.arange(len(t)) + 1
     ends = marks[t[marks] == END]
     seeds = _by_symbol(t, np.concatenate((ends, inner)), np.concatenate((np.zeros(len(ends), np.int64), lcp)))
     large = induce(t, small, symbols, seeds, True, memory, run_length)

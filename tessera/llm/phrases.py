@@ -35,7 +35,7 @@ from . import recurring as R
 LENGTH = 50
 GRAM = 10
 SHARD_RUNS = 8_000
-MAX_GROUP = 20_000
+MAX_GROUP = 60_000
 
 MATCH = "key long, content long, a int, b int, origin long"
 
@@ -155,13 +155,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     base = R.base(docs)
     found = R.candidates(base, unit, True, max_group)
     distinct = (found.groupBy("key", "content")
-                .agg(F.min(F.struct("doc", "tag", "start", "n")).alias("f"), F.max("doc").alias("last_doc"))
+                .agg(F.min(F.struct("doc", "place")).alias("f"), F.max("doc").alias("last_doc"))
                 .select("key", "content", "f.*", "last_doc"))
     shards = max(1, -(-found.count() // shard_runs))
-    lists = (distinct.groupBy("doc", "tag")
-             .agg(F.collect_list(F.struct("key", "content", "start",
-                                          (F.col("start") + F.col("n") + F.lit(length - 1)).alias("end"),
-                                          "last_doc")).alias("runs")))
+    lists = R.stretches_by_document(distinct, unit, "last_doc")
     cut = C.map_arrow(base.join(lists, ["doc", "tag"]).select("doc", "text", "runs"), cut_words,
                       "key long, content long, first_doc long, last_doc long, words binary")
 
@@ -170,9 +167,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
 
     matches = (cut.withColumn("shard", F.pmod("key", F.lit(shards)))
                .groupBy("shard").applyInArrow(shard, MATCH))
+    start = R.start_of("place")
     return (found.join(matches, ["key", "content"]).where("origin < doc")
-            .select("doc", "tag", (F.col("start") + F.col("a")).alias("a"),
-                    (F.col("start") + F.col("b")).alias("b"), "origin"))
+            .select("doc", R.tag_of("place").alias("tag"), (start + F.col("a")).alias("a"),
+                    (start + F.col("b")).alias("b"), "origin"))
 
 
 def remove_repeated_phrases(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_runs: int = SHARD_RUNS,

@@ -50,8 +50,9 @@ def columns() -> list[Column]:
 def run_rows(base_docs: DataFrame, unit: Unit) -> DataFrame:
     """One row per run: key, hash of its content, document, place.
 
-    Tag, start, a mark of runs that may repeat in themselves, and length share
-    one long (24, 31, 1 and 7 bits) while the rows are shuffled.
+    A place is one long of tag, start, a mark of runs that may repeat in
+    themselves, and number of windows (24, 31, 1 and 7 bits); places of one
+    document order as (tag, start).
     """
     def rows(batch):
         key, content, doc, place = [], [], [], []
@@ -75,11 +76,16 @@ def run_rows(base_docs: DataFrame, unit: Unit) -> DataFrame:
     return C.map_arrow(long_enough, rows, "key long, content long, doc long, place long")
 
 
-def unpack(df: DataFrame) -> DataFrame:
-    return df.select("key", "content", "doc", F.shiftright("place", 39).alias("tag"),
-                     F.shiftright("place", 8).bitwiseAND(F.lit((1 << 31) - 1)).alias("start"),
-                     F.col("place").bitwiseAND(F.lit(127)).cast("long").alias("n"),
-                     *[c for c in df.columns if c not in ("key", "content", "doc", "place")])
+def tag_of(place) -> Column:
+    return F.shiftright(place, 39)
+
+
+def start_of(place) -> Column:
+    return F.shiftright(place, 8).bitwiseAND(F.lit((1 << 31) - 1))
+
+
+def windows_of(place) -> Column:
+    return F.col(place).bitwiseAND(F.lit(127)).cast("long")
 
 
 def candidates(base_docs: DataFrame, unit: Unit, across_documents: bool, max_group: int) -> DataFrame:
@@ -97,34 +103,37 @@ def candidates(base_docs: DataFrame, unit: Unit, across_documents: bool, max_gro
     else:
         again = F.when(F.col("place").bitwiseAND(F.lit(128)) > 0, 2).otherwise(1)
         keys = runs.groupBy("key").agg(F.sum(again).alias("rows")).where("rows > 1")
-    found = unpack(runs.join(keys, "key")).checkpoint()
-    cold = found.where(F.col("rows") <= max_group).drop("rows")
+    found = runs.join(keys, "key").checkpoint()
     hot = found.where(F.col("rows") > max_group).drop("rows")
     if hot.isEmpty():
         return found.drop("rows")
 
-    def windows(doc, data, runs_of_doc):
-        codes = unit.codes(data)
-        s = np.concatenate([np.arange(a, a + n) for _, _, a, n in runs_of_doc])
-        e = s + unit.length
-        key = C.Stretches(codes).hash(s, e)
-        return {"key": C.signed(key), "content": C.signed(C.Stretches(codes, 1).hash(s, e)), "start": s}
-
     def taken_apart(batch):
-        for d, t, data, lists in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            w = windows(d, data, [(r["key"], r["content"], r["start"], r["n"]) for r in lists])
-            m = len(w["start"])
-            yield w | {"doc": np.full(m, d, np.int64), "tag": np.full(m, t, np.int64), "n": np.ones(m, np.int64)}
-
-    single = C.map_arrow(with_runs(base_docs, hot), taken_apart,
-                         "key long, content long, doc long, tag long, start long, n long")
-    return cold.unionByName(single).checkpoint()
-
-
-def with_runs(base_docs: DataFrame, runs: DataFrame) -> DataFrame:
-    """doc, tag, text and the list of its runs (bounded by the text)."""
-    per_doc = runs.groupBy("doc", "tag").agg(F.collect_list(F.struct("key", "content", "start", "n")).alias("runs"))
-    return base_docs.join(per_doc, ["doc", "tag"]).select("doc", "tag", "text", "runs")
+        docs, tags, texts = (batch.column(i).to_pylist() for i in range(3))
+        offsets, runs_of = list_parts(batch.column(3))
+        for i, data in enumerate(texts):
+            codes = unit.codes(data)
+            lo, hi = offsets[i], offsets[i + 1]
+            s = np.concatenate([np.arange(a, b - unit.length + 1)
+                                for a, b in zip(runs_of["start"][lo:hi], runs_of["end"][lo:hi])])
+            yield {"key": C.signed(C.Stretches(codes).hash(s, s + unit.length)),
+                   "content": C.signed(C.Stretches(codes, 1).hash(s, s + unit.length)),
+                   "doc": np.full(len(s), docs[i], np.int64),
+                   "place": (tags[i] << 39) | (s.astype(np.int64) << 8) | 1}
+
+    lists = stretches_by_document(hot, unit)
+    single = C.map_arrow(base_docs.join(lists, ["doc", "tag"]).select("doc", "tag", "text", "runs"), taken_apart,
+                         "key long, content long, doc long, place long")
+    return found.where(F.col("rows") <= max_group).drop("rows").unionByName(single).checkpoint()
+
+
+def stretches_by_document(runs: DataFrame, unit: Unit, *more: str) -> DataFrame:
+    """Per document the list of its runs (bounded by its text), with their first
+    and last unit."""
+    end = start_of("place") + windows_of("place") + F.lit(unit.length - 1)
+    return (runs.withColumn("tag", tag_of("place")).groupBy("doc", "tag")
+            .agg(F.collect_list(F.struct("key", "content", start_of("place").alias("start"), end.alias("end"), *more))
+                 .alias("runs")))
 
 
 def list_parts(column: pa.ListArray) -> tuple[np.ndarray, dict[str, np.ndarray]]:

@@ -29,9 +29,9 @@ from . import induced
 from . import recurring as R
 
 LENGTH = 100
-GRAM = 32
-SHARD_RUNS = 30_000
-MAX_GROUP = 20_000
+GRAM = 20
+SHARD_RUNS = 20_000
+MAX_GROUP = 60_000
 QUEUE_BYTES = 48 << 20
 
 MATCH = "key long, content long, a int, b int, src_doc long, src_tag long, src_start long"
@@ -96,12 +96,10 @@ def duplicate_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
     unit = R.Unit("byte", length, gram)
     base = R.base(docs)
     found = R.candidates(base, unit, False, max_group)
-    distinct = (found.groupBy("key", "content")
-                .agg(F.min(F.struct("doc", "tag", "start", "n")).alias("f")).select("key", "content", "f.*"))
+    distinct = (found.groupBy("key", "content").agg(F.min(F.struct("doc", "place")).alias("f"))
+                .select("key", "content", "f.*"))
     shards = max(1, -(-found.count() // shard_runs))
-    lists = (distinct.groupBy("doc", "tag")
-             .agg(F.collect_list(F.struct("key", "content", "start",
-                                          (F.col("start") + F.col("n") + F.lit(length - 1)).alias("end"))).alias("runs")))
+    lists = R.stretches_by_document(distinct, unit)
     cut = C.map_arrow(base.join(lists, ["doc", "tag"]).select("doc", "tag", "text", "runs"), cut_bytes,
                       "key long, content long, first_doc long, first_tag long, first_start long, bytes binary")
 
@@ -109,11 +107,11 @@ def duplicate_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
         return sources(table, length)
 
     matches = cut.withColumn("shard", F.pmod("key", F.lit(shards))).groupBy("shard").applyInArrow(shard, MATCH)
-    place = (F.col("start") + F.col("a"))
-    earlier = F.struct("src_doc", "src_tag", "src_start") < F.struct("doc", "tag", place.alias("p"))
-    return (found.join(matches, ["key", "content"]).where(earlier)
-            .select("doc", "tag", place.alias("a"), (F.col("start") + F.col("b") + F.lit(length - 1)).alias("b"),
-                    "src_doc", "src_start"))
+    start, tag = R.start_of("place"), R.tag_of("place")
+    here = F.struct("doc", tag.alias("tag"), (start + F.col("a")).alias("at"))
+    return (found.join(matches, ["key", "content"]).where(F.struct("src_doc", "src_tag", "src_start") < here)
+            .select("doc", tag.alias("tag"), (start + F.col("a")).alias("a"),
+                    (start + F.col("b") + F.lit(length - 1)).alias("b"), "src_doc", "src_start"))
 
 
 def remove_duplicate_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
