@@ -7,6 +7,7 @@ Texts are handled as UTF-8 bytes.  A word is a maximal run of bytes outside
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -33,6 +34,21 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet under the shared checkpoint folder and read back.
+
+    Cuts the lineage like ``checkpoint()`` at a third of its size (columns are
+    encoded and compressed).  The files go when the application ends.
+    """
+    spark = df.sparkSession
+    prepare(spark)
+    path = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict] | dict], schema: str) -> DataFrame:
     """``fn`` turns one Arrow batch into a dict of columns (or several dicts)."""
     names = [f.split()[0] for f in _fields(schema)]

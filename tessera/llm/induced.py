@@ -209,19 +209,18 @@ def _next(places: np.ndarray) -> np.ndarray:
 
 def common_prefixes(t: np.ndarray, pos: np.ndarray) -> np.ndarray:
     """Common prefix of each listed suffix with the one listed before it,
-    four symbols at a time and then one by one."""
+    eight symbols at a time (if they are bytes) and then one by one."""
     out = np.zeros(len(pos), np.int64)
     a, b = pos[1:].copy(), pos[:-1].copy()
     live = np.arange(1, len(pos))
-    if t.dtype == np.uint16:
-        wide = np.append(t, np.zeros(3, np.uint16)).astype(np.uint64)
-        four = wide[:-3] | wide[1:-2] << 16 | wide[2:-1] << 32 | wide[3:] << 48
-        whole = (wide[:-3] != END) & (wide[1:-2] != END) & (wide[2:-1] != END) & (wide[3:] != END)
+    if t.dtype == np.uint8:
+        eight = np.ascontiguousarray(np.ndarray(len(t), "<u8", np.append(t, np.zeros(8, np.uint8)), strides=(1,)))
+        whole = _next(np.flatnonzero(t == END)) - np.arange(len(t)) >= 8
         go, x, y = live, a, b
         while len(go):
-            same = (four[x] == four[y]) & whole[x]
-            go, x, y = go[same], x[same] + 4, y[same] + 4
-            out[go] += 4
+            same = (eight[x] == eight[y]) & whole[x]
+            go, x, y = go[same], x[same] + 8, y[same] + 8
+            out[go] += 8
         a, b = a + out[1:], b + out[1:]
     while len(live):
         same = (t[a] == t[b]) & (t[a] != END)

@@ -89,7 +89,7 @@ def windows_of(place) -> Column:
 
 
 def candidates(base_docs: DataFrame, unit: Unit, across_documents: bool, max_group: int) -> DataFrame:
-    """Checkpointed runs whose key occurs again (in another document, if so asked).
+    """Stored runs whose key occurs again (in another document, if so asked).
 
     A key with more than ``max_group`` runs would put all their text into one
     shard.  Such runs are taken apart into single windows, keyed by the hash
@@ -103,7 +103,7 @@ def candidates(base_docs: DataFrame, unit: Unit, across_documents: bool, max_gro
     else:
         again = F.when(F.col("place").bitwiseAND(F.lit(128)) > 0, 2).otherwise(1)
         keys = runs.groupBy("key").agg(F.sum(again).alias("rows")).where("rows > 1")
-    found = runs.join(keys, "key").checkpoint()
+    found = C.stored(runs.join(keys, "key"))
     hot = found.where(F.col("rows") > max_group).drop("rows")
     if hot.isEmpty():
         return found.drop("rows")
@@ -124,7 +124,7 @@ def candidates(base_docs: DataFrame, unit: Unit, across_documents: bool, max_gro
     lists = stretches_by_document(hot, unit)
     single = C.map_arrow(base_docs.join(lists, ["doc", "tag"]).select("doc", "tag", "text", "runs"), taken_apart,
                          "key long, content long, doc long, place long")
-    return found.where(F.col("rows") <= max_group).drop("rows").unionByName(single).checkpoint()
+    return C.stored(found.where(F.col("rows") <= max_group).drop("rows").unionByName(single))
 
 
 def stretches_by_document(runs: DataFrame, unit: Unit, *more: str) -> DataFrame:

@@ -46,10 +46,12 @@ def sources(table: pa.Table, length: int, memory: int = QUEUE_BYTES) -> pa.Table
     texts = table["bytes"].take(pa.array(order)).to_pylist()
     size = np.array([len(x) for x in texts])
     begin = np.cumsum(size + 1) - size - 1
-    t = np.zeros(int(size.sum()) + len(texts), np.uint16)
+    flat = np.frombuffer(b"".join(texts), np.uint8)
+    kind = np.uint8 if flat.max(initial=0) < 255 else np.uint16  # UTF-8 has no byte 255
+    t = np.zeros(len(flat) + len(texts), kind)
     inside = np.ones(len(t), bool)
     inside[begin + size] = False
-    t[inside] = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint16) + 1
+    t[inside] = flat.astype(kind) + kind(1)
     del texts
     pos, lcp = induced.suffix_order(t, memory)
     seg_of = np.repeat(np.arange(len(size)), size + 1)
