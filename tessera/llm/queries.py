@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from .jaccard import op8_ngram_jaccard_join
 from .phrases import op2_substring_dedup
 from .substrings import op9_suffix_array_dedup
 
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
 
