@@ -17,10 +17,11 @@ are mostly equal.
 *Links, without all pairs.*  First every member of a tile is tested against the
 tile's smallest doc_id; the links give components.  Only tiles that still hold
 two components go on: members outside the component of the smallest doc_id are
-compared with the rest of the tile, in blocks of bounded size, through hashed
-bitmaps: |A xor B| of the bitmaps bounds the symmetric difference from below,
-hence the overlap from above.  Pairs that pass get the exact intersection of
-their sorted arrays.  Every link is inside a component or was tested.
+compared with the others, in cells of bounded size, and only links that join
+components come out.  A test looks at hashed bitmaps first: the bits that
+differ bound the symmetric difference from below, hence the overlap from above;
+pairs that pass get the exact intersection of their sorted arrays.  Every link
+is inside a component or was tested.
 
 Defined results: null texts have no set; rows with a null doc_id are linked
 with nothing (null component); rows that repeat a doc_id are one node with the
@@ -38,7 +39,7 @@ from . import common as C
 
 WORDS = 4
 PERCENT = 85
-BLOCK = 4_000
+BLOCK = 1_000
 
 
 def shingle_set(data: bytes | None, words: int) -> np.ndarray:
@@ -145,12 +146,11 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """Sorted sets and bitmaps of the documents listed in ``wanted`` (doc)."""
     def rows(batch):
         sets = [shingle_set(x, words) for x in batch.column(1).to_pylist()]
-        return {"doc": batch.column(0), "size": np.array([len(x) for x in sets], np.int64),
+        return {"doc": batch.column(0),
                 "bits": pa.array([bitmap(x).tobytes() for x in sets], pa.binary()),
                 "members": pa.array([x.tobytes() for x in sets], pa.binary())}
 
-    return C.map_arrow(_numbered(docs).join(wanted, "doc", "left_semi"), rows,
-                       "doc long, size long, bits binary, members binary")
+    return C.map_arrow(_numbered(docs).join(wanted, "doc", "left_semi"), rows, "doc long, bits binary, members binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -168,37 +168,48 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                        .select("a", "b", "bits_a", "members_a", "bits_b", "members_b"), rows, "a long, b long")
 
 
-def _cell_pairs(doc, comp, size, bits, minor, own, percent, out):
-    """Pairs of different components that the bound lets through: minor members
-    against major ones, or against one another if the cell is their own."""
+def cell_links(doc, comp, minor, own, bits, members, percent: int) -> list[tuple[int, int]]:
+    """Links between different components of one cell, enough to join them.
+
+    Minor members meet the major ones, or one another if the cell is their
+    ``own``.  Bitmaps rule out most pairs; once two components are joined
+    their other pairs need no test.
+    """
     words = min(len(x) for x in bits) // 8
     maps = np.stack([folded(np.frombuffer(x, C.U64), words) for x in bits])
+    sets, whole = [np.frombuffer(x, C.U64) for x in members], [np.frombuffer(x, C.U64) for x in bits]
+    size, comp, out = np.array([len(x) for x in sets]), comp.copy(), []
     left = np.flatnonzero(minor)
     right = left if own else np.flatnonzero(~minor)
-    for i in left:
+    for i in left.tolist():
         others = right[right > i] if own else right
+        others = others[comp[others] != comp[i]]
         differ = np.bitwise_count(maps[i] ^ maps[others]).sum(axis=1, dtype=np.int64)
-        ok = may_link(size[i], size[others], (size[i] + size[others] - differ) // 2, percent) & (comp[others] != comp[i])
-        for j in others[ok]:
-            out.append((min(doc[i], doc[j]), max(doc[i], doc[j])))
+        ok = may_link(size[i], size[others], (size[i] + size[others] - differ) // 2, percent)
+        for k in others[ok].tolist():
+            if comp[k] != comp[i] and linked(sets[i], sets[k], whole[i], whole[k], percent):
+                out.append((int(doc[i]), int(doc[k])))
+                comp[comp == comp[k]] = comp[i]
+    return out
 
 
-def remaining_pairs(shared: DataFrame, components: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """Pairs to test in tiles that hold more than one component.
+def remaining_links(shared: DataFrame, components: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links that join the components still apart in some tile.
 
-    The members outside the leader's component meet, in one cell a block, the
-    members inside it; and each other, in cells of two blocks of their own.
+    Tiles whose leaders are in one (major) component are taken together, so
+    a document travels once for all of them.  Its minor members meet the
+    major ones and one another in cells of two blocks of ``block`` documents.
     """
-    tile = Window.partitionBy("tile")
     labelled = (shared.join(components.select(F.col("node").alias("doc"), "component"), "doc", "left")
                 .join(components.select(F.col("node").alias("leader"), F.col("component").alias("major")), "leader", "left")
                 .select("tile", "doc", F.coalesce("component", "doc").alias("comp"),
-                        F.coalesce("major", "leader").alias("major")))
-    mixed = (labelled.withColumn("minor", F.col("comp") != F.col("major"))
-             .withColumns({"minors": F.sum(F.col("minor").cast("long")).over(tile), "n": F.count("*").over(tile)})
-             .where("minors > 0"))
-    blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
-    minor_blocks = F.ceil(F.col("minors") / F.lit(block)).cast("int")
+                        F.coalesce("major", "leader").alias("major"))
+                .withColumn("minor", F.col("comp") != F.col("major")))
+    mixed = (labelled.withColumn("apart", F.max("minor").over(Window.partitionBy("tile"))).where("apart")
+             .select("major", "doc", "comp", "minor").distinct())
+    counts = mixed.groupBy("major").agg(F.sum((~F.col("minor")).cast("long")).alias("majors"),
+                                        F.sum(F.col("minor").cast("long")).alias("minors"))
+    blocks, minor_blocks = (F.ceil(F.col(c) / F.lit(block)).cast("int") for c in ("majors", "minors"))
     mine = F.pmod(F.xxhash64("doc"), blocks).cast("int")
     own = F.pmod(F.xxhash64("doc"), minor_blocks).cast("int")
     # a cell: (-1, block of the major component) or (block, block) of the others
@@ -206,37 +217,34 @@ def remaining_pairs(shared: DataFrame, components: DataFrame, sets: DataFrame, p
         F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(F.lit(-1).alias("x"), k.alias("y"))),
         F.transform(F.sequence(F.lit(0), minor_blocks - 1),
                     lambda k: F.struct(F.least(k, own).alias("x"), F.greatest(k, own).alias("y")))))
-    placed = (mixed.withColumn("cell", F.explode(cells)).select("tile", "cell.x", "cell.y", "doc", "comp", "minor")
-              .join(sets.select("doc", "size", "bits"), "doc")
-              .repartition("tile", "x", "y").sortWithinPartitions("tile", "x", "y", "doc")
-              .select("tile", "x", "y", "doc", "comp", "minor", "size", "bits"))
+    placed = (mixed.join(counts, "major").withColumn("cell", F.explode(cells))
+              .select("major", "cell.x", "cell.y", "doc", "comp", "minor").join(sets, "doc")
+              .repartition("major", "x", "y").sortWithinPartitions("major", "x", "y", "doc")
+              .select("major", "x", "y", "doc", "comp", "minor", "bits", "members"))
 
-    def pairs(batches):
+    def links(batches):
         held = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
             table = pa.concat_tables([held, table]) if held is not None else table
-            cell = np.stack([table[c].to_numpy().astype(np.int64) for c in ("tile", "x", "y")], 1)
+            cell = np.stack([table[c].to_numpy().astype(np.int64) for c in ("major", "x", "y")], 1)
             cuts = [0, *(np.flatnonzero((cell[1:] != cell[:-1]).any(axis=1)) + 1).tolist()]
-            out = []
-            for a, b in zip(cuts, cuts[1:]):
-                one(table.slice(a, b - a), out)
+            yield emitted([pair for a, b in zip(cuts, cuts[1:]) for pair in one(table.slice(a, b - a))])
             held = table.slice(cuts[-1])
-            yield emitted(out)
         if held is not None and held.num_rows:
-            out = []
-            one(held, out)
-            yield emitted(out)
+            yield emitted(one(held))
 
-    def one(group, out):
-        if group.num_rows > 1:
-            _cell_pairs(group["doc"].to_numpy(), group["comp"].to_numpy(), group["size"].to_numpy(),
-                        group["bits"].to_pylist(), group["minor"].to_numpy(), group["x"][0].as_py() >= 0, percent, out)
+    def one(cell):
+        minor = cell["minor"].to_numpy()
+        if cell.num_rows < 2 or not minor.any():
+            return []
+        return cell_links(cell["doc"].to_numpy(), cell["comp"].to_numpy(), minor, cell["x"][0].as_py() >= 0,
+                          cell["bits"].to_pylist(), cell["members"].to_pylist(), percent)
 
     def emitted(out):
-        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in set(out)], pa.int64()) for k in (0, 1)], ["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    return placed.mapInArrow(pairs, "a long, b long").distinct()
+    return placed.mapInArrow(links, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
@@ -246,8 +254,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     sets = C.stored(sets_of(docs, shared.select("doc").distinct(), words))
     tested = shared.where("doc <> leader").select(F.col("leader").alias("a"), F.col("doc").alias("b")).distinct()
     links = C.stored(verified(tested, sets, percent))
-    more = verified(remaining_pairs(shared, C.connected_components(links), sets, percent, block)
-                    .join(tested, ["a", "b"], "left_anti"), sets, percent)
+    more = remaining_links(shared, C.connected_components(links), sets, percent, block)
     return C.connected_components(links.unionByName(more))
 
 
