@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from .chat import op1_chat_formatting
+from .decontaminate import op7_template_decontamination
 from .jaccard import op8_ngram_jaccard_join
+from .language import op3_compression_language_id
+from .line_quality import op4_line_crf_quality
+from .line_rules import op6_line_frequency_rules
+from .mixing import op10_source_mix
 from .phrases import op2_substring_dedup
 from .substrings import op9_suffix_array_dedup
+from .url_rules import OP5_SQL, op5_url_rules
 
-QUERIES = {
-    "op2_substring_dedup": op2_substring_dedup,
-    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
-    "op9_suffix_array_dedup": op9_suffix_array_dedup,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_chat_formatting, op2_substring_dedup, op3_compression_language_id, op4_line_crf_quality, op5_url_rules,
+    op6_line_frequency_rules, op7_template_decontamination, op8_ngram_jaccard_join, op9_suffix_array_dedup,
+    op10_source_mix)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_url_rules": OP5_SQL}
