@@ -34,6 +34,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+BATCH_ROWS = 500
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet under the shared checkpoint folder and read back.
 
@@ -50,12 +53,14 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict] | dict], schema: str) -> DataFrame:
-    """``fn`` turns one Arrow batch into a dict of columns (or several dicts)."""
+    """``fn`` turns one Arrow batch, of ``BATCH_ROWS`` rows at most so that what it
+    derives stays small, into a dict of columns (or several dicts)."""
     names = [f.split()[0] for f in _fields(schema)]
 
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(at, BATCH_ROWS)
                 out = fn(batch)
                 for cols in ([out] if isinstance(out, dict) else out):
                     yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c)

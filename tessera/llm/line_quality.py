@@ -173,10 +173,11 @@ def learn(docs: DataFrame, labels: DataFrame, n_docs: int = SAMPLE_DOCS, n_lines
 
 def score(docs: DataFrame, chain: Chain | None) -> DataFrame:
     """(row, score): ``row`` holds all columns of ``docs``."""
-    source = docs.select(F.struct("*").alias("row"), F.col("text").cast("binary").alias("text"))
+    source = docs.select(F.struct("*").alias("row"))
 
     def rows(batch):
-        parts = [line_features(x) if x else (None, ()) for x in batch.column(1).to_pylist()]
+        texts = batch.column(0).field("text").cast(pa.binary()).to_pylist()
+        parts = [line_features(x) if x else (None, ()) for x in texts]
         n = np.array([len(size) for _, size in parts])
         out = np.zeros(len(parts))
         some = np.flatnonzero(n)
