@@ -209,14 +209,19 @@ def remaining_links(shared: DataFrame, components: DataFrame, sets: DataFrame, p
              .select("major", "doc", "comp", "minor").distinct())
     counts = mixed.groupBy("major").agg(F.sum((~F.col("minor")).cast("long")).alias("majors"),
                                         F.sum(F.col("minor").cast("long")).alias("minors"))
+    # a major component of one document is the leader, which every member met before
+    counts = counts.where("majors > 1 or minors > 1")
     blocks, minor_blocks = (F.ceil(F.col(c) / F.lit(block)).cast("int") for c in ("majors", "minors"))
     mine = F.pmod(F.xxhash64("doc"), blocks).cast("int")
     own = F.pmod(F.xxhash64("doc"), minor_blocks).cast("int")
     # a cell: (-1, block of the major component) or (block, block) of the others
-    cells = F.when(~F.col("minor"), F.array(F.struct(F.lit(-1).alias("x"), mine.alias("y")))).otherwise(F.concat(
-        F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(F.lit(-1).alias("x"), k.alias("y"))),
-        F.transform(F.sequence(F.lit(0), minor_blocks - 1),
-                    lambda k: F.struct(F.least(k, own).alias("x"), F.greatest(k, own).alias("y")))))
+    major_cell = F.array(F.struct(F.lit(-1).alias("x"), mine.alias("y")))
+    major_cells = F.when(F.col("majors") > 1, F.transform(
+        F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(F.lit(-1).alias("x"), k.alias("y")))).otherwise(F.array())
+    minor_cells = F.when(F.col("minors") > 1, F.transform(
+        F.sequence(F.lit(0), minor_blocks - 1),
+        lambda k: F.struct(F.least(k, own).alias("x"), F.greatest(k, own).alias("y")))).otherwise(F.array())
+    cells = F.when(F.col("minor"), F.concat(major_cells, minor_cells)).when(F.col("majors") > 1, major_cell)
     placed = (mixed.join(counts, "major").withColumn("cell", F.explode(cells))
               .select("major", "cell.x", "cell.y", "doc", "comp", "minor").join(sets, "doc")
               .repartition("major", "x", "y").sortWithinPartitions("major", "x", "y", "doc")
