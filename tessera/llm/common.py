@@ -35,6 +35,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 BATCH_ROWS = 500
+BROADCAST_IDS = 1_000_000
+
+
+def small_side(ids: DataFrame) -> DataFrame:
+    """``ids`` (one long a row) to be broadcast if it has at most ``BROADCAST_IDS``
+    rows, which are counted; beyond that the planner shuffles the join."""
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return F.broadcast(ids) if few else ids
 
 
 def stored(df: DataFrame) -> DataFrame:

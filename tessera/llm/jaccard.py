@@ -71,7 +71,8 @@ class Bands:
 
 
 def tiles(members: np.ndarray, bands: Bands) -> np.ndarray:
-    """Hashes of the tiles that a set belongs to."""
+    """Hashes of the tiles that a set belongs to (48 bits of them are used: tiles
+    that fall together only add pairs to test)."""
     if not len(members):
         return members
     band, out = bands.of(len(members)), []
@@ -111,11 +112,8 @@ def may_link(a: int, b, overlap_bound, percent: int):
             & ((100 + percent) * overlap_bound >= percent * (a + b)))
 
 
-def linked(a: np.ndarray, b: np.ndarray, bits_a: np.ndarray, bits_b: np.ndarray, percent: int) -> bool:
-    words = min(len(bits_a), len(bits_b))
-    differ = int(np.bitwise_count(folded(bits_a, words) ^ folded(bits_b, words)).sum())
-    if not may_link(len(a), len(b), (len(a) + len(b) - differ) // 2, percent):
-        return False
+def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """By the intersection of the sorted arrays."""
     if len(a) > len(b):
         a, b = b, a
     at = np.minimum(np.searchsorted(b, a), len(b) - 1)
@@ -134,7 +132,7 @@ def shared_tiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
         bands = Bands(percent)
         found = [tiles(shingle_set(x, words), bands) for x in batch.column(1).to_pylist()]
         n = [len(x) for x in found]
-        return {"tile": C.signed(np.concatenate(found)), "doc": np.repeat(batch.column(0).to_numpy(), n)}
+        return {"tile": C.signed(np.concatenate(found) >> C.U64(16)), "doc": np.repeat(batch.column(0).to_numpy(), n)}
 
     tile = Window.partitionBy("tile")
     return (C.map_arrow(_numbered(docs), rows, "tile long, doc long")
@@ -146,26 +144,42 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """Sorted sets and bitmaps of the documents listed in ``wanted`` (doc)."""
     def rows(batch):
         sets = [shingle_set(x, words) for x in batch.column(1).to_pylist()]
-        return {"doc": batch.column(0),
+        return {"doc": batch.column(0), "size": np.array([len(x) for x in sets], np.int64),
                 "bits": pa.array([bitmap(x).tobytes() for x in sets], pa.binary()),
                 "members": pa.array([x.tobytes() for x in sets], pa.binary())}
 
-    return C.map_arrow(_numbered(docs).join(wanted, "doc", "left_semi"), rows, "doc long, bits binary, members binary")
+    return C.map_arrow(_numbered(docs).join(C.small_side(wanted), "doc", "left_semi"), rows,
+                       "doc long, size long, bits binary, members binary")
+
+
+def may_link_bits(size_a: int, size_b: int, bits_a: np.ndarray, bits_b: np.ndarray, percent: int) -> bool:
+    words = min(len(bits_a), len(bits_b))
+    differ = int(np.bitwise_count(folded(bits_a, words) ^ folded(bits_b, words)).sum())
+    return bool(may_link(size_a, size_b, (size_a + size_b - differ) // 2, percent))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sets link."""
-    def rows(batch):
-        cols = [batch.column(i).to_pylist() for i in range(6)]
-        keep = [linked(np.frombuffer(ma, C.U64), np.frombuffer(mb, C.U64), np.frombuffer(xa, C.U64),
-                       np.frombuffer(xb, C.U64), percent) for xa, ma, xb, mb in zip(*cols[2:])]
-        keep = np.array(keep, bool)
+    """Pairs (a, b) whose sets link: bitmaps travel first, arrays for those that pass."""
+    def by_bits(batch):
+        cols = [batch.column(i).to_pylist() for i in range(2, 6)]
+        keep = np.array([may_link_bits(na, nb, np.frombuffer(xa, C.U64), np.frombuffer(xb, C.U64), percent)
+                         for na, xa, nb, xb in zip(*cols)], bool)
         return {"a": batch.column(0).to_numpy()[keep], "b": batch.column(1).to_numpy()[keep]}
 
-    left = sets.select(F.col("doc").alias("b"), F.col("bits").alias("bits_b"), F.col("members").alias("members_b"))
-    right = sets.select(F.col("doc").alias("a"), F.col("bits").alias("bits_a"), F.col("members").alias("members_a"))
-    return C.map_arrow(pairs.join(left, "b").join(right, "a")
-                       .select("a", "b", "bits_a", "members_a", "bits_b", "members_b"), rows, "a long, b long")
+    def by_members(batch):
+        cols = [batch.column(i).to_pylist() for i in range(2, 4)]
+        keep = np.array([linked(np.frombuffer(ma, C.U64), np.frombuffer(mb, C.U64), percent) for ma, mb in zip(*cols)],
+                        bool)
+        return {"a": batch.column(0).to_numpy()[keep], "b": batch.column(1).to_numpy()[keep]}
+
+    def both(which, *columns):
+        out = pairs if which is by_bits else passed
+        for end in "ba":
+            out = out.join(sets.select(F.col("doc").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns]), end)
+        return C.map_arrow(out.select("a", "b", *[f"{c}_{end}" for end in "ab" for c in columns]), which, "a long, b long")
+
+    passed = both(by_bits, "size", "bits")
+    return both(by_members, "members")
 
 
 def cell_links(doc, comp, minor, own, bits, members, percent: int) -> list[tuple[int, int]]:
@@ -177,7 +191,7 @@ def cell_links(doc, comp, minor, own, bits, members, percent: int) -> list[tuple
     """
     words = min(len(x) for x in bits) // 8
     maps = np.stack([folded(np.frombuffer(x, C.U64), words) for x in bits])
-    sets, whole = [np.frombuffer(x, C.U64) for x in members], [np.frombuffer(x, C.U64) for x in bits]
+    sets = [np.frombuffer(x, C.U64) for x in members]
     size, comp, out = np.array([len(x) for x in sets]), comp.copy(), []
     left = np.flatnonzero(minor)
     right = left if own else np.flatnonzero(~minor)
@@ -187,7 +201,7 @@ def cell_links(doc, comp, minor, own, bits, members, percent: int) -> list[tuple
         differ = np.bitwise_count(maps[i] ^ maps[others]).sum(axis=1, dtype=np.int64)
         ok = may_link(size[i], size[others], (size[i] + size[others] - differ) // 2, percent)
         for k in others[ok].tolist():
-            if comp[k] != comp[i] and linked(sets[i], sets[k], whole[i], whole[k], percent):
+            if comp[k] != comp[i] and linked(sets[i], sets[k], percent):
                 out.append((int(doc[i]), int(doc[k])))
                 comp[comp == comp[k]] = comp[i]
     return out
@@ -223,7 +237,7 @@ def remaining_links(shared: DataFrame, components: DataFrame, sets: DataFrame, p
         lambda k: F.struct(F.least(k, own).alias("x"), F.greatest(k, own).alias("y")))).otherwise(F.array())
     cells = F.when(F.col("minor"), F.concat(major_cells, minor_cells)).when(F.col("majors") > 1, major_cell)
     placed = (mixed.join(counts, "major").withColumn("cell", F.explode(cells))
-              .select("major", "cell.x", "cell.y", "doc", "comp", "minor").join(sets, "doc")
+              .select("major", "cell.x", "cell.y", "doc", "comp", "minor").join(sets.select("doc", "bits", "members"), "doc")
               .repartition("major", "x", "y").sortWithinPartitions("major", "x", "y", "doc")
               .select("major", "x", "y", "doc", "comp", "minor", "bits", "members"))
 
