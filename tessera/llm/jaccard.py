@@ -39,7 +39,7 @@ from . import common as C
 
 WORDS = 4
 PERCENT = 85
-BLOCK = 1_000
+BLOCK = 2_000
 
 
 def shingle_set(data: bytes | None, words: int) -> np.ndarray:
@@ -182,88 +182,117 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both(by_members, "members")
 
 
-def cell_links(doc, comp, minor, own, bits, members, percent: int) -> list[tuple[int, int]]:
-    """Links between different components of one cell, enough to join them.
+def _passing(i, others, comp, size, maps, percent):
+    """Of ``others`` those in another component that bitmaps and sizes let through."""
+    others = others[comp[others] != comp[i]]
+    differ = np.bitwise_count(maps[i] ^ maps[others]).sum(axis=1, dtype=np.int64)
+    return others[may_link(size[i], size[others], (size[i] + size[others] - differ) // 2, percent)]
 
-    Minor members meet the major ones, or one another if the cell is their
-    ``own``.  Bitmaps rule out most pairs; once two components are joined
-    their other pairs need no test.
-    """
-    words = min(len(x) for x in bits) // 8
-    maps = np.stack([folded(np.frombuffer(x, C.U64), words) for x in bits])
-    sets = [np.frombuffer(x, C.U64) for x in members]
-    size, comp, out = np.array([len(x) for x in sets]), comp.copy(), []
+
+def _cell(cell: pa.Table):
+    """Arrays of one cell; its pairs are given as (member, array of others)."""
+    own = cell["x"][0].as_py() >= 0
+    minor = cell["minor"].to_numpy()
+    bits = [np.frombuffer(x, C.U64) for x in cell["bits"].to_pylist()]
+    words = min(map(len, bits))
     left = np.flatnonzero(minor)
     right = left if own else np.flatnonzero(~minor)
-    for i in left.tolist():
-        others = right[right > i] if own else right
-        others = others[comp[others] != comp[i]]
-        differ = np.bitwise_count(maps[i] ^ maps[others]).sum(axis=1, dtype=np.int64)
-        ok = may_link(size[i], size[others], (size[i] + size[others] - differ) // 2, percent)
-        for k in others[ok].tolist():
+    pairs = ((i, right[right > i] if own else right) for i in left.tolist())
+    return (cell["doc"].to_numpy(), cell["comp"].to_numpy().copy(), cell["size"].to_numpy(),
+            np.stack([folded(x, words) for x in bits]), pairs)
+
+
+def cell_near(cell: pa.Table, percent: int) -> list[tuple[int, int]]:
+    """(major, doc) of members with a partner that the bitmaps let through."""
+    doc, comp, size, maps, pairs = _cell(cell)
+    near = np.zeros(len(doc), bool)
+    for i, others in pairs:
+        found = _passing(i, others, comp, size, maps, percent)
+        near[found] = True
+        near[i] |= len(found) > 0
+    major = cell["major"][0].as_py()
+    return [(major, int(d)) for d in doc[near]]
+
+
+def cell_links(cell: pa.Table, percent: int) -> list[tuple[int, int]]:
+    """Links between different components of one cell, enough to join them:
+    once two components are joined their other pairs need no test."""
+    doc, comp, size, maps, pairs = _cell(cell)
+    sets, out = [np.frombuffer(x, C.U64) for x in cell["members"].to_pylist()], []
+    for i, others in pairs:
+        for k in _passing(i, others, comp, size, maps, percent).tolist():
             if comp[k] != comp[i] and linked(sets[i], sets[k], percent):
                 out.append((int(doc[i]), int(doc[k])))
                 comp[comp == comp[k]] = comp[i]
     return out
 
 
-def remaining_links(shared: DataFrame, components: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """Links that join the components still apart in some tile.
-
-    Tiles whose leaders are in one (major) component are taken together, so
-    a document travels once for all of them.  Its minor members meet the
-    major ones and one another in cells of two blocks of ``block`` documents.
-    """
-    labelled = (shared.join(components.select(F.col("node").alias("doc"), "component"), "doc", "left")
-                .join(components.select(F.col("node").alias("leader"), F.col("component").alias("major")), "leader", "left")
-                .select("tile", "doc", F.coalesce("component", "doc").alias("comp"),
-                        F.coalesce("major", "leader").alias("major"))
-                .withColumn("minor", F.col("comp") != F.col("major")))
-    mixed = (labelled.withColumn("apart", F.max("minor").over(Window.partitionBy("tile"))).where("apart")
-             .select("major", "doc", "comp", "minor").distinct())
-    counts = mixed.groupBy("major").agg(F.sum((~F.col("minor")).cast("long")).alias("majors"),
-                                        F.sum(F.col("minor").cast("long")).alias("minors"))
-    # a major component of one document is the leader, which every member met before
-    counts = counts.where("majors > 1 or minors > 1")
+def in_cells(members: DataFrame, sets: DataFrame, block: int, fn, names: tuple[str, str], least_majors: int) -> DataFrame:
+    """``fn`` over cells of a group's members (major, doc, comp, minor): its minor
+    members meet the major ones, in cells of one block of these, and each
+    other, in cells of two blocks; a block has about ``block`` documents.  Fewer
+    than ``least_majors`` major members need no cell."""
+    counts = members.groupBy("major").agg(F.sum((~F.col("minor")).cast("long")).alias("majors"),
+                                          F.sum(F.col("minor").cast("long")).alias("minors"))
+    counts = counts.where(f"minors > 0 and (majors >= {least_majors} or minors > 1)")
     blocks, minor_blocks = (F.ceil(F.col(c) / F.lit(block)).cast("int") for c in ("majors", "minors"))
     mine = F.pmod(F.xxhash64("doc"), blocks).cast("int")
     own = F.pmod(F.xxhash64("doc"), minor_blocks).cast("int")
     # a cell: (-1, block of the major component) or (block, block) of the others
     major_cell = F.array(F.struct(F.lit(-1).alias("x"), mine.alias("y")))
-    major_cells = F.when(F.col("majors") > 1, F.transform(
+    major_cells = F.when(F.col("majors") >= least_majors, F.transform(
         F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(F.lit(-1).alias("x"), k.alias("y")))).otherwise(F.array())
     minor_cells = F.when(F.col("minors") > 1, F.transform(
         F.sequence(F.lit(0), minor_blocks - 1),
         lambda k: F.struct(F.least(k, own).alias("x"), F.greatest(k, own).alias("y")))).otherwise(F.array())
-    cells = F.when(F.col("minor"), F.concat(major_cells, minor_cells)).when(F.col("majors") > 1, major_cell)
-    placed = (mixed.join(counts, "major").withColumn("cell", F.explode(cells))
-              .select("major", "cell.x", "cell.y", "doc", "comp", "minor").join(sets.select("doc", "bits", "members"), "doc")
-              .repartition("major", "x", "y").sortWithinPartitions("major", "x", "y", "doc")
-              .select("major", "x", "y", "doc", "comp", "minor", "bits", "members"))
+    cells = F.when(F.col("minor"), F.concat(major_cells, minor_cells)).when(F.col("majors") >= least_majors, major_cell)
+    payload = [c for c in sets.columns if c != "doc"]
+    placed = (members.join(sets, "doc").join(counts, "major").withColumn("cell", F.explode(cells))
+              .select("major", "cell.x", "cell.y", "doc", "comp", "minor", *payload)
+              .repartition("major", "x", "y").sortWithinPartitions("major", "x", "y", "doc"))
 
-    def links(batches):
+    def run(batches):
         held = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
             table = pa.concat_tables([held, table]) if held is not None else table
             cell = np.stack([table[c].to_numpy().astype(np.int64) for c in ("major", "x", "y")], 1)
             cuts = [0, *(np.flatnonzero((cell[1:] != cell[:-1]).any(axis=1)) + 1).tolist()]
-            yield emitted([pair for a, b in zip(cuts, cuts[1:]) for pair in one(table.slice(a, b - a))])
+            yield emitted([x for a, b in zip(cuts, cuts[1:]) for x in one(table.slice(a, b - a))])
             held = table.slice(cuts[-1])
         if held is not None and held.num_rows:
             yield emitted(one(held))
 
     def one(cell):
-        minor = cell["minor"].to_numpy()
-        if cell.num_rows < 2 or not minor.any():
-            return []
-        return cell_links(cell["doc"].to_numpy(), cell["comp"].to_numpy(), minor, cell["x"][0].as_py() >= 0,
-                          cell["bits"].to_pylist(), cell["members"].to_pylist(), percent)
+        return fn(cell) if cell.num_rows > 1 else []
 
     def emitted(out):
-        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], list(names))
 
-    return placed.mapInArrow(links, "a long, b long")
+    return placed.mapInArrow(run, f"{names[0]} long, {names[1]} long")
+
+
+def remaining_links(shared: DataFrame, components: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links that join the components still apart in some tile.
+
+    Tiles whose leaders are in one (major) component are taken together, so
+    a document travels once for all of them: first with its bitmap, and with
+    its array only if the bitmaps leave it a partner.
+    """
+    labelled = (shared.join(components.select(F.col("node").alias("doc"), "component"), "doc", "left")
+                .join(components.select(F.col("node").alias("leader"), F.col("component").alias("major")), "leader", "left")
+                .select("tile", "doc", F.coalesce("component", "doc").alias("comp"),
+                        F.coalesce("major", "leader").alias("major"))
+                .withColumn("minor", F.col("comp") != F.col("major")))
+    mixed = C.stored(labelled.withColumn("apart", F.max("minor").over(Window.partitionBy("tile"))).where("apart")
+                     .select("major", "doc", "comp", "minor").distinct())
+    # one major member alone is the leader, which all others met before
+    near = in_cells(mixed, sets.select("doc", "size", "bits"), block, lambda cell: cell_near(cell, percent),
+                    ("major", "doc"), 2).distinct()
+    close = C.stored(mixed.join(near, ["major", "doc"], "left_semi"))
+    wanted = C.small_side(close.select("doc").distinct())
+    return in_cells(close, sets.join(wanted, "doc", "left_semi").select("doc", "size", "bits", "members"), block,
+                    lambda cell: cell_links(cell, percent), ("a", "b"), 1)
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
