@@ -133,7 +133,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, le
         F.col("item_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
     texts = docs.where("doc_id is not null and text is not null").select(
         F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
-    sizes = list(range(min(least_item, window), window + 1))
+    words = F.regexp_count(F.col("text").cast("string"), F.lit(r"[^\x20\x09-\x0D]+"))
+    sizes = sorted(r.n for r in items.select(F.least(words, F.lit(window)).alias("n"))
+                   .where(F.col("n") >= min(least_item, window)).distinct().collect())  # window values at most
     of_items = C.stored(_window_rows(items, sizes, least_plain, None, window))
     distinct = of_items.select("window").distinct()
     known = None
