@@ -64,7 +64,7 @@ FUNCTIONS = {
     "M17": "ml.evaluation.binary_metrics", "M18": "ml.evaluation.regression_metrics",
     "M19": "ml.evaluation.accuracy / accuracy_aggregate", "M20": "ml.tuning.param_grid",
     "M21": "ml.tuning.holdout", "M22": "ml.tuning.kfold", "M23": "ml.tuning (metric per grid point)",
-    "M24": "ml.pipelines.five_star_pipeline / Pipeline", "M25": "ml.pipelines.save_pipeline / load_*",
+    "M24": "ml.pipelines.staged_pipeline / Pipeline", "M25": "ml.pipelines.save_pipeline / load_*",
     "M26": "ml.models.feature_importances", "M27": "functions.scoring.predicted_arrival_hhmm / streaming.scoring",
     "M28": "ml.experiments.run_experiments", "V1": "operators.plotdata.ordered_counts",
     "V2": "operators.plotdata.histogram", "V3": "operators.plotdata.density_curve",

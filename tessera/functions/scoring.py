@@ -35,13 +35,3 @@ def predicted_arrival_hhmm(sched_arr_time, dep_delay) -> Column:
     total_min = F.floor((start_us + shift_us) / F.lit(MICROS_PER_MINUTE))
     clock = F.pmod(total_min, F.lit(MINUTES_PER_DAY))
     return (F.floor(clock / F.lit(60)) * 100 + F.pmod(clock, F.lit(60))).cast("int")
-
-
-def predicted_arrival_python(sched_arr_time: int, dep_delay: float) -> int:
-    """Per-record form of the rule (for unit tests and single requests)."""
-    from datetime import datetime, timedelta
-
-    hours, minutes = divmod(int(sched_arr_time), 100)
-    start = datetime(2019, 1, 1) + timedelta(hours=hours, minutes=minutes)
-    t = start + timedelta(minutes=dep_delay * DELAY_SLOPE - DELAY_OFFSET_MIN)
-    return t.hour * 100 + t.minute

@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier
+from collections.abc import Mapping, Sequence
+
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import Binarizer, SQLTransformer, VectorAssembler
 
 
-def five_star_pipeline(features=("reviewed",), label="five_star_rating") -> Pipeline:
-    """Filter cancelled rows, cast the rating, binarise it at 4.5, flag
-    reviews, assemble, fit a decision tree."""
-    filterer = SQLTransformer(statement="SELECT * FROM __THIS__ WHERE cancelled = 0")
-    converter = SQLTransformer(
-        statement="SELECT *, cast(star_rating AS double) AS star_rating_double FROM __THIS__")
-    binarizer = Binarizer(inputCol="star_rating_double", outputCol=label, threshold=4.5)
-    extractor = SQLTransformer(statement="SELECT *, review IS NOT NULL AS reviewed FROM __THIS__")
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    classifier = DecisionTreeClassifier(featuresCol="features", labelCol=label)
-    return Pipeline(stages=[filterer, converter, binarizer, extractor, assembler, classifier])
+def prepared_rows(keep: str, derived: Mapping[str, str]) -> SQLTransformer:
+    """One SQL stage: rows for which ``keep`` holds, with the ``derived`` columns (name: expression) added."""
+    added = "".join(f", {expression} AS {name}" for name, expression in derived.items())
+    return SQLTransformer(statement=f"SELECT *{added} FROM __THIS__ WHERE {keep}")
+
+
+def staged_pipeline(keep: str, derived: Mapping[str, str], thresholds: Mapping[str, tuple[str, float]],
+                    features: Sequence[str], estimator: Estimator) -> Pipeline:
+    """Row filter and derived columns, 0/1 labels (name: column, threshold), feature vector, estimator."""
+    labels = [Binarizer(inputCol=column, outputCol=name, threshold=cut) for name, (column, cut) in thresholds.items()]
+    vector = VectorAssembler(inputCols=list(features), outputCol=estimator.getFeaturesCol())
+    return Pipeline(stages=[prepared_rows(keep, derived), *labels, vector, estimator])
 
 
 def save_pipeline(pipeline, path: str) -> None:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HASH_SPACE = 2 ** 32
+NULL_KEY = chr(1) + "null"
 
 
 def bernoulli_sample(df: DataFrame, fraction: float, seed: int | None = None,
@@ -39,9 +40,10 @@ def hash_unit(*keys: str | Column) -> Column:
 
     Keys should be integers or strings: their text form is the same in
     every engine, so the same rows are chosen everywhere (doubles print
-    differently across engines)."""
-    cols = [F.col(k) if isinstance(k, str) else k for k in keys]
-    text = cols[0].cast("string") if len(cols) == 1 else F.concat_ws("|", *[c.cast("string") for c in cols])
+    differently across engines).  A null key hashes as a marker of its own, so
+    that its row falls into one part of a split like any other."""
+    cols = [F.coalesce((F.col(k) if isinstance(k, str) else k).cast("string"), F.lit(NULL_KEY)) for k in keys]
+    text = cols[0] if len(cols) == 1 else F.concat_ws("|", *cols)
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 

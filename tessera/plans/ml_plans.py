@@ -397,6 +397,16 @@ def m22_m23_kfold_tuning(spark, d):
     return metrics
 
 
+def rating_pipeline():
+    """A tree that tells top ratings of kept rows from whether there is a review."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+
+    return PL.staged_pipeline(
+        keep="NOT boolean(cancelled)", derived={"rating": "double(star_rating)", "reviewed": "isnotnull(review)"},
+        thresholds={"five_star_rating": ("rating", 4.5)}, features=["reviewed"],
+        estimator=DecisionTreeClassifier(labelCol="five_star_rating"))
+
+
 @query("m24_m25_staged_model_save_load", f"""
 WITH t AS {_FIVE_STAR_SQL},
 m AS (SELECT reviewed, CASE WHEN avg(y) > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction FROM t GROUP BY reviewed)
@@ -406,12 +416,11 @@ FROM t JOIN m ON t.reviewed = m.reviewed GROUP BY m.prediction""", "M24 M25 F11
 def m24_m25_staged_model_save_load(spark, d):
     data = rated(spark, d)
     pipe_path, model_path = scratch_path(spark, "pipeline"), scratch_path(spark, "pipeline-model")
-    PL.save_pipeline(PL.five_star_pipeline(), pipe_path)
+    PL.save_pipeline(rating_pipeline(), pipe_path)
     model = PL.load_pipeline(pipe_path).fit(data)
     model.write().overwrite().save(model_path)
     loaded = PL.load_pipeline_model(model_path)
-    scored = loaded.transform(data).persist(StorageLevel.MEMORY_AND_DISK)
-    return typed_crosstab(scored, "prediction", "five_star_rating", [0.0, 1.0])
+    return typed_crosstab(loaded.transform(data), "prediction", "five_star_rating", [0.0, 1.0])
 
 
 @query("m24_validator_as_last_stage", None, "M24 M12 M20 M21")
@@ -419,15 +428,14 @@ def m24_validator_as_last_stage(spark, d):
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
     from pyspark.ml.tuning import TrainValidationSplit
 
     data = _rated_customers(spark, d).drop("reviewed").withColumn("star_rating", F.col("star_rating").cast("double"))
     train, test = hash_split(data, ["id"], 0.7)
     clf = RandomForestClassifier(featuresCol="features", labelCol="star_rating", seed=12345)
     grid = TU.param_grid({clf.maxDepth: [3, 5], clf.numTrees: [5, 10], clf.subsamplingRate: [0.5, 1.0]})
-    stages = [SQLTransformer(statement="SELECT * FROM __THIS__ WHERE cancelled = 0"),
-              SQLTransformer(statement="SELECT *, review IS NOT NULL AS reviewed FROM __THIS__"),
+    stages = [PL.prepared_rows("NOT boolean(cancelled)", {"reviewed": "isnotnull(review)"}),
               StringIndexer(inputCol="segment", outputCol="segment_index"),
               OneHotEncoder(inputCol="segment_index", outputCol="segment_encoded"),
               VectorAssembler(inputCols=["reviewed", "totalprice", "segment_encoded", "acctbal"],

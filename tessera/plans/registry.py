@@ -47,21 +47,9 @@ def query(name: str, sql: str | None, inventory: str):
     return deco
 
 
-_HANDLES: dict[tuple[str, str, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Handle on a test table, opened once per application.
-
-    Opening a Parquet table lists its files and reads footers on the driver;
-    a long-running application keeps the handle (the data itself is read by
-    every query that uses it, nothing is cached).
-    """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
-    df = _HANDLES.get(key)
-    if df is None:
-        df = _HANDLES[key] = _load(spark, sf_dir, name)
-    return df
+    """A test table, opened anew each time, so that rows added meanwhile are read."""
+    return _load(spark, sf_dir, name)
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
@@ -17,9 +18,17 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     settings that change plans are fixed: adaptive execution (runtime
     coalescing and skew-join splitting) and a UTC session clock.
     """
-    master = master or os.environ.get("TESSERA_MASTER", "local[*]")
+    submitted = SparkConf()
+    master = master or os.environ.get("TESSERA_MASTER")
+    if master is None and not submitted.contains("spark.master"):
+        master = "local[*]"
+    builder = SparkSession.builder.appName(app)
+    if master is not None:
+        builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
     builder = (
-        SparkSession.builder.master(master).appName(app)
+        builder
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
@@ -30,7 +39,6 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         # checkpoint files of operators (exact quantiles, crosstab pairs) are
         # deleted once nothing refers to them any more
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -56,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import columns as C
 from tessera.functions.geo import haversine, haversine_numpy
-from tessera.functions.scoring import predicted_arrival_hhmm, predicted_arrival_python
+from tessera.functions.scoring import predicted_arrival_hhmm
 
 
 def test_haversine_known_answer(spark):
@@ -19,18 +19,15 @@ def test_haversine_known_answer(spark):
 
 
 def test_arrival_rule_known_answer(spark):
-    assert predicted_arrival_python(724, 43) == 801
     df = spark.createDataFrame([(724, 43.0)], "s int, d double")
     assert df.select(predicted_arrival_hhmm("s", "d")).first()[0] == 801
 
 
-def test_arrival_rule_matches_python_across_midnight(spark):
-    cases = [(s, d) for s in (0, 1, 59, 100, 724, 1159, 2300, 2345, 2359)
-             for d in (-120.0, -30.5, -5.9, 0.0, 0.1, 5.78, 43.0, 59.99, 180.25, 1500.0)]
-    df = spark.createDataFrame(cases, "s int, d double")
-    got = {(r.s, r.d): r.p for r in df.select("s", "d", predicted_arrival_hhmm("s", "d").alias("p")).collect()}
-    for s, d in cases:
-        assert got[(s, d)] == predicted_arrival_python(s, d), (s, d)
+def test_arrival_rule_across_midnight(spark):
+    cases = [(0, 0.0, 2354), (1, -30.5, 2323), (59, 5.78, 58), (2359, 43.0, 36), (2300, 180.25, 157)]
+    cases += [(2345, 1500.0, 109), (100, -120.0, 2251), (1159, 0.1, 1153), (724, 43.0, 801)]
+    df = spark.createDataFrame(cases, "s int, d double, want int")
+    assert [r.want for r in df.collect()] == [r.p for r in df.select(predicted_arrival_hhmm("s", "d").alias("p")).collect()]
 
 
 def test_arrival_rule_null_in_null_out(spark):

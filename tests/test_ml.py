@@ -71,7 +71,9 @@ def test_pipeline_save_load_same_predictions(spark):
     df = spark.createDataFrame(rows, "id int, c boolean, star_rating int, review string") \
         .withColumn("cancelled", F.col("c").cast("int")).drop("c")
     path = scratch_path(spark, "test-pipeline")
-    PL.save_pipeline(PL.five_star_pipeline(), path)
+    from tessera.plans.ml_plans import rating_pipeline
+
+    PL.save_pipeline(rating_pipeline(), path)
     model = PL.load_pipeline(path).fit(df)
     mpath = scratch_path(spark, "test-pipeline-model")
     model.write().overwrite().save(mpath)

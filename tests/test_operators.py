@@ -241,3 +241,22 @@ def test_exact_quantiles_large_longs_bracketed(spark):
     probs = [0.01, 0.25, 0.5, 0.75, 0.99]
     got = {r.p: r.value for r in exact_quantiles(df, "x", probs, bracket_error=1e-3).collect()}
     assert [got[p] for p in probs] == brute_quantiles(vals, probs)
+
+
+def test_null_keys_fall_into_one_part(spark):
+    from tessera.operators.sampling import hash_sample, hash_split
+
+    df = spark.createDataFrame([(i if i % 3 else None, f"k{i}" if i % 2 else None) for i in range(60)], "id long, k string")
+    for keys in (["id"], ["id", "k"]):
+        a, b = hash_split(df, keys, 0.4)
+        assert a.count() + b.count() == 60
+        assert hash_sample(df, keys, 1.0).count() == 60
+
+
+def test_table_reads_appended_rows(spark, tmp_path):
+    from tessera.plans.registry import table
+
+    spark.range(10).write.parquet(f"{tmp_path}/orders.parquet")
+    assert table(spark, str(tmp_path), "orders").count() == 10
+    spark.range(5).write.mode("append").parquet(f"{tmp_path}/orders.parquet")
+    assert table(spark, str(tmp_path), "orders").count() == 15

@@ -1,4 +1,4 @@
-from tessera.functions.scoring import predicted_arrival_python
+from tessera.functions.scoring import predicted_arrival_hhmm
 from tessera.session import scratch_path
 from tessera.streaming.scoring import start_scoring
 
@@ -15,5 +15,5 @@ def test_stream_scoring_matches_rule_and_is_restartable(spark):
     q2.awaitTermination()
     out = {r.id: r.pred_arr_time for r in spark.read.parquet(sink).collect()}
     assert len(out) == 500 and spark.read.parquet(sink).count() == 500
-    for i, s, d in rows:
-        assert out[i] == predicted_arrival_python(s, d)
+    batch = df.select("id", predicted_arrival_hhmm("sched_arr_time", "dep_delay").alias("p")).collect()
+    assert out == {r.id: r.p for r in batch}
