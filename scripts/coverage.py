@@ -71,7 +71,7 @@ FUNCTIONS = {
     "V4": "operators.plotdata.box_stats", "V5": "operators.plotdata.sample_points",
     "V6": "operators.plotdata.linear_fit", "V7": "operators.plotdata.quadratic_fit",
     "V8": "operators.stats.all_pair_correlations / plotdata.binned_2d", "V9": "operators.plotdata.binned_2d",
-    "J1": "operators.joins.orders_enriched / join_dimension",
+    "J1": "operators.joins.orders_enriched / join_splitting_hot_keys",
 }
 
 

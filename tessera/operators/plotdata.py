@@ -37,11 +37,17 @@ def ordered_counts(df: DataFrame, key: str, order: Sequence, hue: str | None = N
     return out
 
 
+def _finite(col: str) -> Column:
+    """The number, or null where it is null, NaN or infinite."""
+    x = F.col(col).cast("double")
+    return F.when(F.abs(x) < F.lit(float("inf")), x)
+
+
 def _ranges(df: DataFrame, *cols: str) -> dict[str, tuple]:
-    """(min, max, count, sample stddev) of several columns in one pass."""
+    """(min, max, count, sample stddev) of several columns' finite values in one pass."""
     aggs = []
     for c in cols:
-        x = F.col(c).cast("double")
+        x = _finite(c)
         aggs += [F.min(x).alias(f"{c}__lo"), F.max(x).alias(f"{c}__hi"), F.count(x).alias(f"{c}__n"),
                  F.stddev_samp(x).alias(f"{c}__s")]
     r = df.agg(*aggs).first()
@@ -55,26 +61,29 @@ def bucket_of(col: str | Column, lo: float, hi: float, bins: int) -> Column:
     if width == 0:
         return F.when(c.isNotNull(), F.lit(1).cast("long"))
     raw = F.floor((c.cast("double") - F.lit(lo)) / F.lit(width) * F.lit(bins)).cast("long") + 1
-    return F.least(raw, F.lit(bins).cast("long"))
+    return F.when(c.isNotNull(), F.least(raw, F.lit(bins).cast("long")))  # least() skips nulls
 
 
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     """Equal-width histogram: (bucket, lower, upper, count); empty buckets omitted.
 
-    One pass for the range, one grouped count."""
+    One pass for the range, one grouped count.  NaN and infinite values are
+    bucket 0, without bounds; a column with no finite value has that one only."""
     lo, hi, _, _ = _ranges(df, col)[col]
     return _histogram_in_range(df, col, bins, lo, hi)
 
 
 def _histogram_in_range(df: DataFrame, col: str, bins: int, lo, hi) -> DataFrame:
     if lo is None:
-        return df.sparkSession.createDataFrame([], "bucket long, lower double, upper double, count long")
+        lo = hi = 0.0
     width = (hi - lo) / bins
+    bucket = F.coalesce(bucket_of(_finite(col), lo, hi, bins), F.lit(0).cast("long"))
+    bounded = F.col("bucket") > 0
     return (df.where(F.col(col).isNotNull())
-            .groupBy(bucket_of(col, lo, hi, bins).alias("bucket")).agg(F.count(F.lit(1)).alias("count"))
+            .groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("count"))
             .select("bucket",
-                    (F.lit(lo) + (F.col("bucket") - 1) * F.lit(width)).alias("lower"),
-                    (F.lit(lo) + F.col("bucket") * F.lit(width)).alias("upper"),
+                    F.when(bounded, F.lit(lo) + (F.col("bucket") - 1) * F.lit(width)).alias("lower"),
+                    F.when(bounded, F.lit(lo) + F.col("bucket") * F.lit(width)).alias("upper"),
                     "count"))
 
 
@@ -89,7 +98,7 @@ def density_curve(df: DataFrame, col: str, bins: int = 50, grid: int = 100) -> D
     if not n or sd is None or sd == 0:
         return df.sparkSession.createDataFrame([], "point long, x double, density double")
     h = 1.06 * sd * n ** (-0.2)
-    hist = _histogram_in_range(df, col, bins, lo, hi)
+    hist = _histogram_in_range(df, col, bins, lo, hi).where("bucket > 0")
     step = (hi - lo) / (grid - 1)
     return (hist.select(((F.col("lower") + F.col("upper")) / 2).alias("centre"), "count",
                         F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
@@ -144,11 +153,13 @@ def quadratic_fit(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def binned_2d(df: DataFrame, x: str, y: str, bins_x: int = 20, bins_y: int = 20) -> DataFrame:
-    """Counts on a bins_x × bins_y grid of equal-width cells over the complete
-    pairs (empty cells omitted); one range pass, one grouped count."""
-    rng = _ranges(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()), x, y)
+    """Counts on a bins_x × bins_y grid of equal-width cells over the pairs of
+    finite numbers (empty cells omitted); one range pass, one grouped count."""
+    clean = df.where(_finite(x).isNotNull() & _finite(y).isNotNull())
+    rng = _ranges(clean, x, y)
     (lx, hx, _, _), (ly, hy, _, _) = rng[x], rng[y]
-    clean = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    if lx is None:
+        return df.sparkSession.createDataFrame([], "bx long, `by` long, count long")
     return clean.groupBy(bucket_of(x, lx, hx, bins_x).alias("bx"),
                          bucket_of(y, ly, hy, bins_y).alias("by")).agg(F.count(F.lit(1)).alias("count"))
 
@@ -156,13 +167,17 @@ def binned_2d(df: DataFrame, x: str, y: str, bins_x: int = 20, bins_y: int = 20)
 def pair_grid_counts(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
     """2-D binned counts for every pair of columns, in one scan.
 
-    One pass finds each column's range over the complete rows; then every
+    One pass finds each column's range over the rows of finite numbers; then every
     row emits one (pair, bucket x, bucket y) entry per column pair (a fixed
     number, k(k-1)/2) and a single grouped count with map-side combine
     produces all grids.  Output: x, y (column names), bx, by, count.
     """
-    clean = df.select(*cols).dropna()
+    clean = df.select(*cols)
+    for c in cols:
+        clean = clean.where(_finite(c).isNotNull())
     rng = _ranges(clean, *cols)
+    if rng[cols[0]][0] is None:
+        return df.sparkSession.createDataFrame([], "x string, y string, bx long, `by` long, count long")
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     cells = F.array(*[
         F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"),

@@ -5,13 +5,13 @@ values, the definition of ``percentile_disc`` and of ``approxQuantile`` with
 relative error 0.  Spark's exact forms keep every value of a group in one
 task; this operator instead:
 
-1. (numeric columns) one aggregate pass computes ``n`` and an approximate
-   quantile sketch at ``p ± 2ε``.  The sketch's rank guarantee (±εn) puts
-   the exact answer between those two values: a bracket;
+1. (numeric columns) ``approxQuantile`` merges the tasks' sketches in a tree
+   and gives the values near ``p ± 2ε``.  Its rank guarantee (±εn) puts
+   the exact answer between those two: a bracket;
 2. one more scan counts, per distinct value, only the values inside a
    bracket (about 4εn rows per probability; map-side combined, so a hot
    value becomes one row); all other rows collapse into at most k+1 groups
-   that record which brackets they lie below.  The result is
+   by the number of lower bounds they reach.  The result is
    range-partitioned, sorted within partitions and checkpointed to the
    shared checkpoint folder (reliable, so the layout the offsets refer to
    is fixed and survives executor loss);
@@ -28,6 +28,7 @@ unbracketed form (all distinct values), so the result is always exact.
 
 from __future__ import annotations
 
+import decimal
 import math
 from collections.abc import Iterator, Sequence
 from functools import reduce
@@ -56,20 +57,31 @@ def _inside(v: Column, lo, hi) -> Column:
     return cond
 
 
-def _brackets(vals: DataFrame, probs: list[float], eps: float, numeric: bool):
-    """(n, [(lo, hi)]) with lo/hi None meaning unbounded."""
-    if not numeric or eps <= 0:
-        return vals.count(), [(None, None)] * len(probs)
+def _as_type(bound: float, value_type: T.DataType, up: bool):
+    """A bound in the column's own type, rounded outwards, so that Spark and pandas compare alike."""
+    if isinstance(value_type, T.IntegralType):
+        whole = math.ceil(bound) if up else math.floor(bound)
+        return max(-2**63, min(2**63 - 1, whole))
+    if isinstance(value_type, T.DecimalType):
+        with decimal.localcontext(prec=80):
+            return decimal.Decimal(bound).quantize(decimal.Decimal(1).scaleb(-value_type.scale),
+                                                   decimal.ROUND_CEILING if up else decimal.ROUND_FLOOR)
+    return bound
+
+
+def _brackets(vals: DataFrame, probs: list[float], eps: float, value_type: T.DataType) -> list[tuple]:
+    """[(lo, hi)] by probability, None meaning unbounded."""
+    if not isinstance(value_type, T.NumericType) or eps <= 0:
+        return [(None, None)] * len(probs)
     qs = sorted({min(1.0, max(0.0, p + s * 2 * eps)) for p in probs for s in (-1, 1)})
-    row = vals.agg(F.count(F.lit(1)).alias("n"),
-                   F.percentile_approx("v", qs, int(math.ceil(1 / eps))).alias("q")).first()
-    approx = dict(zip(qs, row["q"] or []))
+    approx = dict(zip(qs, vals.approxQuantile("v", qs, eps)))
     out = []
     for p in probs:
         lo = None if p - 2 * eps <= 0 else approx.get(max(0.0, p - 2 * eps))
         hi = None if p + 2 * eps >= 1 else approx.get(min(1.0, p + 2 * eps))
-        out.append((lo, hi))
-    return row["n"], out
+        out.append((None if lo is None else _as_type(lo, value_type, False),
+                    None if hi is None else _as_type(hi, value_type, True)))
+    return out
 
 
 def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
@@ -87,31 +99,21 @@ def _exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
                                T.StructField("value", value_type)])
     probs = [float(p) for p in probabilities]
     vals = df.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
-    numeric = isinstance(value_type, T.NumericType)
-    if unbracketed:
-        n, brackets = vals.count(), [(None, None)] * len(probs)
-    else:
-        n, brackets = _brackets(vals, probs, bracket_error, numeric)
-    if n == 0:
-        return spark.createDataFrame([(p, None) for p in probs], out_schema)
-    ranks = target_ranks(probs, n)
+    brackets = [(None, None)] * len(probs) if unbracketed else _brackets(vals, probs, bracket_error, value_type)
     v = F.col("v")
     k = len(probs)
     inside = [_inside(v, lo, hi) for lo, hi in brackets]
-    is_candidate = reduce(lambda a, b: a | b, inside)
+    is_candidate = reduce(lambda a, b: a | b, inside, F.lit(False))
 
     # One scan: candidate values keep their own group; every other row is
-    # grouped under a null value and a bitmask of the bracket lower bounds it
-    # lies below (at most k+1 distinct masks, as the bounds are monotone).
+    # grouped under a null value and the number of lower bounds it reaches
+    # (bounds in ascending order, so that number tells which it lies below).
     # Rows below each bracket are summed from both kinds afterwards.
-    lows = [(i, lo) for i, (lo, _) in enumerate(brackets) if lo is not None]
-    if k > 62 and lows:
-        raise ValueError("at most 62 probabilities per call")
-    mask = reduce(lambda a, b: a + b, [F.when(v < F.lit(lo), F.lit(1 << i)).otherwise(F.lit(0))
-                                       for i, lo in lows], F.lit(0).cast("long"))
+    lows = sorted(((i, lo) for i, (lo, _) in enumerate(brackets) if lo is not None), key=lambda x: x[1])
+    reached = reduce(lambda a, b: a + b, [(v >= F.lit(lo)).cast("int") for _, lo in lows], F.lit(0))
     keyed = vals.select(F.when(is_candidate, v).alias("kv"),
-                        F.when(is_candidate, F.lit(0).cast("long")).otherwise(mask).alias("mask"))
-    counts = keyed.groupBy("kv", "mask").agg(F.count(F.lit(1)).alias("c")).withColumnRenamed("kv", "v")
+                        F.when(is_candidate, F.lit(0)).otherwise(reached).alias("reached"))
+    counts = keyed.groupBy("kv", "reached").agg(F.count(F.lit(1)).alias("c")).withColumnRenamed("kv", "v")
     ensure_checkpoint_dir(spark)
     # Without an explicit count adaptive execution may merge adjacent ranges;
     # the checkpoint fixes whatever layout ran, and pids below refer to it.
@@ -122,10 +124,15 @@ def _exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
     present = v.isNotNull()
     c = F.col("c")
     per_pid = ranged.groupBy("pid").agg(
+        F.sum("c").alias("n"),
         *[F.sum(F.when(present & inside[i], c).otherwise(0)).alias(f"t{i}") for i in range(k)],
-        *[F.sum(F.when((~present & ((F.col("mask").bitwiseAND(F.lit(1 << i))) != 0))
-                       | (present & (v < F.lit(lo))), c).otherwise(0)).alias(f"b{i}") for i, lo in lows]
+        *[F.sum(F.when((~present & (F.col("reached") <= at)) | (present & (v < F.lit(lo))), c).otherwise(0))
+          .alias(f"b{i}") for at, (i, lo) in enumerate(lows)]
     ).collect()
+    n = sum(row["n"] for row in per_pid)
+    if n == 0:
+        return spark.createDataFrame([(p, None) for p in probs], out_schema)
+    ranks = target_ranks(probs, n)
     totals = {row["pid"]: [row[f"t{i}"] for i in range(k)] for row in per_pid}
     below = [0] * k
     for i, _ in lows:

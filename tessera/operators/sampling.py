@@ -29,10 +29,12 @@ def random_split(df: DataFrame, weights: Sequence[float], seed: int | None = Non
 
 def labelled_random_split(df: DataFrame, weights: Sequence[float], seed: int | None = None,
                           label: str = "split") -> DataFrame:
-    """All parts of ``randomSplit`` in one frame, tagged 0, 1, ... by part."""
-    parts = df.randomSplit(list(weights), seed)
-    return reduce(lambda a, b: a.unionByName(b),
-                  [p.withColumn(label, F.lit(i)) for i, p in enumerate(parts)])
+    """A random split as one frame, tagged 0, 1, ... by part: one scan, one draw a row."""
+    total, bounds = sum(weights), []
+    for w in list(weights)[:-1]:
+        bounds.append((bounds[-1] if bounds else 0.0) + w / total)
+    drawn = df.withColumn(label, F.rand(seed) if seed is not None else F.rand())
+    return drawn.withColumn(label, reduce(lambda a, b: a + b, [(F.col(label) >= b).cast("int") for b in bounds], F.lit(0)))
 
 
 def hash_unit(*keys: str | Column) -> Column:

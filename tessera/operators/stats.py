@@ -15,14 +15,15 @@ from .quantiles import exact_quantiles
 def describe_typed(df: DataFrame, *cols: str) -> DataFrame:
     """``describe(cols)`` as typed long-form rows, all columns in one pass.
 
-    Columns: column, count (bigint), mean, stddev (sample), min, max (double).
+    Columns: column, count of non-null values (bigint), mean, stddev (sample),
+    min, max (double) of those that are numbers.
     ``DataFrame.describe`` returns every statistic as a string; this keeps
     numbers numeric.
     """
     aggs = []
     for c in cols:
         x = F.col(c).try_cast("double")  # non-numeric text gives null, not an ANSI error
-        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
+        aggs += [F.count(F.col(c)).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__stddev"), F.min(x).alias(f"{c}__min"),
                  F.max(x).alias(f"{c}__max")]
     wide = df.agg(*aggs)
@@ -61,7 +62,9 @@ def approx_quantiles(df: DataFrame, col: str, probabilities: Sequence[float],
         F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("i") + 1).alias("p"), "value")
 
 
-MAX_CROSSTAB_COLUMNS = 10_000  # as Spark's own crosstab, a wide table is refused
+def crosstab_counts(df: DataFrame, row_key: str, col_key: str) -> DataFrame:
+    """Contingency table in long form, for keys of any width: (row, column, n)."""
+    return df.groupBy(row_key, col_key).agg(F.count(F.lit(1)).alias("n"))
 
 
 def typed_crosstab(df: DataFrame, row_key: str, col_key: str,
@@ -71,29 +74,31 @@ def typed_crosstab(df: DataFrame, row_key: str, col_key: str,
     One row per ``row_key`` value (first column named ``{row}_{col}`` like
     ``crosstab``), one bigint count column per ``col_key`` value, 0 where
     absent.  Values are taken from ``col_values`` or read off the
-    pre-aggregated ``(row, col)`` counts (a crosstab is meant for
-    low-cardinality keys; wider ones are refused).
+    pre-aggregated counts.  The null column is named ``null``, or
+    ``null (missing)`` beside a value of that text.  Every value is a column of
+    the plan; :func:`crosstab_counts` is the form for wide keys.
     """
-    pairs = df.groupBy(row_key, col_key).agg(F.count(F.lit(1)).alias("n"))
+    pairs = crosstab_counts(df, row_key, col_key)
     if col_values is None:
         # one pass over the data: the (row, col) counts are written to the
         # shared checkpoint folder and both the value list and the table are
         # read from there
         ensure_checkpoint_dir(df.sparkSession)
         pairs = pairs.checkpoint(eager=True)
-        found = pairs.select(col_key).distinct().limit(MAX_CROSSTAB_COLUMNS + 1).collect()
-        if len(found) > MAX_CROSSTAB_COLUMNS:
-            raise ValueError(f"{col_key} has more than {MAX_CROSSTAB_COLUMNS} distinct values; "
-                             "use a grouped count instead of a contingency table")
+        found = pairs.select(col_key).distinct().collect()
         col_values = sorted((r[0] for r in found), key=lambda v: (v is not None, v))
-    aggs = [F.coalesce(F.sum(F.when(F.col(col_key).eqNullSafe(F.lit(v)), F.col("n"))),
-                       F.lit(0)).cast("long").alias(_crosstab_name(v)) for v in col_values]
-    return (pairs.groupBy(row_key).agg(*aggs)
-            .withColumnRenamed(row_key, f"{row_key}_{col_key}"))
-
-
-def _crosstab_name(v) -> str:
-    return "null" if v is None else str(v)
+    values = list(col_values)
+    texts = [str(v) for v in values if v is not None]
+    names = [("null (missing)" if "null" in texts else "null") if v is None else str(v) for v in values]
+    key = f"{row_key}_{col_key}"
+    if not values:
+        return pairs.select(F.col(row_key).alias(key)).distinct()
+    # a position, not the value, is pivoted: a null value has one too
+    position = F.coalesce(*[F.when(F.col(col_key).eqNullSafe(F.lit(v)), F.lit(i)) for i, v in enumerate(values)]) \
+        if None in values else F.array_position(F.array(*[F.lit(v) for v in values]), F.col(col_key)).cast("int") - 1
+    wide = pairs.withColumn("__at", position).groupBy(row_key).pivot("__at", list(range(len(values)))).sum("n")
+    wide = wide.toDF(key, *[f"__c{i}" for i in range(len(values))])
+    return wide.select(key, *[F.coalesce(F.col(f"__c{i}"), F.lit(0)).cast("long").alias(n) for i, n in enumerate(names)])
 
 
 def squared_correlation(df: DataFrame, y: str, yhat: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.geo import haversine
-from ..operators.joins import orders_enriched
+from ..operators.joins import hot_keys, join_splitting_hot_keys, orders_enriched
 from ..operators.relational import (
     frequency,
     group_by_expression,
@@ -184,12 +184,28 @@ SELECT o.o_orderkey, o.o_totalprice, c.c_name, c.c_mktsegment, n.n_name, r.r_nam
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey""", "J1")
 def j1_orders_enriched_hot_key_split(spark, d):
-    # customers holding at least 0.05% of all orders take the broadcast path
+    # customers holding at least 1% of all orders are salted
     j = orders_enriched(table(spark, d, "orders"), table(spark, d, "customer"),
-                        table(spark, d, "nation"), table(spark, d, "region"), hot_key_share=0.0005)
+                        table(spark, d, "nation"), table(spark, d, "region"), hot_key_share=0.01)
     return j.select("o_orderkey", "o_totalprice", "c_name", "c_mktsegment", "n_name", "r_name")
 
 
+_HOT_THIRD = "CASE o_orderkey % 3 WHEN 0 THEN 1 WHEN 1 THEN o_custkey END"
+
+
+@query("j1_hot_third_null_rest_left_join", f"""
+SELECT o.o_orderkey, o.k, c.c_name
+FROM (SELECT o_orderkey, {_HOT_THIRD} AS k FROM orders) o LEFT JOIN customer c ON o.k = c.c_custkey""", "J1")
+def j1_hot_third_null_rest_left_join(spark, d):
+    """A third of the orders on one key, a third on none."""
+    orders = table(spark, d, "orders").select("o_orderkey", F.expr(_HOT_THIRD).alias("k"))
+    keys = hot_keys(orders, "k", 0.1)
+    if keys != [1] and not orders.isEmpty():
+        raise RuntimeError(f"one hot key expected, not {keys}")
+    cust = table(spark, d, "customer").select("c_custkey", "c_name")
+    return join_splitting_hot_keys(orders, cust, "k", "c_custkey", "left", keys=keys).drop("c_custkey")
+
+
 @query("s19_persist_reused_result", f"""
 SELECT 'by_origin' AS grouping, origin AS key, count(*) AS n FROM {FLIGHTS_SQL} WHERE arr_delay > 0 GROUP BY origin
 UNION ALL

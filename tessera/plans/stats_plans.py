@@ -51,6 +51,20 @@ def a11_approx_quantiles(spark, d):
     return S.approx_quantiles(rides(spark, d), "distance", PROBS, 0.1)
 
 
+@query("a11_approx_quantiles_rank_bound", f"""
+SELECT unnest({_PROBS_SQL}::DOUBLE[]) AS p, n, true AS within_bound
+FROM (SELECT count(distance) AS n FROM {RIDES_SQL})""", "A11")
+def a11_approx_quantiles_rank_bound(spark, d):
+    """Whether each approximate quantile's rank is within 0.1 n of the asked one."""
+    r = rides(spark, d).select("distance")
+    found = S.approx_quantiles(r, "distance", PROBS, 0.1).collect()
+    x, n = F.col("distance"), F.count("distance")
+    checks = [F.struct(F.lit(q.p).alias("p"), n.alias("n"),
+                       ((F.count_if(x < q.value) <= (q.p + 0.1) * n) & (F.count_if(x <= q.value) >= (q.p - 0.1) * n)
+                        ).alias("within_bound")) for q in found]
+    return r.agg(F.array(*checks).alias("checks")).select(F.explode("checks").alias("c")).select("c.*")
+
+
 @query("a12_exact_quantiles", f"""
 SELECT unnest({_PROBS_SQL}::DOUBLE[]) AS p, unnest(quantile_disc(l_extendedprice, {_PROBS_SQL})) AS value
 FROM lineitem""", "A12")
@@ -107,6 +121,23 @@ def v2_histogram(spark, d):
     return round_doubles(V.histogram(table(spark, d, "lineitem"), "l_extendedprice", 20))
 
 
+_WITH_NAN_SQL = """(SELECT CASE WHEN l_orderkey % 10 = 0 THEN 'NaN'::DOUBLE WHEN l_orderkey % 10 = 1 THEN 'Infinity'::DOUBLE
+  WHEN l_orderkey % 10 = 2 THEN NULL ELSE l_extendedprice END AS x FROM lineitem)"""
+
+
+@query("v2_histogram_with_nan", f"""
+WITH t AS {_WITH_NAN_SQL}, s AS (SELECT min(x) AS lo, max(x) AS hi FROM t WHERE isfinite(x)),
+b AS (SELECT CASE WHEN NOT isfinite(x) THEN 0 ELSE {_bucket_sql('x', 20)} END AS bucket, count(*) AS count
+      FROM t, s WHERE x IS NOT NULL GROUP BY 1)
+SELECT bucket, CASE WHEN bucket > 0 THEN round(lo + (bucket - 1) * ((hi - lo) / 20), 6) END AS lower,
+       CASE WHEN bucket > 0 THEN round(lo + bucket * ((hi - lo) / 20), 6) END AS upper, count FROM b, s""", "V2")
+def v2_histogram_with_nan(spark, d):
+    kind = F.col("l_orderkey") % 10
+    x = (F.when(kind == 0, F.lit(float("nan"))).when(kind == 1, F.lit(float("inf")))
+         .when(kind != 2, F.col("l_extendedprice")))
+    return round_doubles(V.histogram(table(spark, d, "lineitem").select(x.alias("x")), "x", 20))
+
+
 @query("v3_density_curve", f"""
 WITH t AS (SELECT distance AS x FROM {RIDES_SQL} WHERE distance IS NOT NULL),
 s AS (SELECT min(x) AS lo, max(x) AS hi, count(x) AS n, 1.06 * stddev_samp(x) * power(count(x), -0.2) AS h
@@ -159,6 +190,21 @@ def v7_quadratic_fit(spark, d):
     return V.quadratic_fit(rides(spark, d), "distance", "duration")
 
 
+@query("v7_quadratic_fit_scaled", f"""
+WITH t AS (SELECT distance / 1000 AS x, power(distance / 1000, 2) AS z, duration AS y FROM {RIDES_SQL}
+           WHERE distance IS NOT NULL AND duration IS NOT NULL),
+m AS (SELECT var_pop(x) AS xx, var_pop(z) AS zz, covar_pop(x, z) AS xz, covar_pop(x, y) AS xy, covar_pop(z, y) AS zy,
+             var_pop(y) AS yy, avg(x) AS mx, avg(z) AS mz, avg(y) AS my FROM t),
+b AS (SELECT *, (zz * xy - xz * zy) / (xx * zz - xz * xz) AS b1, (xx * zy - xz * xy) / (xx * zz - xz * xz) AS b2 FROM m)
+SELECT round(my - b1 * mx - b2 * mz, 3) AS intercept, round(b1, 4) AS b1, round(b2, 5) AS b2,
+       round((b1 * xy + b2 * zy) / yy, 6) AS r2 FROM b""", "V7")
+def v7_quadratic_fit_scaled(spark, d):
+    r = rides(spark, d).select((F.col("distance") / 1000).alias("x"), "duration")
+    return V.quadratic_fit(r, "x", "duration").select(
+        F.round("intercept", 3).alias("intercept"), F.round("b1", 4).alias("b1"), F.round("b2", 5).alias("b2"),
+        F.round("r2", 6).alias("r2"))
+
+
 _PAIR_COLS = ["distance", "duration", "ship_month"]
 
 

@@ -137,13 +137,17 @@ def test_random_split_is_complete(spark):
     assert out.count() == 2000 and out.select("id").distinct().count() == 2000
 
 
-def test_join_dimension_broadcasts_only_checked_small_side(spark):
+def test_join_dimension_leaves_broadcast_to_the_byte_threshold(spark):
     fact = spark.range(0, 1000).withColumn("k", F.col("id") % 10)
     dim = spark.range(0, 10).withColumnRenamed("id", "k")
-    small = join_dimension(fact, dim, "k")
-    big = join_dimension(fact, dim, "k", max_rows=5)
-    assert small.count() == 1000 and big.count() == 1000
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    for threshold, join in ((10 << 20, "BroadcastHashJoin"), (-1, "SortMergeJoin")):
+        before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            out = join_dimension(fact, dim, "k")
+            assert join in out._jdf.queryExecution().executedPlan().toString() and out.count() == 1000
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_to_local_refuses_unbounded(spark):
@@ -206,7 +210,7 @@ def test_exact_quantiles_wrong_brackets_fall_back(spark, monkeypatch):
 
     vals = list(range(1000))
     df = spark.createDataFrame([(v,) for v in vals], "x long")
-    monkeypatch.setattr(Q, "_brackets", lambda v, probs, eps, numeric: (1000, [(900, 950)] * len(probs)))
+    monkeypatch.setattr(Q, "_brackets", lambda v, probs, eps, value_type: [(900, 950)] * len(probs))
     got = {r.p: r.value for r in Q.exact_quantiles(df, "x", [0.1, 0.5, 0.92]).collect()}
     assert [got[p] for p in (0.1, 0.5, 0.92)] == brute_quantiles(vals, [0.1, 0.5, 0.92])
 
@@ -233,6 +237,32 @@ def test_pair_grid_counts_match_single_pair_bins(spark):
         assert got == want
 
 
+def test_exact_quantiles_many_probabilities_and_decimals(spark):
+    import decimal
+
+    rnd = random.Random(4)
+    vals = [decimal.Decimal(rnd.randrange(0, 10 ** 5)) / 100 for _ in range(8000)] + [decimal.Decimal("0.10")] * 4000
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,)] * 50, "x decimal(12,2)").repartition(6)
+    probs = [i / 100 for i in range(101)]
+    got = {r.p: r.value for r in exact_quantiles(df, "x", probs, bracket_error=1e-3).collect()}
+    assert [got[p] for p in probs] == brute_quantiles(vals, probs)
+
+
+def test_plots_of_columns_without_finite_numbers(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, nan), (nan, 1.0), (None, 3.0), (inf, 1.0), (4.0, 5.0)], "x double, y double")
+    assert {(r.bucket, r.lower, r.upper, r["count"]) for r in V.histogram(df, "x", 3).collect()} == {
+        (0, None, None, 2), (1, 1.0, 2.0, 1), (2, 2.0, 3.0, 1), (3, 3.0, 4.0, 1)}
+    assert sum(r["count"] for r in V.binned_2d(df, "x", "y", 2, 2).collect()) == 2
+    assert sum(r["count"] for r in V.pair_grid_counts(df, ["x", "y"], 2).collect()) == 2
+    assert all(r.density == r.density for r in V.density_curve(df, "x", 4, 10).collect())
+    for none in (df.where("x = 99"), df.select("y", F.lit(None).cast("double").alias("x"))):
+        assert V.histogram(none, "x").count() == V.binned_2d(none, "x", "y").count() == 0
+        assert V.pair_grid_counts(none, ["x", "y"]).count() == V.density_curve(none, "x").count() == 0
+    only = V.histogram(spark.createDataFrame([(nan,), (nan,)], "x double"), "x").collect()
+    assert [(r.bucket, r.lower, r["count"]) for r in only] == [(0, None, 2)]
+
+
 def test_exact_quantiles_large_longs_bracketed(spark):
     base = 2 ** 60
     rnd = random.Random(9)

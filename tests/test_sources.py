@@ -90,16 +90,21 @@ def test_catalog_use_show_describe(spark, frame):
     W.drop_table(spark, name)
 
 
-def test_crosstab_refuses_wide_tables(spark):
+def test_crosstab_has_no_width_limit(spark):
     from tessera.operators import stats as S
 
-    df = spark.range(0, 20).withColumn("k", F.lit(1))
-    S.MAX_CROSSTAB_COLUMNS, old = 10, S.MAX_CROSSTAB_COLUMNS
-    try:
-        with pytest.raises(ValueError):
-            S.typed_crosstab(df, "k", "id")
-    finally:
-        S.MAX_CROSSTAB_COLUMNS = old
+    df = spark.range(0, 300).withColumn("k", F.lit(1))
+    assert len(S.typed_crosstab(df, "k", "id").first()) == 301
+    assert S.crosstab_counts(df, "k", "id").count() == 300
+
+
+def test_crosstab_tells_null_from_its_text(spark):
+    from tessera.operators import stats as S
+
+    df = spark.createDataFrame([(1, None), (1, "null"), (1, "null"), (2, "a.b")], "k int, c string")
+    out = {r.k_c: r.asDict() for r in S.typed_crosstab(df, "k", "c").collect()}
+    assert out[1] == {"k_c": 1, "null (missing)": 1, "a.b": 0, "null": 2}
+    assert out[2] == {"k_c": 2, "null (missing)": 0, "a.b": 1, "null": 0}
 
 
 def test_checkpoint_dir_is_kept_when_set(spark):
