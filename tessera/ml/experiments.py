@@ -11,41 +11,55 @@ correlation of label and prediction.
 
 Each run is written to its own folder ``run_id=<id>`` with mode overwrite,
 and the id is a hash of the run's settings: a run that is retried after a
-failure replaces its own row instead of adding a second one.
+failure replaces its own row instead of adding a second one.  A run reads the
+data twice: the fit, and one aggregate over both parts.  A figure that is not
+defined (no test row, no spread) is null.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import math
 
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.sampling import hash_split
+from ..operators.sampling import HASH_SPACE, hash_unit
+from .evaluation import regression_sums
 from .models import linear_regression
 
 RUN_SCHEMA = ("fit_intercept boolean, train_fraction double, n_train long, n_test long, "
               "r2 double, r2_summary double, r_squared_corr double, rmse double")
 
 
+def _r2(sums, against: str) -> float | None:
+    return 1 - sums["sse"] / sums[against] if sums and sums[against] else None
+
+
+def _squared_correlation(sums) -> float | None:
+    if not sums or not sums["sst"] or not sums["spread"]:
+        return None
+    return sums["covariance"] ** 2 / (sums["sst"] / sums["n"] * sums["spread"])
+
+
 def run_experiments(data: DataFrame, params: list[dict], table_path: str, key_cols: list[str],
                     features_col="features", label_col="label") -> DataFrame:
     spark = data.sparkSession
     for p in params:
-        frac = float(p.get("train_fraction", 0.7))
-        train, test = hash_split(data, key_cols, frac)
-        model = linear_regression(features_col, label_col, fit_intercept=bool(p.get("fit_intercept", True)),
-                                  solver="normal").fit(train)
-        scored = model.transform(test)
-        ev = RegressionEvaluator(labelCol=label_col, predictionCol="prediction")
-        corr2 = scored.agg(F.pow(F.corr(label_col, "prediction"), 2).alias("c")).first()["c"]
+        frac, intercept = float(p.get("train_fraction", 0.7)), bool(p.get("fit_intercept", True))
+        in_train = hash_unit(*key_cols) < F.lit(int(frac * HASH_SPACE))
+        model = linear_regression(features_col, label_col, fit_intercept=intercept,
+                                  solver="normal").fit(data.where(in_train))
+        # one pass gives the figures of both parts
+        parts = {r["in_train"]: r for r in model.transform(data).groupBy(in_train.alias("in_train"))
+                 .agg(*regression_sums(label_col)).collect()}
+        train, test = parts[True], parts.get(False)
         run_id = hashlib.md5(json.dumps(p, sort_keys=True).encode()).hexdigest()[:16]
-        row = (bool(p.get("fit_intercept", True)), frac, int(model.summary.numInstances),
-               int(scored.count()), float(ev.setMetricName("r2").evaluate(scored)),
-               float(model.summary.r2), float(corr2) if corr2 is not None else None,
-               float(ev.setMetricName("rmse").evaluate(scored)))
+        row = (intercept, frac, train["n"], test["n"] if test else 0, _r2(test, "sst"),
+               _r2(train, "sst" if intercept else "syy"),
+               _squared_correlation(test),
+               math.sqrt(test["sse"] / test["n"]) if test and test["n"] else None)
         spark.createDataFrame([row], RUN_SCHEMA).write.mode("overwrite").parquet(
             f"{table_path.rstrip('/')}/run_id={run_id}")
     # the partition column is read as declared: a hex id must not be inferred as a number

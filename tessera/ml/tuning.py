@@ -34,7 +34,10 @@ def holdout(estimator, maps, evaluator, train: DataFrame, train_ratio=0.75, seed
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     tvs = TrainValidationSplit(estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator,
                                trainRatio=train_ratio, seed=seed, parallelism=parallelism)
-    model = tvs.fit(train)
+    try:
+        model = tvs.fit(train)
+    finally:
+        train.unpersist()
     names = sorted({p.name for m in maps for p in m})
     return model, _metric_rows(train.sparkSession, maps, model.validationMetrics, names)
 
@@ -44,6 +47,9 @@ def kfold(estimator, maps, evaluator, train: DataFrame, folds=3, seed=54321, par
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator,
                         numFolds=folds, seed=seed, parallelism=parallelism)
-    model = cv.fit(train)
+    try:
+        model = cv.fit(train)
+    finally:
+        train.unpersist()
     names = sorted({p.name for m in maps for p in m})
     return model, _metric_rows(train.sparkSession, maps, model.avgMetrics, names)

@@ -10,7 +10,7 @@ value; ROC and PR areas are rank sums over the distinct scores.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -201,6 +201,21 @@ def m9_lasso(spark, d):
     return MO.coefficient_table(spark, model, ["totalprice", "acctbal", "seg_0", "seg_1", "seg_2", "seg_3"])
 
 
+_LASSO_PENALTY = 1000.0
+
+
+@query("m9_lasso_one_feature", f"""
+WITH m AS (SELECT corr(l_quantity, l_extendedprice) AS r, stddev_samp(l_extendedprice) AS sy, stddev_samp(l_quantity) AS sx,
+                  avg(l_extendedprice) AS my, avg(l_quantity) AS mx, count(*) AS n FROM lineitem),
+b AS (SELECT *, sign(r) * greatest(abs(r) - {_LASSO_PENALTY} / sy * n / (n - 1), 0) * sy / sx AS slope FROM m)
+SELECT round(my - slope * mx, 2) AS intercept, round(slope, 3) AS slope FROM b""", "M9")
+def m9_lasso_one_feature(spark, d):
+    """With one feature the lasso is a soft threshold of the correlation."""
+    model = MO.linear_regression(reg_param=_LASSO_PENALTY, elastic_net=1.0, tol=1e-12, maxIter=500).fit(_line_data(spark, d))
+    return spark.createDataFrame([(round(float(model.intercept), 2), round(float(model.coefficients[0]), 3))],
+                                 "intercept double, slope double")
+
+
 # ---- classification --------------------------------------------------------
 
 def _binary_data(spark, d):
@@ -216,7 +231,10 @@ def _fit_logistic(train):
 SELECT reviewed, round(avg(y), 6) AS probability FROM {_FIVE_STAR_SQL} GROUP BY reviewed""", "M10 M16")
 def m10_logistic_regression(spark, d):
     data = _binary_data(spark, d).persist(StorageLevel.MEMORY_AND_DISK)
-    model = _fit_logistic(data)
+    try:
+        model = _fit_logistic(data)
+    finally:
+        data.unpersist()
     scored = model.transform(data)
     return round_doubles(scored.groupBy("reviewed")
                          .agg(F.first(vector_to_array("probability")[1]).alias("probability")))
@@ -254,8 +272,11 @@ pr2 AS (SELECT recall, prec, coalesce(lag(recall) OVER (ORDER BY score DESC), 0)
 def _holdout_scored(spark, d):
     data = _binary_data(spark, d)
     train, test = hash_split(data, ["id"], 0.7)
-    model = _fit_logistic(train.persist(StorageLevel.MEMORY_AND_DISK))
-    return model, test
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _fit_logistic(train), test
+    finally:
+        train.unpersist()
 
 
 @query("m15_holdout_area_under_roc", f"""{_SCORES_SQL}
@@ -263,7 +284,7 @@ SELECT round(sum(pos * (neg_below + 0.5 * neg)) / (sum(pos) * sum(neg)), 9) AS a
        "M15 M14 K5")
 def m15_holdout_area_under_roc(spark, d):
     model, test = _holdout_scored(spark, d)
-    auc = model.evaluate(test).areaUnderROC
+    auc = EV.binary_metrics(model.transform(test))["areaUnderROC"]
     return spark.createDataFrame([(round(float(auc), 9),)], "area_under_roc double")
 
 
@@ -282,14 +303,33 @@ SELECT (SELECT round(sum(pos * (neg_below + 0.5 * neg)) / (sum(pos) * sum(neg)),
        "M17 M15")
 def m17_evaluator_roc_pr(spark, d):
     model, test = _holdout_scored(spark, d)
-    scored = model.transform(test)
-    ev = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction")
-    roc = ev.evaluate(scored)
-    pr = ev.setMetricName("areaUnderPR").evaluate(scored)
-    return spark.createDataFrame([(round(float(roc), 9), round(float(pr), 9))],
+    return _areas(spark, model.transform(test))
+
+
+def _areas(spark, scored, **columns):
+    m = EV.binary_metrics(scored, **columns)
+    return spark.createDataFrame([(round(float(m["areaUnderROC"]), 9), round(float(m["areaUnderPR"]), 9))],
                                  "area_under_roc double, area_under_pr double")
 
 
+@query("m17_many_scores_roc_pr", f"""
+WITH te AS (SELECT totalprice AS score, CASE WHEN CAST(star_rating AS DOUBLE) > 4.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS y
+            FROM {RATED_SQL} WHERE cancelled = 0),
+g AS (SELECT score, sum(y) AS pos, sum(1 - y) AS neg FROM te GROUP BY score),
+c AS (SELECT score, pos, neg,
+             coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below,
+             sum(pos) OVER (ORDER BY score DESC) AS ctp, sum(neg) OVER (ORDER BY score DESC) AS cfp FROM g),
+pr AS (SELECT score, ctp / (SELECT sum(pos) FROM g) AS recall, ctp / (ctp + cfp) AS prec FROM c),
+pr2 AS (SELECT recall, prec, coalesce(lag(recall) OVER (ORDER BY score DESC), 0) AS prev_recall,
+               coalesce(lag(prec) OVER (ORDER BY score DESC), prec) AS prev_prec FROM pr)
+SELECT (SELECT round(sum(pos * (neg_below + 0.5 * neg)) / (sum(pos) * sum(neg)), 9) FROM c) AS area_under_roc,
+       (SELECT round(sum((recall - prev_recall) * (prec + prev_prec) / 2), 9) FROM pr2) AS area_under_pr""", "M17")
+def m17_many_scores_roc_pr(spark, d):
+    """Areas over nearly as many scores as rows: the price as a score of a top rating."""
+    return _areas(spark, _five_star(spark, d).select("totalprice", "five_star_rating"),
+                  label_col="five_star_rating", raw_col="totalprice")
+
+
 @query("m19_accuracy_vs_constant_baseline", f"""
 WITH t AS {_FIVE_STAR_SQL},
 f AS (SELECT reviewed, star_rating_double AS r, count(*) AS n FROM t GROUP BY 1, 2),
@@ -302,10 +342,18 @@ def m19_accuracy_vs_constant_baseline(spark, d):
         .withColumn("star_rating_double", F.col("star_rating").cast("double"))
     model = MO.fit_classifier("tree", data, label_col="star_rating_double")
     scored = model.transform(data).withColumn("prediction_baseline", F.lit(5.0))
-    acc_model = EV.accuracy(scored, "star_rating_double", "prediction")
-    acc_base = EV.accuracy(scored, "star_rating_double", "prediction_baseline")
-    return spark.createDataFrame([(round(acc_model, 9), round(acc_base, 9))],
-                                 "accuracy_model double, accuracy_baseline double")
+    return round_doubles(EV.accuracy_aggregate(scored, "star_rating_double", accuracy_model="prediction",
+                                               accuracy_baseline="prediction_baseline"), 9)
+
+
+@query("m12_forest_of_one_full_tree", f"""
+SELECT reviewed, CASE WHEN avg(y) > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
+FROM {_FIVE_STAR_SQL} GROUP BY reviewed""", "M12")
+def m12_forest_of_one_full_tree(spark, d):
+    """One tree on all features and all rows predicts what a single tree does."""
+    data = _binary_data(spark, d)
+    model = MO.fit_classifier("forest", data, numTrees=1, featureSubsetStrategy="all", bootstrap=False, seed=1)
+    return model.transform(data).groupBy("reviewed").agg(F.first("prediction").alias("prediction"))
 
 
 @query("m12_random_forest_multiclass", None, "M12 A15")
@@ -327,8 +375,9 @@ c AS (SELECT pos, neg,
       FROM g)
 SELECT round(sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)), 9) AS area_under_roc FROM c""", "M14")
 def m14_training_area_under_roc(spark, d):
-    model = _fit_logistic(_binary_data(spark, d))
-    return spark.createDataFrame([(round(float(model.summary.areaUnderROC), 9),)], "area_under_roc double")
+    data = _binary_data(spark, d)
+    auc = EV.binary_metrics(_fit_logistic(data).transform(data))["areaUnderROC"]
+    return spark.createDataFrame([(round(float(auc), 9),)], "area_under_roc double")
 
 
 @query("m13_model_parameters", None, "M13")
@@ -364,9 +413,12 @@ def m10_other_classifiers(spark, d):
              "mlp": dict(layers=[5, 4, 2], maxIter=50, seed=1), "ovr": dict(maxIter=20),
              "forest": dict(numTrees=10, seed=1)}
     rows = []
-    for kind, kw in kinds.items():
-        scored = MO.fit_classifier(kind, data, **kw).transform(data)
-        rows.append((kind, float(EV.accuracy(scored))))
+    try:
+        for kind, kw in kinds.items():
+            scored = MO.fit_classifier(kind, data, **kw).transform(data)
+            rows.append((kind, float(EV.accuracy(scored))))
+    finally:
+        data.unpersist()
     return spark.createDataFrame(rows, "kind string, accuracy double")
 
 
@@ -443,7 +495,11 @@ def m24_validator_as_last_stage(spark, d):
               TrainValidationSplit(estimator=clf, estimatorParamMaps=grid, seed=54321, parallelism=4,
                                    evaluator=MulticlassClassificationEvaluator(labelCol="star_rating",
                                                                                metricName="accuracy"))]
-    model = Pipeline(stages=stages).fit(train.persist(StorageLevel.MEMORY_AND_DISK))
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = Pipeline(stages=stages).fit(train)
+    finally:
+        train.unpersist()
     best = model.stages[-1].bestModel
     scored = model.transform(test).withColumn("prediction_baseline", F.lit(5.0))
     acc = EV.accuracy_aggregate(scored, "star_rating", accuracy_model="prediction",

@@ -56,6 +56,60 @@ def k5_hash_sample_two_keys(spark, d):
     return K.hash_sample(li, ["l_orderkey", "l_linenumber"], 0.02)
 
 
+_NULL_KEY_SQL = "coalesce(CAST({} AS VARCHAR), chr(1) || 'null')"
+
+
+@query("k5_hash_split_null_keys", f"""
+SELECT id, CASE WHEN ('0x' || substr(md5({_NULL_KEY_SQL.format("CASE WHEN id % 10 <> 0 THEN id END")}), 1, 8))::BIGINT
+       < {_CUT_30} THEN 0 ELSE 1 END AS split
+FROM {RIDES_SQL}""", "K5 K3")
+def k5_hash_split_null_keys(spark, d):
+    keyed = rides(spark, d).select("id", F.when(F.col("id") % 10 != 0, F.col("id")).alias("k"))
+    first, rest = K.hash_split(keyed, ["k"], 0.3)
+    return first.select("id", F.lit(0).alias("split")).unionByName(rest.select("id", F.lit(1).alias("split")))
+
+
+@query("k5_hash_split_two_nullable_keys", f"""
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN ('0x' || substr(md5({_NULL_KEY_SQL.format("CASE WHEN l_orderkey % 3 <> 0 THEN l_orderkey END")} || '|' ||
+                                     {_NULL_KEY_SQL.format("CASE WHEN l_linenumber > 1 THEN l_linenumber END")}), 1, 8))::BIGINT
+            < {_CUT_30} THEN 0 ELSE 1 END AS split
+FROM lineitem""", "K5")
+def k5_hash_split_two_nullable_keys(spark, d):
+    li = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_orderkey") % 3 != 0, F.col("l_orderkey")).alias("a"),
+        F.when(F.col("l_linenumber") > 1, F.col("l_linenumber")).alias("b"))
+    parts = [p.select("l_orderkey", "l_linenumber", F.lit(i).alias("split"))
+             for i, p in enumerate(K.hash_split(li, ["a", "b"], 0.3))]
+    return parts[0].unionByName(parts[1])
+
+
+_SAMPLE_SQL = """SELECT count(*) AS n_rows, true AS all_known, true AS no_repeats, true AS size_as_expected FROM orders"""
+
+
+def _sample_checks(orders, sample, fraction):
+    """Whether a Bernoulli sample is a subset without repeats, its size within five standard deviations."""
+    both = orders.select("o_orderkey", F.lit(1).alias("base")).join(
+        sample.select("o_orderkey", F.lit(1).alias("hit")), "o_orderkey", "full")
+    n, hits = F.count("base"), F.count("hit")
+    return both.agg(
+        n.alias("n_rows"), F.bool_and(F.col("base").isNotNull()).alias("all_known"),
+        (F.count_distinct(F.when(F.col("hit") == 1, F.col("o_orderkey"))) == hits).alias("no_repeats"),
+        (F.abs(hits - n * fraction) <= 5 * F.sqrt(n * (fraction * (1 - fraction)))).alias("size_as_expected"))
+
+
+@query("k1_seeded_sample_is_subset", _SAMPLE_SQL, "K1")
+def k1_seeded_sample_is_subset(spark, d):
+    orders = table(spark, d, "orders")
+    return _sample_checks(orders, K.bernoulli_sample(orders, 0.1, seed=12345), 0.1)
+
+
+@query("k2_unseeded_sample_is_subset", _SAMPLE_SQL, "K2")
+def k2_unseeded_sample_is_subset(spark, d):
+    orders = table(spark, d, "orders")
+    return _sample_checks(orders, K.bernoulli_sample(orders, 0.05), 0.05)
+
+
 _PARTITION_SQL = f"SELECT count(*) AS n_rows, count(DISTINCT id) AS n_ids, 2 AS n_parts FROM {RIDES_SQL}"
 
 

@@ -15,6 +15,7 @@ from ..session import scratch_path
 from ..sources import readers as R
 from ..sources import writers as W
 from ..sources.inspect import describe_table, schema_frame
+from ..sources.local import to_local
 from .registry import query, table
 
 _LI_COLS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"]
@@ -159,6 +160,16 @@ def s10_s16_tab_delimited_sink_scan(spark, d):
     return _typed_like(R.read_delimited(spark, path, sep="\t", header=True), src)
 
 
+@query("s17_s16_bounded_local_frame", """
+SELECT l_returnflag, count(*) AS n, CAST(max(l_linenumber) AS BIGINT) AS last_line FROM lineitem GROUP BY l_returnflag""",
+       "S17 S16")
+def s17_s16_bounded_local_frame(spark, d):
+    """A small aggregate handed over as a local frame, and that frame read into Spark."""
+    li = table(spark, d, "lineitem").groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), F.max("l_linenumber").cast("long").alias("last_line"))
+    return spark.createDataFrame(to_local(li, max_rows=1000), li.schema)
+
+
 @query("s11_bzip2_overwrite_sink", """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""", "S11")
 def s11_bzip2_overwrite_sink(spark, d):

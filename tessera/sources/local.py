@@ -1,7 +1,7 @@
 """Bounded hand-over of results to local pandas frames.
 
 ``toPandas`` moves everything to the driver.  These helpers only do so for
-frames whose size is proven small (by a bounded count), so an aggregate or a
+frames whose size is proven small (one limited read), so an aggregate or a
 sample can be pulled, a whole table cannot.
 """
 
@@ -19,10 +19,10 @@ class TooLargeForDriver(ValueError):
 
 def to_local(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> pd.DataFrame:
     """``toPandas`` that refuses frames with more than ``max_rows`` rows."""
-    probe = df.limit(max_rows + 1)
-    if probe.count() > max_rows:
+    got = df.limit(max_rows + 1).toPandas()
+    if len(got) > max_rows:
         raise TooLargeForDriver(f"frame has more than {max_rows} rows; aggregate, limit or sample first")
-    return df.toPandas()
+    return got
 
 
 def head_local(df: DataFrame, n: int = 5) -> pd.DataFrame:

@@ -130,3 +130,24 @@ def test_assembler_skip_drops_rows_with_nulls(spark):
     assert FE.assemble(df, ["a", "b"], "f", handle_invalid="skip").count() == 1
     with pytest.raises(Exception):
         FE.assemble(df, ["a", "b"], "f").collect()
+
+
+def test_regression_metrics_equal_the_evaluator(spark):
+    from pyspark.ml.evaluation import RegressionEvaluator
+
+    df = spark.createDataFrame([(float(i), i * 1.1 + (-1) ** i) for i in range(50)], "label double, prediction double")
+    got = EV.regression_metrics(df)
+    for name, value in got.items():
+        assert value == pytest.approx(RegressionEvaluator(metricName=name).evaluate(df))
+    flat = EV.regression_metrics(df.select(F.lit(1.0).alias("label"), "prediction"))
+    assert flat["r2"] != flat["r2"] and EV.regression_metrics(df.limit(0))["rmse"] != 0
+
+
+def test_fits_leave_nothing_persisted(spark):
+    import __spark_entry__ as E
+    from tests.conftest import SF_SMALL
+
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    for name in ("m10_logistic_regression", "m15_holdout_area_under_roc", "m22_m23_kfold_tuning"):
+        E.queries()[name](spark, SF_SMALL).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
