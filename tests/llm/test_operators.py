@@ -332,3 +332,18 @@ def test_pipeline_stages_keep_columns(spark, docs):
     assert cut.dtypes == docs.dtypes and cut.where("n_chars <> length(text)").isEmpty()
     assert [n for n, _ in P.STAGES][0] == "quality" and len(P.STAGES) == 5
     assert recurring.Unit("word", 50, 10).windows == 41
+
+
+def test_held_out_documents_are_told_apart(spark):
+    from tests.conftest import SF_SMALL
+
+    sf_dir = SF_SMALL.replace("0.001", "0.01")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
+    said = language.op3_compression_language_id(spark, sf_dir).where("held_out").join(docs, "doc_id").where("lang is not null")
+    right = [r.lang == r.lang_pred for r in said.collect()]
+    assert sum(right) >= 0.95 * len(right) > 0
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    scored = line_quality.op4_line_crf_quality(spark, sf_dir).where("held_out").join(labels, "doc_id").collect()
+    good, bad = ([r.score for r in scored if r.quality == q] for q in (1, 0))
+    assert sum(g > b for g in good for b in bad) >= 0.95 * len(good) * len(bad) > 0
+    assert min(good) >= line_quality.THRESHOLD
