@@ -273,6 +273,16 @@ def x13_x14_age_in_years(spark, d):
     return o.select("o_orderkey", C.age_in_years("o_orderdate", F.lit(AS_OF)).cast("long").alias("age"))
 
 
+@query("x13_age_today", """
+SELECT o_orderkey, true AS same_as_at_current_date, true AS not_negative FROM orders""", "X13 X14")
+def x13_age_today(spark, d):
+    """The age without a date is the age at the session's current date."""
+    today = C.age_in_years("o_orderdate")
+    return table(spark, d, "orders").select(
+        "o_orderkey", (today == C.age_in_years("o_orderdate", F.current_date())).alias("same_as_at_current_date"),
+        (today >= 0).alias("not_negative"))
+
+
 @query("x15_hour_of_timestamp", "SELECT event_id, CAST(hour(ts) AS INTEGER) AS hour_of_day FROM events", "X15")
 def x15_hour_of_timestamp(spark, d):
     return table(spark, d, "events").select("event_id", C.hour_of_day("ts").alias("hour_of_day"))
