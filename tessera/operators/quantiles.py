@@ -5,8 +5,8 @@ values, the definition of ``percentile_disc`` and of ``approxQuantile`` with
 relative error 0.  Spark's exact forms keep every value of a group in one
 task; this operator instead:
 
-1. (numeric columns) ``approxQuantile`` merges the tasks' sketches in a tree
-   and gives the values near ``p ± 2ε``.  Its rank guarantee (±εn) puts
+1. (numeric columns) ``approxQuantile`` merges the tasks' sketches (one task
+   merges them all) and gives the values near ``p ± 2ε``.  Its rank guarantee (±εn) puts
    the exact answer between those two: a bracket;
 2. one more scan counts, per distinct value, only the values inside a
    bracket (about 4εn rows per probability; map-side combined, so a hot
