@@ -5,9 +5,10 @@ values, the definition of ``percentile_disc`` and of ``approxQuantile`` with
 relative error 0.  Spark's exact forms keep every value of a group in one
 task; this operator instead:
 
-1. (numeric columns) ``approxQuantile`` merges the tasks' sketches (one task
-   merges them all) and gives the values near ``p ± 2ε``.  Its rank guarantee (±εn) puts
-   the exact answer between those two: a bracket;
+1. (numeric columns) one KLL sketch a task gives the values near ``p ± 2ε``,
+   between which the exact answer almost surely lies: a bracket.  The
+   sketches are merged in three levels (``SKETCH_GROUPS`` groups of tasks,
+   then one), so no task merges more than a small share of them;
 2. one more scan counts, per distinct value, only the values inside a
    bracket (about 4εn rows per probability; map-side combined, so a hot
    value becomes one row); all other rows collapse into at most k+1 groups
@@ -41,7 +42,9 @@ from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
-DEFAULT_BRACKET_ERROR = 1e-4
+#: Rank error of the sketches; about 0.2 MB a sketch.
+DEFAULT_BRACKET_ERROR = 4e-4
+SKETCH_GROUPS = (4096, 64)
 
 
 def target_ranks(probabilities: Sequence[float], n: int) -> list[int]:
@@ -58,7 +61,12 @@ def _inside(v: Column, lo, hi) -> Column:
 
 
 def _as_type(bound: float, value_type: T.DataType, up: bool):
-    """A bound in the column's own type, rounded outwards, so that Spark and pandas compare alike."""
+    """A bound in the column's own type, rounded outwards, so that Spark and pandas compare alike.
+
+    Values that a double cannot hold were rounded for the sketch: one more step outwards.
+    """
+    if isinstance(value_type, T.DecimalType) or abs(bound) >= 2**53:
+        bound = math.nextafter(bound, math.inf if up else -math.inf)
     if isinstance(value_type, T.IntegralType):
         whole = math.ceil(bound) if up else math.floor(bound)
         return max(-2**63, min(2**63 - 1, whole))
@@ -69,12 +77,29 @@ def _as_type(bound: float, value_type: T.DataType, up: bool):
     return bound
 
 
+def sketch_quantiles(vals: DataFrame, column: str, probabilities: Sequence[float], error: float) -> list[float] | None:
+    """Values at about these ranks, from KLL sketches merged level by level; None without a value.
+
+    Nulls and NaN are left out.  The sketch size follows from the wanted rank error.
+    """
+    k = min(65535, max(8, math.ceil((2.296 / error) ** (1 / 0.9723))))
+    first, *further = SKETCH_GROUPS
+    merged = (vals.select(F.col(column).cast("double").alias("v"), (F.spark_partition_id() % first).alias("g"))
+              .groupBy("g").agg(F.kll_sketch_agg_double("v", k).alias("s")))
+    for groups in further:
+        merged = merged.groupBy((F.col("g") % groups).alias("g")).agg(F.kll_merge_agg_double("s", k).alias("s"))
+    merged = merged.agg(F.kll_merge_agg_double("s", k).alias("s"))
+    ranks = F.array(*[F.lit(float(p)) for p in probabilities])
+    return merged.select(F.when(F.kll_sketch_get_n_double("s") > 0, F.kll_sketch_get_quantile_double("s", ranks))
+                         .alias("q")).first()["q"]
+
+
 def _brackets(vals: DataFrame, probs: list[float], eps: float, value_type: T.DataType) -> list[tuple]:
     """[(lo, hi)] by probability, None meaning unbounded."""
     if not isinstance(value_type, T.NumericType) or eps <= 0:
         return [(None, None)] * len(probs)
     qs = sorted({min(1.0, max(0.0, p + s * 2 * eps)) for p in probs for s in (-1, 1)})
-    approx = dict(zip(qs, vals.approxQuantile("v", qs, eps)))
+    approx = dict(zip(qs, sketch_quantiles(vals, "v", qs, eps) or []))
     out = []
     for p in probs:
         lo = None if p - 2 * eps <= 0 else approx.get(max(0.0, p - 2 * eps))
@@ -162,7 +187,7 @@ def _exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
             for i, p, r, lo, hi in wanted:
                 mask = np.ones(len(pdf), dtype=bool)
                 if lo is not None:
-                    mask &= (values >= lo).to_numpy()
+                    mask &= ((values >= lo) | values.isna()).to_numpy()  # NaN is above all, as in Spark
                 if hi is not None:
                     mask &= (values <= hi).to_numpy()
                 cum = seen[i] + np.cumsum(np.where(mask, counts_, 0))
@@ -175,6 +200,8 @@ def _exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
     # the grouped rows outside every bracket are dropped by a narrow filter,
     # which keeps each partition's order (and keeps integer columns integral)
     result = ranged.where(F.col("v").isNotNull()).mapInPandas(pick, schema=out_schema)
+    if isinstance(value_type, (T.DoubleType, T.FloatType)):  # pandas hands NaN back as null
+        result = result.withColumn("value", F.coalesce("value", F.lit(math.nan).cast(value_type)))
     if failed:
         if unbracketed:
             raise RuntimeError("exact quantile ranks inconsistent with the counted values")

@@ -290,3 +290,20 @@ def test_table_reads_appended_rows(spark, tmp_path):
     assert table(spark, str(tmp_path), "orders").count() == 10
     spark.range(5).write.mode("append").parquet(f"{tmp_path}/orders.parquet")
     assert table(spark, str(tmp_path), "orders").count() == 15
+
+
+def test_exact_quantiles_nan_is_above_all(spark):
+    df = spark.range(9000).selectExpr("CASE WHEN id % 3 = 0 THEN double('NaN') WHEN id % 3 = 1 THEN "
+                                      "double('Infinity') ELSE id END AS x")
+    got = {r.p: r.value for r in exact_quantiles(df, "x", [0.0, 0.1, 0.5, 0.9, 1.0]).collect()}
+    assert got[0.0] == 2.0 and got[0.1] == 2699.0 and got[0.5] == math.inf
+    assert math.isnan(got[0.9]) and math.isnan(got[1.0])
+
+
+def test_sketches_merge_by_levels(spark):
+    from tessera.operators.quantiles import sketch_quantiles
+
+    df = spark.range(0, 200_000, 1, 40).toDF("x")
+    got = sketch_quantiles(df, "x", [0.1, 0.5, 0.9], 4e-4)
+    assert all(abs(v / 200_000 - p) < 2e-3 for v, p in zip(got, (0.1, 0.5, 0.9)))
+    assert sketch_quantiles(df.where("x < 0"), "x", [0.5], 4e-4) is None
