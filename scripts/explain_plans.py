@@ -33,7 +33,7 @@ NOTES = {
     "a8_grouped_moments": "count/avg/stddev share one aggregate; moment buffers, not rows, are shuffled.",
     "a9_shape_moments": "Global aggregate: each task sends one buffer row; no data shuffle.",
     "a10_pair_moments": "Three pair statistics in one global aggregate.",
-    "a12_exact_quantiles": "A sketch pass brackets each answer; one more scan counts in-bracket values "
+    "a12_exact_quantiles": "A sketch pass brackets each answer (merged in three levels); one more scan counts in-bracket values "
                            "(map-side combined) and folds all other rows into at most k+1 below-bracket "
                            "groups; the result is range-exchanged, checkpointed and picked. The plan below is "
                            "the final pick over the checkpoint.",
