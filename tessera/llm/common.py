@@ -201,14 +201,13 @@ def window_runs(grams: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray, np.n
 def repeating_runs(grams: np.ndarray, w: int, start: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     """True for runs that may hold two equal windows.
 
-    These are at most ``w - 1`` apart, so the text has that period around them
-    and every ``w // 2``-th gram there recurs within ``w``: a cheap test that
-    few texts pass.  Only in those the key is counted within each run.
+    These are at most ``w - 1`` apart, so all ``w`` grams of the first recur
+    within ``w``, and one of them is a ``w``-th gram of the text: a cheap test
+    that few texts pass.  Only in those the key is counted within each run.
     """
     out = np.zeros(len(start), bool)
     if len(grams) > w:
-        step = max(1, w // 2)
-        views = np.lib.stride_tricks.sliding_window_view(np.append(grams, np.arange(w, dtype=U64)), w)[:len(grams):step]
+        views = np.lib.stride_tricks.sliding_window_view(np.append(grams, np.arange(w, dtype=U64)), w)[:len(grams):w]
         if (views[:, 1:] == views[:, :1]).any():
             for i, (s, m, k) in enumerate(zip(start.tolist(), n.tolist(), key)):
                 out[i] = np.count_nonzero(grams[s:s + m + w - 1] == k) > 1

@@ -140,15 +140,13 @@ def induce(t: np.ndarray, small: np.ndarray, symbols: list[int], seeds, up: bool
     common prefix.
     """
     queue, done, steps = BucketQueue(memory), {}, Steps()
+    before = np.zeros_like(t)  # the symbol that a suffix induces, END for none
+    before[1:] = np.where(small[:-1] != up, t[:-1], END)
 
     def emit(tuples):
         pos, lcp = tuples
-        prev = pos - 1
-        keep = pos > 0
-        prev[~keep] = 0
-        first = t[prev]
-        keep &= (first != END) & (small[prev] != up)
-        at = np.flatnonzero(keep)
+        first = before[pos]
+        at = np.flatnonzero(first)
         if len(at):
             of = first[at]
             by = np.argsort(of, kind="stable")
@@ -157,7 +155,7 @@ def induce(t: np.ndarray, small: np.ndarray, symbols: list[int], seeds, up: bool
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(of)]):
                 idx, symbol = at[by[a:b]], int(of[a])
                 new = np.zeros((2, b - a), np.int64)
-                new[0] = prev[idx]
+                new[0] = pos[idx] - 1
                 if run_length is not None:
                     if b - a > 1:
                         bounds = np.stack([idx[:-1] + 1, idx[1:] + 1], 1).ravel()
@@ -235,17 +233,38 @@ def doubled_order(t: np.ndarray) -> np.ndarray:
     n = len(t)
     ends = np.flatnonzero(t == END)
     reach = _next(ends) - np.arange(n)
-    rank, k, most = t.astype(np.int64), 1, int(reach.max(initial=0))
-    while k < most:
-        second = np.zeros(n, np.int64)
-        ok = reach > k
-        second[ok] = rank[np.flatnonzero(ok) + k]
-        values, rank = np.unique(rank * (int(rank.max()) + 1) + second, return_inverse=True)
-        if len(values) >= n - len(ends) + 1:
-            break
+
+    # a rank is the number of suffixes known to be smaller; only suffixes that
+    # share theirs, and go on, are looked at again
+    order = np.argsort(t, kind="stable")
+    heads = np.flatnonzero(np.append(True, t[order[1:]] != t[order[:-1]]))
+    size = np.diff(np.append(heads, n))
+    rank = np.empty(n, np.int64)
+    rank[order] = np.repeat(heads, size)
+    tied = order[np.repeat(size > 1, size)]
+    live = tied = tied[t[tied] != END]
+    k = 1
+    while len(live := live[reach[live] >= k]):
+        second = np.zeros(len(live), np.int64)
+        on = reach[live] > k
+        second[on] = rank[live[on] + k] + 1
+        both = rank[live] * (n + 1) + second
+        by = np.argsort(both)
+        live, both = live[by], both[by]
+        old = rank[live]
+        group = np.flatnonzero(np.append(True, old[1:] != old[:-1]))
+        heads = np.flatnonzero(np.append(True, both[1:] != both[:-1]))
+        size = np.diff(np.append(heads, len(live)))
+        first = np.repeat(group, np.diff(np.append(group, len(live))))
+        rank[live] = old + np.repeat(heads, size) - first
+        live = live[np.repeat(size > 1, size)]
         k *= 2
-    order = np.argsort(rank, kind="stable")
-    return order[t[order] != END]
+    order[rank] = np.arange(n)
+    again = tied[np.lexsort((tied, rank[tied]))]  # equal suffixes stand in order of position
+    old = rank[again]
+    group = np.flatnonzero(np.append(True, old[1:] != old[:-1]))[:len(again)]
+    order[old + np.arange(len(again)) - np.repeat(group, np.diff(np.append(group, len(again))))] = again
+    return order[len(ends):]
 
 
 def sorted_marks(t: np.ndarray, small: np.ndarray, marks: np.ndarray, symbols: list[int], memory: int) -> np.ndarray:
@@ -288,7 +307,7 @@ def suffix_order(t: np.ndarray, memory: int = 64 << 20, carry: bool = True) -> t
         return np.empty(0, np.int64), np.empty(0, np.int64)
     small = suffix_types(t)
     marks = marks_of(t, small)
-    symbols = np.unique(t).tolist()
+    symbols = np.flatnonzero(np.bincount(t)).tolist()
     inner = sorted_marks(t, small, marks, symbols, memory)
     run_length = None
     lcp = np.zeros(len(inner), np.int64)

@@ -347,3 +347,27 @@ def test_held_out_documents_are_told_apart(spark):
     good, bad = ([r.score for r in scored if r.quality == q] for q in (1, 0))
     assert sum(g > b for g in good for b in bad) >= 0.95 * len(good) * len(bad) > 0
     assert min(good) >= line_quality.THRESHOLD
+
+
+def test_doubled_order_matches_sorted_suffixes():
+    rnd = np.random.default_rng(3)
+    for _ in range(300):
+        parts = [rnd.integers(1, rnd.integers(2, 5), rnd.integers(0, 30)) for _ in range(rnd.integers(1, 6))]
+        t = np.concatenate([np.append(x, 0) for x in [*parts, parts[0], np.tile([1, 2], 9)]])
+        ends = np.flatnonzero(t == 0)
+        want = sorted(np.flatnonzero(t).tolist(), key=lambda p: (t[p:ends[np.searchsorted(ends, p)]].tolist(), p))
+        assert induced.doubled_order(t).tolist() == want
+
+
+def test_repeating_runs_are_all_found():
+    rnd = np.random.default_rng(4)
+    w = 21
+    for _ in range(200):
+        text = np.concatenate([rnd.integers(1, 99, rnd.integers(40, 90)), np.tile(rnd.integers(1, 99, rnd.integers(1, w)), 9),
+                               rnd.integers(1, 99, 30)])
+        grams = common.Stretches(common.mix(text.astype(np.uint64))).grams(5)
+        start, n, key = common.window_runs(grams, w)
+        again = common.repeating_runs(grams, w, start, n, key)
+        for s, m, a in zip(start.tolist(), n.tolist(), again.tolist()):
+            windows = [tuple(grams[i:i + w].tolist()) for i in range(s, s + m)]
+            assert a or len(set(windows)) == m
