@@ -34,7 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     components = jaccard.jaccard_components(docs.select("doc_id", "text"), SHINGLE_WORDS, PERCENT)
     dropped = components.where("node <> component").select(F.col("node").alias("doc_id"))
-    kept = docs.join(C.small_side(dropped), "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(C.small_side(dropped), "doc_id", "left_anti").select(*C.columns(docs.columns))
     ids = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
     if ids.where("n > 1").isEmpty():
         return kept
@@ -63,7 +63,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents that hold no benchmark item, as it is or re-parameterised."""
     found = decontaminate.contaminated(docs.select("doc_id", "text"), C.read(spark, sf_dir, "benchmark"))
     ids = C.small_side(found.select("doc_id").distinct())
-    return docs.join(ids, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(ids, "doc_id", "left_anti").select(*C.columns(docs.columns))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir, ship_package
 
@@ -60,10 +61,10 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict] | dict], schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict] | dict], schema: str | T.StructType) -> DataFrame:
     """``fn`` turns one Arrow batch, of ``BATCH_ROWS`` rows at most so that what it
     derives stays small, into a dict of columns (or several dicts)."""
-    names = [f.split()[0] for f in _fields(schema)]
+    names = T.DataType.fromDDL(schema).names if isinstance(schema, str) else schema.names
 
     def run(batches):
         for whole in batches:
@@ -76,16 +77,14 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict] | dic
     return df.mapInArrow(run, schema)
 
 
-def _fields(schema: str) -> list[str]:
-    depth, out, cur = 0, [], ""
-    for ch in schema:
-        depth += (ch in "<(") - (ch in ">)")
-        if ch == "," and not depth:
-            out.append(cur.strip())
-            cur = ""
-        else:
-            cur += ch
-    return [*out, cur.strip()]
+def columns(names: Iterable[str]) -> list[Column]:
+    """Columns of these very names, dots and spaces included."""
+    return [F.col("`" + n.replace("`", "``") + "`") for n in names]
+
+
+def with_row(source: DataFrame, more: str) -> T.StructType:
+    """Schema of ``row``, the struct of all input columns whatever their names, and of ``more``."""
+    return T.StructType([source.schema["row"], *T.DataType.fromDDL(more).fields])
 
 
 # --- hashing of byte and word sequences ----------------------------------

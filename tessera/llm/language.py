@@ -57,10 +57,12 @@ def learn(labelled: DataFrame, docs: int = SAMPLE_DOCS, size: int = SAMPLE_BYTES
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MARGIN, level: int = LEVEL,
              block: int = BLOCK_BYTES) -> DataFrame:
-    """All columns of ``docs`` but text, with lang_pred, score and accepted."""
+    """All columns of ``docs`` but text, then lang_pred, score and accepted; input
+    columns of these names stay, in their places."""
+    kept = [c for c in docs.columns if c != "text"]
     langs = sorted(dictionaries)
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    source = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("row"),
+    source = docs.select(F.struct(*C.columns(kept)).alias("row"),
                          F.when(letters, F.col("text").cast("binary")).alias("text"))
 
     def predict(batches):
@@ -89,9 +91,8 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MA
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64()),
                                               pa.array(accepted, pa.bool_())], ["row", "lang_pred", "score", "accepted"])
 
-    row = source.schema["row"].dataType.simpleString()
-    return (source.mapInArrow(predict, f"row {row}, lang_pred string, score double, accepted boolean")
-            .select("row.*", "lang_pred", "score", "accepted"))
+    return (source.mapInArrow(predict, C.with_row(source, "lang_pred string, score double, accepted boolean"))
+            .select(*[F.col("row").getField(c).alias(c) for c in kept], "lang_pred", "score", "accepted"))
 
 
 def op3_compression_language_id(spark, sf_dir: str) -> DataFrame:

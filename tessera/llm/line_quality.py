@@ -160,7 +160,8 @@ def learn(docs: DataFrame, labels: DataFrame, n_docs: int = SAMPLE_DOCS, n_lines
         return {"quality": np.array(y, np.int32), "n": np.array(sizes, np.int32), "features": pa.array(lists, pa.binary())}
 
     picked = docs.where("text is not null").select("doc_id", F.col("text").cast("binary").alias("text")).join(
-        F.broadcast(chosen), "doc_id").select(F.col("quality").cast("int"), "text")  # at most n_docs rows
+        F.broadcast(chosen), "doc_id").groupBy("doc_id", F.col("quality").cast("int").alias("quality")).agg(
+            F.min("text").alias("text")).drop("doc_id")  # at most n_docs rows; of a repeated doc_id the smallest text
     got = C.map_arrow(picked, rows, "quality int, n int, features binary").collect()
     if len({r.quality for r in got}) < 2:
         return None
@@ -191,7 +192,7 @@ def score(docs: DataFrame, chain: Chain | None) -> DataFrame:
             out[some] = np.add.reduceat(good * size, begin) / np.add.reduceat(size, begin)
         return {"row": batch.column(0), "score": np.clip(out, 0, 1)}
 
-    return C.map_arrow(source, rows, f"row {source.schema['row'].dataType.simpleString()}, score double")
+    return C.map_arrow(source, rows, C.with_row(source, "score double"))
 
 
 def held_out(column: str = "doc_id"):

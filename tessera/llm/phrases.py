@@ -228,8 +228,7 @@ def remove_repeated_phrases(docs: DataFrame, length: int = LENGTH, gram: int = G
     schema = "doc_id long, n_words long, n_removed long, "
     if not carry:
         return C.map_arrow(joined, remove, schema + "words binary")
-    row = kept.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
-    out = C.map_arrow(joined, remove, schema + f"row {row}, kept_text binary")
+    out = C.map_arrow(joined, remove, C.with_row(joined, schema + "kept_text binary"))
     return out.withColumn("kept_text", F.col("kept_text").cast("string"))
 
 

@@ -159,9 +159,7 @@ def remove_duplicate_substrings(docs: DataFrame, length: int = LENGTH, gram: int
                 "kept": pa.array(kept, pa.binary())} | ({"row": batch.column(0)} if carry else {})
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
-    if carry:
-        schema += f", row {rows.select(F.struct('*').alias('row')).schema['row'].dataType.simpleString()}"
-    return C.map_arrow(joined, remove, schema)
+    return C.map_arrow(joined, remove, C.with_row(joined, schema) if carry else schema)
 
 
 def op9_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:

@@ -371,3 +371,29 @@ def test_repeating_runs_are_all_found():
         for s, m, a in zip(start.tolist(), n.tolist(), again.tolist()):
             windows = [tuple(grams[i:i + w].tolist()) for i in range(s, s + m)]
             assert a or len(set(windows)) == m
+
+
+def test_columns_of_any_name_are_carried(spark):
+    import corpus_pipeline as P
+
+    extra = ["my col", "a.b", "tick`", "score", "size", "words", "component", "node", "doc", "tag", "spans", "kept_text",
+             "n_words", "source_size", "copies", "h", "n", "b", "item_id", "window"]
+    schema = "doc_id long, text string, source string, n_chars long, " + ", ".join(
+        f"`{c.replace('`', '``')}` string" for c in extra)
+    text = " ".join("x" + "".join(chr(97 + int(d)) for d in str(i)) for i in range(80))
+    texts = [text, text + " x", None, "", "other " * 3]
+    docs = spark.createDataFrame([(i, t, "s", len(t or ""), *extra) for i, t in enumerate(texts)], schema)
+    cut = P.repeated_passages(spark, docs, "")
+    assert cut.dtypes == docs.dtypes and all(list(r)[4:] == extra for r in cut.collect())
+    assert {r.doc_id: r.text for r in cut.collect()} == {0: text, 1: "x", 2: None, 3: "", 4: texts[4]}
+    kept = P.near_duplicates(spark, docs, "")
+    assert kept.dtypes == docs.dtypes and {r.doc_id for r in kept.collect()} == {0, 2, 3, 4}
+    scored = line_quality.score(docs, None).select("row.*", "score")
+    assert scored.count() == 5 and scored.columns[:-1] == docs.columns
+    bytes_kept = substrings.remove_duplicate_substrings(docs, carry=True)
+    assert bytes_kept.schema["row"].dataType.names == docs.columns and bytes_kept.count() == 5
+    said = language.identify(docs, {"x": b"w1 w2 w3", "y": b"other other"})
+    assert said.columns == [c for c in docs.columns if c != "text"] + ["lang_pred", "score", "accepted"]
+    assert said.count() == 5 and mixing.mix(docs).count() == 5 and line_rules.quality_rules(docs).count() == 5
+    bench = spark.createDataFrame([(0, text, "z")], "item_id long, text string, window string")
+    assert {r.doc_id for r in decontaminate.contaminated(docs, bench).collect()} == {0, 1}
