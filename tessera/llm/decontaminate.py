@@ -10,16 +10,21 @@ one value of an item's slot must always stand for the same value.  A pair is
 reported when the consistent windows cover at least ``least_share`` of the
 item's, as ``exact`` (all slots equal) or ``reparameterised``.
 
-A window needs ``least_plain`` tokens that are no slots (all, in an item
-shorter than that), so that lists of names or numbers match nothing.  Windows
-of documents that occur in no item are dropped before the shuffle while the
-item windows are few (``MAX_LOCAL``, counted first); beyond that all windows go
-through the join.
-
-Defined results: null or empty texts and items of under ``least_item`` tokens
-match nothing; rows with a null doc_id or item_id are not reported; rows that
-repeat an id are one document or item with the windows of each; other columns
-are not read.
+No window is left out.  Every window is also joined by its words as they are,
+which finds equal windows whatever their slots.  With changed values a window
+is a join key from ``least_key`` plain words on (so lists of names or numbers
+match only as they are), and the windows matched must together hold
+``least_plain`` plain words of the item, in items under twice that length half
+of its words, at least ``least_key``.  The share is taken over all windows of
+the item and over those of ``least_plain`` plain words (all, in a shorter one);
+the larger counts.  Windows of documents that occur in no item are dropped
+before the shuffle while the item windows are few (``MAX_LOCAL``, counted
+first); beyond that all windows go through the join.
+
+Defined results: null or empty texts match nothing; items of under
+``least_item`` tokens match only as they are; rows with a null doc_id or
+item_id are not reported; rows that repeat an id are one document or item with
+the windows of each; other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,6 +38,7 @@ from . import common as C
 
 WINDOW = 8
 LEAST_PLAIN = 5
+LEAST_KEY = 3
 LEAST_ITEM = 4
 LEAST_SHARE = 0.5
 MAX_LOCAL = 2_000_000
@@ -44,6 +50,7 @@ UNITS = ("kg g mg lb lbs oz km m cm mm mi ft in yd mph kph l ml s sec min h hr h
 
 NUMBER, UNIT, NAME = 1, 2, 3
 SLOT_CODE = C.mix(np.arange(4, dtype=np.uint64) + np.uint64(901))
+AS_IS = np.uint64(1 << 32)
 PUNCTUATION = np.zeros(256, bool)
 PUNCTUATION[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -52,11 +59,11 @@ UNIT_CODES = np.sort(np.array([int(C.Stretches(C.BYTE_CODES[np.frombuffer(u.enco
     np.array([0]), np.array([len(u)]))[0]) for u in UNITS], np.uint64))
 
 
-def template(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Token codes, slot kind (0: plain) and value code of every word."""
+def template(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Token codes, slot kind (0: plain), value code and code as it is of every word."""
     b, starts, ends = C.word_spans(data)
     if not len(starts):
-        return np.empty(0, C.U64), np.empty(0, np.int8), np.empty(0, C.U64)
+        return np.empty(0, C.U64), np.empty(0, np.int8), np.empty(0, C.U64), np.empty(0, C.U64)
     s, e = starts.copy(), ends.copy()
     for _ in range(8):
         trim = (e - s > 1) & PUNCTUATION[b[e - 1]]
@@ -79,54 +86,82 @@ def template(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     opens = np.ones(len(s), bool)
     opens[1:] = np.isin(b[ends[:-1] - 1], np.frombuffer(b".!?:", np.uint8)) | (lines[starts[1:]] > lines[starts[:-1]])
     kind = np.where(number, NUMBER, np.where(unit, UNIT, np.where(capital & ~opens, NAME, 0))).astype(np.int8)
-    return np.where(kind > 0, SLOT_CODE[kind], value), kind, value
+    return np.where(kind > 0, SLOT_CODE[kind], value), kind, value, C.Stretches(C.BYTE_CODES[b]).hash(s, e)
 
 
-def windows(data: bytes, sizes, least_plain: int):
-    """(window hash, start, size) of all informative windows, with kinds and values of the words."""
-    code, kind, value = template(data)
+def windows(data: bytes, sizes, least_key: int, least_item: int):
+    """(hash, start, size, as it is) of all windows, with slot kinds and values of the words."""
+    code, kind, value, word = template(data)
     slots = np.concatenate(([0], np.cumsum(kind > 0)))
-    prefix = C.Stretches(code)
+    prefix, words = C.Stretches(code), C.Stretches(word)
     out = []
+
+    def add(h, at, size, as_is):
+        out.append((h, at, np.full(len(at), size), np.full(len(at), as_is)))
+
     for size in sizes:
         if len(code) >= size:
             at = np.arange(len(code) - size + 1)
-            at = at[slots[at + size] - slots[at] <= size - min(size, least_plain)]
-            out.append((C.mix(prefix.hash(at, at + size) + np.uint64(size)), at, np.full(len(at), size)))
+            add(C.mix(words.hash(at, at + size) + np.uint64(size) + AS_IS), at, size, True)
+            if size >= least_item:
+                at = at[size - (slots[at + size] - slots[at]) >= least_key]
+                add(C.mix(prefix.hash(at, at + size) + np.uint64(size)), at, size, False)
     if not out:
-        return np.empty(0, C.U64), np.empty(0, np.int64), np.empty(0, np.int64), kind, value
+        none = np.empty(0, np.int64)
+        return np.empty(0, C.U64), none, none, np.empty(0, bool), kind, value
     return *(np.concatenate(x) for x in zip(*out)), kind, value
 
 
-def _window_rows(texts: DataFrame, sizes, least_plain: int, known: np.ndarray | None, own_size: int | None):
-    """(id, window, pos, slots): slots are the value codes of the window's slots.
+def _window_rows(texts: DataFrame, sizes, least_plain: int, least_key: int, least_item: int, known: np.ndarray | None,
+                 own_size: int | None):
+    """(id, tag of the text, window, pos, as_is, base, slots, plain, informative, words).
 
-    ``own_size``: texts are items, each with windows of that size or, if
-    shorter, one window of its whole length.
+    ``slots`` are the value codes of the window's slots (none if it is taken as
+    it is), ``plain`` the places of its plain words.  ``informative``: the
+    template at that place has ``least_plain`` plain words; ``base``: this is
+    that template.  ``own_size``: texts are items, each with windows of that
+    size or, if shorter, one window of its whole length.
     """
     def rows(batch):
-        ids, hashes, places, slots = [], [], [], []
+        out = {n: [] for n in ("id", "tag", "window", "pos", "as_is", "base", "informative", "words")}
+        slots, plain = [], []
+        if known is not None:  # most windows are told apart by some bits
+            bits = np.uint64((1 << max(16, int(len(known) * 16).bit_length())) - 1)
+            marked = np.zeros(int(bits) + 1, bool)
+            marked[known & bits] = True
         for i, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             use = sizes
             if own_size is not None:
                 n = len(data.split())
                 use = [min(own_size, n)] if min(own_size, n) in sizes else []
-            h, at, size, kind, value = windows(data, use, least_plain)
+            h, at, size, as_is, kind, value = windows(data, use, least_key, least_item)
             if known is not None and len(h):
-                hit = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
-                h, at, size = h[hit], at[hit], size[hit]
-            ids.append(np.full(len(h), i, np.int64))
-            hashes.append(h)
-            places.append(at)
-            slots += [C.signed(value[a:a + n][kind[a:a + n] > 0]).tolist() for a, n in zip(at.tolist(), size.tolist())]
-        return {"id": np.concatenate(ids), "window": C.signed(np.concatenate(hashes).astype(C.U64)),
-                "pos": np.concatenate(places).astype(np.int64), "slots": pa.array(slots, pa.list_(pa.int64()))}
-
-    return C.map_arrow(texts, rows, "id long, window long, pos long, slots array<long>")
+                hit = np.flatnonzero(marked[h & bits])
+                hit = hit[known[np.minimum(np.searchsorted(known, h[hit]), len(known) - 1)] == h[hit]]
+                h, at, size, as_is = h[hit], at[hit], size[hit], as_is[hit]
+            if not len(h):
+                continue
+            filled = np.concatenate(([0], np.cumsum(kind > 0)))
+            rich = size - (filled[at + size] - filled[at]) >= np.minimum(size, least_plain)
+            for name, v in (("id", np.full(len(h), i, np.int64)), ("tag", np.full(len(h), C.tag_of(data), np.int64)),
+                            ("window", C.signed(h)), ("pos", at.astype(np.int64)), ("as_is", as_is),
+                            ("base", rich & ~as_is), ("informative", rich), ("words", np.full(len(h), len(kind), np.int64))):
+                out[name].append(v)
+            for a, n, x in zip(at.tolist(), size.tolist(), as_is.tolist()):
+                slot = kind[a:a + n] > 0
+                slots.append([] if x else C.signed(value[a:a + n][slot]).tolist())
+                plain.append((a + np.flatnonzero(~slot)).tolist())
+        empty = {"as_is": bool, "base": bool, "informative": bool}
+        return {n: np.concatenate(v) if v else np.empty(0, empty.get(n, np.int64)) for n, v in out.items()} | {
+            "slots": pa.array(slots, pa.list_(pa.int64())), "plain": pa.array(plain, pa.list_(pa.int64()))}
+
+    return C.map_arrow(texts, rows, "id long, tag long, window long, pos long, as_is boolean, base boolean, "
+                                    "informative boolean, words long, slots array<long>, plain array<long>")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_share: float = LEAST_SHARE,
-                 least_plain: int = LEAST_PLAIN, least_item: int = LEAST_ITEM, max_local: int = MAX_LOCAL) -> DataFrame:
+                 least_plain: int = LEAST_PLAIN, least_item: int = LEAST_ITEM, max_local: int = MAX_LOCAL,
+                 least_key: int = LEAST_KEY) -> DataFrame:
     """(doc_id, item_id, matched, windows, share, kind): documents that hold a benchmark item."""
     C.prepare(docs.sparkSession)
     items = benchmark.where("item_id is not null and text is not null").select(
@@ -135,8 +170,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, le
         F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
     words = F.regexp_count(F.col("text").cast("string"), F.lit(r"[^\x20\x09-\x0D]+"))
     sizes = sorted(r.n for r in items.select(F.least(words, F.lit(window)).alias("n"))
-                   .where(F.col("n") >= min(least_item, window)).distinct().collect())  # window values at most
-    of_items = C.stored(_window_rows(items, sizes, least_plain, None, window))
+                   .where("n > 0").distinct().collect())  # window values at most
+    of_items = C.stored(_window_rows(items, sizes, least_plain, least_key, least_item, None, window))
     distinct = of_items.select("window").distinct()
     known = None
     if distinct.limit(max_local + 1).count() <= max_local:
@@ -144,30 +179,48 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, le
         known = np.sort(np.array([r.window for r in distinct.toLocalIterator()], np.int64).view(C.U64))
     if known is not None and not len(known):
         known, sizes = np.zeros(1, C.U64), []
-    of_docs = _window_rows(texts, sizes, least_plain, known, None)
-    totals = of_items.groupBy(F.col("id").alias("item_id")).agg(F.countDistinct("pos").alias("windows"))
-    pairs = C.stored(of_docs.select(F.col("id").alias("doc_id"), "window", F.col("slots").alias("here"))
+    of_docs = _window_rows(texts, sizes, least_plain, least_key, least_item, known, None)
+    totals = of_items.groupBy(F.col("id").alias("item_id")).agg(
+        F.countDistinct("pos").alias("windows"), F.countDistinct(F.when(F.col("informative"), F.col("pos"))).alias("rich"),
+        F.max("words").alias("words"))
+    pairs = C.stored(of_docs.select(F.col("id").alias("doc_id"), "window", "base", F.col("slots").alias("here"))
                      .distinct()
-                     .join(of_items.select(F.col("id").alias("item_id"), "window", "pos", F.col("slots").alias("there")),
-                           "window"))
+                     .join(of_items.select(F.col("id").alias("item_id"), "window", "pos", F.col("slots").alias("there"),
+                                           "informative", "plain"), "window"))
+    # templates of enough plain words also count by themselves, undisturbed by the others
+    pairs = pairs.withColumn("apart", F.explode(F.when(F.col("base"), F.array(F.lit(False), F.lit(True)))
+                                                .otherwise(F.array(F.lit(False)))))
+    group = ["doc_id", "item_id", "apart"]
     # one value of an item must stand for one value in the document
     meaning = (pairs.where(F.size("there") > 0)
-               .select("doc_id", "item_id", F.explode(F.arrays_zip("there", "here")).alias("s"))
-               .groupBy("doc_id", "item_id", F.col("s.there").alias("value"))
-               .agg(F.count("*").alias("uses"), F.countDistinct("s.here").alias("meanings"),
+               .select(*group, F.explode(F.arrays_zip("there", "here")).alias("s"))
+               .groupBy(*group, F.col("s.there").alias("value"))
+               .agg(F.countDistinct("s.here").alias("meanings"),
                     F.max((F.col("s.there") != F.col("s.here")).cast("int")).alias("changed")))
-    slots = meaning.groupBy("doc_id", "item_id").agg(F.max("meanings").alias("meanings"), F.max("changed").alias("changed"))
-    matched = pairs.groupBy("doc_id", "item_id").agg(
-        F.countDistinct("pos").alias("matched"),
-        F.countDistinct(F.when(F.col("here") == F.col("there"), F.col("pos"))).alias("same"))
-    found = matched.join(totals, "item_id").join(slots, ["doc_id", "item_id"], "left")
-    consistent = F.coalesce("meanings", F.lit(1)) <= 1
+    slots = meaning.groupBy(*group).agg(F.max("meanings").alias("meanings"), F.max("changed").alias("changed"))
+    same = (F.col("here") == F.col("there")).cast("int")
+    matched = (pairs.groupBy(*group, "pos").agg(
+        F.max(same).alias("same"), F.max(F.col("informative").cast("int")).alias("of_rich"),
+        F.flatten(F.collect_set("plain")).alias("plain"))
+        .groupBy(*group).agg(
+            F.count("*").alias("matched"), F.sum("same").alias("same"), F.sum("of_rich").alias("rich_matched"),
+            F.sum(F.col("same") * F.col("of_rich")).alias("rich_same"),
+            F.size(F.array_distinct(F.flatten(F.collect_set("plain")))).alias("covered")))
+    found = matched.join(totals, "item_id").join(slots, group, "left")
+    need = F.greatest(F.lit(least_key), F.least(F.lit(least_plain), F.ceil(F.col("words") / 2)))
+    other = F.coalesce("changed", F.lit(0)) > 0
+    consistent = (F.coalesce("meanings", F.lit(1)) <= 1) & (~other | (F.col("covered") >= need))
     # an inconsistent pair can still hold the item itself: its equal windows count
     counted = F.when(consistent, F.col("matched")).otherwise(F.col("same"))
-    changed = consistent & (F.coalesce("changed", F.lit(0)) > 0)
-    return (found.withColumn("share", counted / F.col("windows")).where(F.col("share") >= least_share)
-            .select("doc_id", "item_id", counted.alias("matched"), "windows", F.round("share", 6).alias("share"),
-                    F.when(changed, "reparameterised").otherwise("exact").alias("kind")))
+    rich = F.when(consistent, F.col("rich_matched")).otherwise(F.col("rich_same"))
+    of_all, of_rich = counted / F.col("windows"), F.when(F.col("rich") > 0, rich / F.col("rich"))
+    best = F.when(of_rich > of_all, F.struct(of_rich.alias("share"), rich.alias("matched"), F.col("rich").alias("windows"))
+                  ).otherwise(F.struct(of_all.alias("share"), counted.alias("matched"), F.col("windows").alias("windows")))
+    passed = found.select("doc_id", "item_id", best.alias("b"), (~(consistent & other)).alias("exact"))
+    return (passed.where(F.col("b.share") >= least_share).groupBy("doc_id", "item_id")
+            .agg(F.max(F.struct("b.share", "exact", "b.matched", "b.windows")).alias("b"))
+            .select("doc_id", "item_id", "b.matched", "b.windows", F.round("b.share", 6).alias("share"),
+                    F.when(F.col("b.exact"), "exact").otherwise("reparameterised").alias("kind")))
 
 
 def op7_template_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -269,6 +269,23 @@ def test_template_decontamination(spark):
         assert got == {(d, i): k for i in (0, 4) for d, k in ((1, "exact"), (2, "reparameterised"), (8, "exact"))}
 
 
+def contaminated_pairs(spark, rows, items, **more):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r.doc_id, r.item_id): r.kind for r in decontaminate.contaminated(docs, bench, **more).collect()}
+
+
+def test_items_full_of_slots_are_found(spark):
+    items = ["What is 7 plus 5?", "Solve 3x + 5 = 20", "12 kg 7 m 9 s 4 l 3 ft 8 oz", "Paris in 1900",
+             "from 3 to 4 at 5 by 6 on 7 of 8 and 9 or 10"]
+    rows = [(i, f"some words. {t} more words") for i, t in enumerate(items)]
+    rows += [(10, "so. What is 8 plus 3?"), (11, "1 kg 2 m 3 s 6 l 5 ft 9 oz"), (12, "Paris in 1950"),
+             (13, "from 13 to 14 at 15 by 16 on 17 of 18 and 19 or 20"), (14, "Solve it with 5 = 20")]
+    want = {(i, i): "exact" for i in range(len(items))} | {(10, 0): "reparameterised", (13, 4): "reparameterised"}
+    for local in (2_000_000, 1):
+        assert contaminated_pairs(spark, rows, items, max_local=local) == want
+
+
 def test_mixing_targets_and_budget(spark, docs):
     assert mixing.targets([("a", 100), ("b", 100), (None, 0)]) == [200.0, 100.0, 0.0]
     rnd = random.Random(2)
