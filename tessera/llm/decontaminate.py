@@ -5,10 +5,13 @@ number that names a unit is a unit, a capitalised word inside a sentence is a
 name; all others are themselves, A-Z lower-cased, without surrounding ASCII
 punctuation.  Windows of template tokens are hash-joined between documents and
 benchmark items (an item shorter than a window is one window of its length).
-The joined windows are then checked for slot consistency: within a document
-one value of an item's slot must always stand for the same value.  A pair is
-reported when the consistent windows cover at least ``least_share`` of the
-item's, as ``exact`` (all slots equal) or ``reparameterised``.
+The joined windows are then checked for slot consistency: within an occurrence
+one value of an item's slot must always stand for the same value.  Occurrences
+are the windows of one text at one distance from the item's, those at distances
+of up to ``GAP`` apart (words put in or left out), and all of the document.  A
+pair is reported when the consistent windows of one of them cover at least
+``least_share`` of the item's, as ``exact`` (all slots equal) or
+``reparameterised``, whichever holds for the best occurrence.
 
 No window is left out.  Every window is also joined by its words as they are,
 which finds equal windows whatever their slots.  With changed values a window
@@ -41,6 +44,7 @@ LEAST_PLAIN = 5
 LEAST_KEY = 3
 LEAST_ITEM = 4
 LEAST_SHARE = 0.5
+GAP = 4
 MAX_LOCAL = 2_000_000
 
 # fixed values: unit words after a number
@@ -183,14 +187,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, le
     totals = of_items.groupBy(F.col("id").alias("item_id")).agg(
         F.countDistinct("pos").alias("windows"), F.countDistinct(F.when(F.col("informative"), F.col("pos"))).alias("rich"),
         F.max("words").alias("words"))
-    pairs = C.stored(of_docs.select(F.col("id").alias("doc_id"), "window", "base", F.col("slots").alias("here"))
+    pairs = C.stored(of_docs.select(F.col("id").alias("doc_id"), "tag", F.col("pos").alias("at"), "window", "base",
+                                    F.col("slots").alias("here"))
                      .distinct()
                      .join(of_items.select(F.col("id").alias("item_id"), "window", "pos", F.col("slots").alias("there"),
                                            "informative", "plain"), "window"))
     # templates of enough plain words also count by themselves, undisturbed by the others
     pairs = pairs.withColumn("apart", F.explode(F.when(F.col("base"), F.array(F.lit(False), F.lit(True)))
                                                 .otherwise(F.array(F.lit(False)))))
-    group = ["doc_id", "item_id", "apart"]
+    # two distances of up to GAP apart share one of the overlapping spans of 2 * GAP
+    off = F.col("at") - F.col("pos")
+    spans = [F.floor((off + k) / (2 * GAP)).cast("long") for k in (0, GAP)]
+    places = [(F.lit(0), F.lit(0), F.lit(0)), *((F.lit(k + 1), F.col("tag"), v) for k, v in enumerate([off, *spans]))]
+    pairs = pairs.withColumn("place", F.explode(F.array(*(F.array(*(v.cast("long") for v in x)) for x in places))))
+    group = ["doc_id", "item_id", "apart", "place"]
     # one value of an item must stand for one value in the document
     meaning = (pairs.where(F.size("there") > 0)
                .select(*group, F.explode(F.arrays_zip("there", "here")).alias("s"))
@@ -218,7 +228,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, le
                   ).otherwise(F.struct(of_all.alias("share"), counted.alias("matched"), F.col("windows").alias("windows")))
     passed = found.select("doc_id", "item_id", best.alias("b"), (~(consistent & other)).alias("exact"))
     return (passed.where(F.col("b.share") >= least_share).groupBy("doc_id", "item_id")
-            .agg(F.max(F.struct("b.share", "exact", "b.matched", "b.windows")).alias("b"))
+            .agg(F.max(F.struct("b.share", "exact", "b.matched", "b.windows")).alias("b"))  # of the best occurrence
             .select("doc_id", "item_id", "b.matched", "b.windows", F.round("b.share", 6).alias("share"),
                     F.when(F.col("b.exact"), "exact").otherwise("reparameterised").alias("kind")))
 

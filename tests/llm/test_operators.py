@@ -286,6 +286,17 @@ def test_items_full_of_slots_are_found(spark):
         assert contaminated_pairs(spark, rows, items, max_local=local) == want
 
 
+def test_each_occurrence_of_an_item_is_judged_by_itself(spark):
+    item = "a train with Anna aboard goes 60 km in 2 hours and then Anna walks 60 m before she is home"
+    bert, carl = (item.replace("Anna", n).replace("60", v) for n, v in (("Bert", "75"), ("Carl", "80")))
+    gap = [t.replace("and then", "and some time then") for t in (bert, carl)]
+    mixed = item.replace("Anna", "Bert", 1).replace("Anna", "Carl").replace("60", "75", 1).replace("60", "80")
+    rows = [(1, f"{bert}\n{carl}"), (2, f"{bert} x y z {' '.join(carl.split()[:9])} end"), (3, f"{gap[0]}\n{gap[1]}"),
+            (4, mixed), (5, f"{carl}\n{item}"), (6, f"{mixed}\n{mixed}"), (7, bert), (8, bert), (8, carl)]
+    want = {(d, 0): "exact" if d == 5 else "reparameterised" for d in (1, 2, 3, 5, 7, 8)}
+    assert contaminated_pairs(spark, rows, [item]) == want
+
+
 def test_mixing_targets_and_budget(spark, docs):
     assert mixing.targets([("a", 100), ("b", 100), (None, 0)]) == [200.0, 100.0, 0.0]
     rnd = random.Random(2)
