@@ -61,7 +61,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, as it is or re-parameterised."""
-    found = decontaminate.contaminated(docs.select("doc_id", "text"), C.read(spark, sf_dir, "benchmark"))
+    found = decontaminate.contaminated(docs.select("doc_id", "text"), C.read(spark, sf_dir, "benchmark"),
+                                       fold_case=True)
     ids = C.small_side(found.select("doc_id").distinct())
     return docs.join(ids, "doc_id", "left_anti").select(*C.columns(docs.columns))
 

@@ -3,7 +3,8 @@
 Words become template tokens: a word with a digit is a number, a word after a
 number that names a unit is a unit, a capitalised word inside a sentence is a
 name; all others are themselves, A-Z lower-cased, without surrounding ASCII
-punctuation.  Windows of template tokens are hash-joined between documents and
+punctuation.  A capitalised word that opens a sentence may be a name or not:
+windows are taken with it as either.  Windows of template tokens are hash-joined between documents and
 benchmark items (an item shorter than a window is one window of its length).
 The joined windows are then checked for slot consistency: within an occurrence
 one value of an item's slot must always stand for the same value.  Occurrences
@@ -14,7 +15,8 @@ pair is reported when the consistent windows of one of them cover at least
 ``reparameterised``, whichever holds for the best occurrence.
 
 No window is left out.  Every window is also joined by its words as they are,
-which finds equal windows whatever their slots.  With changed values a window
+which finds equal windows whatever their slots and the words before them; with
+``fold_case`` in any case of A-Z (as the query and the pipeline do).  With changed values a window
 is a join key from ``least_key`` plain words on (so lists of names or numbers
 match only as they are), and the windows matched must together hold
 ``least_plain`` plain words of the item, in items under twice that length half
@@ -63,11 +65,11 @@ UNIT_CODES = np.sort(np.array([int(C.Stretches(C.BYTE_CODES[np.frombuffer(u.enco
     np.array([0]), np.array([len(u)]))[0]) for u in UNITS], np.uint64))
 
 
-def template(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Token codes, slot kind (0: plain), value code and code as it is of every word."""
+def template(data: bytes, fold_case: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Token codes, slot kind (0: plain), value code and code as it is of every word; the plain ones that may be names."""
     b, starts, ends = C.word_spans(data)
     if not len(starts):
-        return np.empty(0, C.U64), np.empty(0, np.int8), np.empty(0, C.U64), np.empty(0, C.U64)
+        return np.empty(0, C.U64), np.empty(0, np.int8), np.empty(0, C.U64), np.empty(0, C.U64), np.empty(0, bool)
     s, e = starts.copy(), ends.copy()
     for _ in range(8):
         trim = (e - s > 1) & PUNCTUATION[b[e - 1]]
@@ -90,40 +92,59 @@ def template(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     opens = np.ones(len(s), bool)
     opens[1:] = np.isin(b[ends[:-1] - 1], np.frombuffer(b".!?:", np.uint8)) | (lines[starts[1:]] > lines[starts[:-1]])
     kind = np.where(number, NUMBER, np.where(unit, UNIT, np.where(capital & ~opens, NAME, 0))).astype(np.int8)
-    return np.where(kind > 0, SLOT_CODE[kind], value), kind, value, C.Stretches(C.BYTE_CODES[b]).hash(s, e)
+    word = value if fold_case else C.Stretches(C.BYTE_CODES[b]).hash(s, e)
+    return np.where(kind > 0, SLOT_CODE[kind], value), kind, value, word, capital & (kind == 0)
 
 
-def windows(data: bytes, sizes, least_key: int, least_item: int):
-    """(hash, start, size, as it is) of all windows, with slot kinds and values of the words."""
-    code, kind, value, word = template(data)
+def windows(data: bytes, sizes, least_key: int, least_item: int, fold_case: bool):
+    """(hash, start, size, as it is, names) of all windows, with slot kinds and values of the words.
+
+    Bit k of ``names``: the k-th word of the window that may be a name is one.
+    """
+    code, kind, value, word, maybe = template(data, fold_case)
     slots = np.concatenate(([0], np.cumsum(kind > 0)))
     prefix, words = C.Stretches(code), C.Stretches(word)
+    power, _ = C.BASES[0].upto(len(code))
+    maybe_at, before = np.flatnonzero(maybe), np.concatenate(([0], np.cumsum(maybe)))
+    to_name = SLOT_CODE[NAME] - code[maybe_at]
     out = []
 
-    def add(h, at, size, as_is):
-        out.append((h, at, np.full(len(at), size), np.full(len(at), as_is)))
+    def add(h, at, size, as_is, names=0):
+        out.append((h, at, np.full(len(at), size), np.full(len(at), as_is), np.full(len(at), names)))
 
     for size in sizes:
         if len(code) >= size:
             at = np.arange(len(code) - size + 1)
             add(C.mix(words.hash(at, at + size) + np.uint64(size) + AS_IS), at, size, True)
             if size >= least_item:
-                at = at[size - (slots[at + size] - slots[at]) >= least_key]
+                plain = size - (slots[at + size] - slots[at])
+                at, plain = at[plain >= least_key], plain[plain >= least_key]
                 add(C.mix(prefix.hash(at, at + size) + np.uint64(size)), at, size, False)
+                sums = (prefix.sums[at + size] - prefix.sums[at]) * prefix.inv[at]
+                count = before[at + size] - before[at]
+                for names in range(1, 1 << int(count.max(initial=0))):
+                    use = np.flatnonzero((count >= names.bit_length()) & (plain - names.bit_count() >= least_key))
+                    if len(use):
+                        start, h = at[use], sums[use]
+                        for k in range(names.bit_length()):
+                            if names >> k & 1:
+                                which = before[start] + k
+                                h = h + to_name[which] * power[maybe_at[which] - start]
+                        add(C.mix(C.mix(h) + np.uint64(size)), start, size, False, names)
     if not out:
         none = np.empty(0, np.int64)
-        return np.empty(0, C.U64), none, none, np.empty(0, bool), kind, value
-    return *(np.concatenate(x) for x in zip(*out)), kind, value
+        return np.empty(0, C.U64), none, none, np.empty(0, bool), none, kind, value, maybe
+    return *(np.concatenate(x) for x in zip(*out)), kind, value, maybe
 
 
-def _window_rows(texts: DataFrame, sizes, least_plain: int, least_key: int, least_item: int, known: np.ndarray | None,
-                 own_size: int | None):
+def _window_rows(texts: DataFrame, sizes, least_plain: int, least_key: int, least_item: int, fold_case: bool,
+                 known: np.ndarray | None, own_size: int | None):
     """(id, tag of the text, window, pos, as_is, base, slots, plain, informative, words).
 
     ``slots`` are the value codes of the window's slots (none if it is taken as
     it is), ``plain`` the places of its plain words.  ``informative``: the
     template at that place has ``least_plain`` plain words; ``base``: this is
-    that template.  ``own_size``: texts are items, each with windows of that
+    that template, no opening word taken as a name.  ``own_size``: texts are items, each with windows of that
     size or, if shorter, one window of its whole length.
     """
     def rows(batch):
@@ -138,21 +159,24 @@ def _window_rows(texts: DataFrame, sizes, least_plain: int, least_key: int, leas
             if own_size is not None:
                 n = len(data.split())
                 use = [min(own_size, n)] if min(own_size, n) in sizes else []
-            h, at, size, as_is, kind, value = windows(data, use, least_key, least_item)
+            h, at, size, as_is, names, kind, value, maybe = windows(data, use, least_key, least_item, fold_case)
             if known is not None and len(h):
                 hit = np.flatnonzero(marked[h & bits])
                 hit = hit[known[np.minimum(np.searchsorted(known, h[hit]), len(known) - 1)] == h[hit]]
-                h, at, size, as_is = h[hit], at[hit], size[hit], as_is[hit]
+                h, at, size, as_is, names = h[hit], at[hit], size[hit], as_is[hit], names[hit]
             if not len(h):
                 continue
             filled = np.concatenate(([0], np.cumsum(kind > 0)))
             rich = size - (filled[at + size] - filled[at]) >= np.minimum(size, least_plain)
             for name, v in (("id", np.full(len(h), i, np.int64)), ("tag", np.full(len(h), C.tag_of(data), np.int64)),
                             ("window", C.signed(h)), ("pos", at.astype(np.int64)), ("as_is", as_is),
-                            ("base", rich & ~as_is), ("informative", rich), ("words", np.full(len(h), len(kind), np.int64))):
+                            ("base", rich & ~as_is & (names == 0)), ("informative", rich), ("words", np.full(len(h), len(kind), np.int64))):
                 out[name].append(v)
-            for a, n, x in zip(at.tolist(), size.tolist(), as_is.tolist()):
+            for a, n, x, m in zip(at.tolist(), size.tolist(), as_is.tolist(), names.tolist()):
                 slot = kind[a:a + n] > 0
+                if m:
+                    could = np.flatnonzero(maybe[a:a + n])
+                    slot[could[[k for k in range(len(could)) if m >> k & 1]]] = True
                 slots.append([] if x else C.signed(value[a:a + n][slot]).tolist())
                 plain.append((a + np.flatnonzero(~slot)).tolist())
         empty = {"as_is": bool, "base": bool, "informative": bool}
@@ -165,7 +189,7 @@ def _window_rows(texts: DataFrame, sizes, least_plain: int, least_key: int, leas
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_share: float = LEAST_SHARE,
                  least_plain: int = LEAST_PLAIN, least_item: int = LEAST_ITEM, max_local: int = MAX_LOCAL,
-                 least_key: int = LEAST_KEY) -> DataFrame:
+                 least_key: int = LEAST_KEY, fold_case: bool = False) -> DataFrame:
     """(doc_id, item_id, matched, windows, share, kind): documents that hold a benchmark item."""
     C.prepare(docs.sparkSession)
     items = benchmark.where("item_id is not null and text is not null").select(
@@ -175,7 +199,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, le
     words = F.regexp_count(F.col("text").cast("string"), F.lit(r"[^\x20\x09-\x0D]+"))
     sizes = sorted(r.n for r in items.select(F.least(words, F.lit(window)).alias("n"))
                    .where("n > 0").distinct().collect())  # window values at most
-    of_items = C.stored(_window_rows(items, sizes, least_plain, least_key, least_item, None, window))
+    of_items = C.stored(_window_rows(items, sizes, least_plain, least_key, least_item, fold_case, None, window))
     distinct = of_items.select("window").distinct()
     known = None
     if distinct.limit(max_local + 1).count() <= max_local:
@@ -183,17 +207,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, le
         known = np.sort(np.array([r.window for r in distinct.toLocalIterator()], np.int64).view(C.U64))
     if known is not None and not len(known):
         known, sizes = np.zeros(1, C.U64), []
-    of_docs = _window_rows(texts, sizes, least_plain, least_key, least_item, known, None)
+    of_docs = _window_rows(texts, sizes, least_plain, least_key, least_item, fold_case, known, None)
     totals = of_items.groupBy(F.col("id").alias("item_id")).agg(
         F.countDistinct("pos").alias("windows"), F.countDistinct(F.when(F.col("informative"), F.col("pos"))).alias("rich"),
         F.max("words").alias("words"))
-    pairs = C.stored(of_docs.select(F.col("id").alias("doc_id"), "tag", F.col("pos").alias("at"), "window", "base",
+    pairs = C.stored(of_docs.select(F.col("id").alias("doc_id"), "tag", F.col("pos").alias("at"), "window", F.col("base").alias("plainly"),
                                     F.col("slots").alias("here"))
                      .distinct()
                      .join(of_items.select(F.col("id").alias("item_id"), "window", "pos", F.col("slots").alias("there"),
-                                           "informative", "plain"), "window"))
+                                           "informative", "plain", "base"), "window"))
     # templates of enough plain words also count by themselves, undisturbed by the others
-    pairs = pairs.withColumn("apart", F.explode(F.when(F.col("base"), F.array(F.lit(False), F.lit(True)))
+    pairs = pairs.withColumn("apart", F.explode(F.when(F.col("plainly") & F.col("base"), F.array(F.lit(False), F.lit(True)))
                                                 .otherwise(F.array(F.lit(False)))))
     # two distances of up to GAP apart share one of the overlapping spans of 2 * GAP
     off = F.col("at") - F.col("pos")
@@ -235,4 +259,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, le
 
 def op7_template_decontamination(spark, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item."""
-    return contaminated(C.read(spark, sf_dir, "documents").select("doc_id", "text"), C.read(spark, sf_dir, "benchmark"))
+    return contaminated(C.read(spark, sf_dir, "documents").select("doc_id", "text"), C.read(spark, sf_dir, "benchmark"),
+                        fold_case=True)

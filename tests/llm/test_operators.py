@@ -297,6 +297,27 @@ def test_each_occurrence_of_an_item_is_judged_by_itself(spark):
     assert contaminated_pairs(spark, rows, [item]) == want
 
 
+def test_names_and_case_do_not_depend_on_what_comes_before(spark):
+    items = ["Tom has 5 apples. Anna takes 2 of them.", "What is the colour of the sky at noon", "Where do blue whales sleep"]
+    rows = [(1, "Bob has 7 apples. Eve takes 3 of them."), (2, f"so she asked, {items[2]}"), (3, f"he said {items[0]}"),
+            (4, "as Bob has 7 apples. Then takes 3 of them"), (5, items[1].upper()), (6, f"x y {items[0].upper()} z"),
+            (7, "Bob has 7 apples. Bob takes 3 of them.")]
+    want = {(1, 0): "reparameterised", (2, 2): "exact", (3, 0): "exact", (4, 0): "reparameterised", (7, 0): "reparameterised"}
+    assert contaminated_pairs(spark, rows, items) == want
+    assert contaminated_pairs(spark, rows, items, fold_case=True) == want | {(5, 1): "exact", (6, 0): "exact"}
+
+
+def test_query_and_pipeline_find_items_in_any_case(spark, tmp_path):
+    import corpus_pipeline as P
+
+    item = "what is the colour of the sky at noon"
+    docs = spark.createDataFrame([(1, item.upper()), (2, "nothing of it")], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert [r.doc_id for r in decontaminate.op7_template_decontamination(spark, str(tmp_path)).collect()] == [1]
+    assert [r.doc_id for r in P.benchmark_passages(spark, docs, str(tmp_path)).collect()] == [2]
+
+
 def test_mixing_targets_and_budget(spark, docs):
     assert mixing.targets([("a", 100), ("b", 100), (None, 0)]) == [200.0, 100.0, 0.0]
     rnd = random.Random(2)
