@@ -151,3 +151,16 @@ def test_fits_leave_nothing_persisted(spark):
     for name in ("m10_logistic_regression", "m15_holdout_area_under_roc", "m22_m23_kfold_tuning"):
         E.queries()[name](spark, SF_SMALL).collect()
     assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
+
+
+def test_validator_stage_tunes_the_grid_it_is_given(spark):
+    import inspect
+
+    from tests.conftest import SF_SMALL
+
+    from tessera.plans import ml_plans as P
+
+    default = inspect.signature(P.m24_validator_as_last_stage).parameters["forest_grid"].default
+    assert default == {"maxDepth": [5, 10, 20], "numTrees": [20, 50, 100], "subsamplingRate": [0.5, 1.0]}
+    one = P.m24_validator_as_last_stage(spark, SF_SMALL, {"maxDepth": [2], "numTrees": [3], "subsamplingRate": [1.0]})
+    assert [(r.max_depth, r.num_trees, r.subsampling_rate) for r in one.collect()] == [(2, 3, 1.0)]
