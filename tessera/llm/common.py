@@ -58,7 +58,15 @@ def stored(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a ``stored`` frame that nothing reads any more."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_path)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict] | dict], schema: str | T.StructType) -> DataFrame:
