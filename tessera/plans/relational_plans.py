@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.geo import haversine
+from ..lifetimes import kept
 from ..operators.joins import hot_keys, join_splitting_hot_keys, orders_enriched
 from ..operators.relational import (
     frequency,
@@ -211,10 +212,7 @@ SELECT 'by_origin' AS grouping, origin AS key, count(*) AS n FROM {FLIGHTS_SQL}
 UNION ALL
 SELECT 'by_dest', dest, count(*) FROM {FLIGHTS_SQL} WHERE arr_delay > 0 GROUP BY dest""", "S19")
 def s19_persist_reused_result(spark, d):
-    from pyspark import StorageLevel
-
-    late = flights(spark, d).where(F.col("arr_delay") > 0).select("origin", "dest") \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    late = kept(flights(spark, d).where(F.col("arr_delay") > 0).select("origin", "dest"))
     a = late.groupBy(F.col("origin").alias("key")).agg(F.count(F.lit(1)).alias("n")) \
         .select(F.lit("by_origin").alias("grouping"), "key", "n")
     b = late.groupBy(F.col("dest").alias("key")).agg(F.count(F.lit(1)).alias("n")) \

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 
 from pyspark import SparkConf
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -75,10 +75,21 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique path under the shared checkpoint folder.
 
     Used by write-then-read jobs (sinks, saved models, feature tables) so that
-    every executor and the driver see the same files.
+    every executor and the driver see the same files.  What is written there
+    goes with the enclosing ``lifetimes.scope``, or when the application ends.
     """
+    from .lifetimes import note_folder
+
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/tessera-scratch/{purpose}/{uuid.uuid4().hex}"
+    return note_folder(spark, f"{base.rstrip('/')}/tessera-scratch/{purpose}/{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written as Parquet to a scratch path and read back: lineage is cut
+    on shared storage, and several readers share one evaluation."""
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _SHIPPED: set[str] = set()

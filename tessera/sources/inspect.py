@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -28,5 +31,20 @@ def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {database}" if database else "SHOW TABLES")
 
 
+@contextlib.contextmanager
+def database(spark: SparkSession, name: str) -> Iterator[str]:
+    """``USE name`` inside the block, the session's former database afterwards, also after an error.
+
+    The database is created where it is missing.
+    """
+    before = spark.catalog.currentDatabase()
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+    spark.sql(f"USE {name}")
+    try:
+        yield name
+    finally:
+        spark.sql(f"USE {before}")
+
+
 def row_count(df: DataFrame) -> int:
     return df.count()

@@ -9,12 +9,26 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tessera.lifetimes import scope
 from tests.conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
 
+@pytest.fixture(autouse=True)
+def nothing_is_left(spark):
+    """What a query keeps goes with its consumer's scope: no persistent RDD, no scratch folder."""
+    before = {k for k in spark.sparkContext._jsc.getPersistentRDDs().keySet().toArray()}
+    with scope(spark) as own:
+        yield
+        folders = list(own.folders)
+    assert {k for k in spark.sparkContext._jsc.getPersistentRDDs().keySet().toArray()} <= before
+    files = spark._jvm.org.apache.hadoop.fs.Path
+    for f in folders:
+        assert not files(f).getFileSystem(spark._jsc.hadoopConfiguration()).exists(files(f)), f
+
+
 def _norm(v):
     if isinstance(v, float):
         return None if math.isnan(v) else round(v, 9)
@@ -100,6 +114,8 @@ def test_inventory_tags_cover_survey():
 @pytest.mark.parametrize("a,b", [("a4_filter_group_sort", "a5_sql_group_sort"),
                                  ("f6_and_filter", "f6_chained_filters"),
                                  ("x19_haversine_native", "u2_haversine_pandas_udf"),
+                                 ("x19_haversine_native", "u2_haversine_arrow_udf"),
+                                 ("u1_rides_per_hour_pandas_udf", "u1_rides_per_hour_arrow_udf"),
                                  ("j1_orders_enriched", "j1_orders_enriched_hot_key_split")])
 def test_equivalent_forms_give_equal_rows(spark, a, b):
     qa, qb = E.queries()[a](spark, SF_SMALL), E.queries()[b](spark, SF_SMALL)
