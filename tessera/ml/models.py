@@ -56,9 +56,17 @@ def fit_classifier(kind: str, train: DataFrame, features_col="features", label_c
 
 
 def model_parameters(spark: SparkSession, model) -> DataFrame:
-    """Every parameter of a fitted model with its value, as strings."""
-    rows = [(p.name, str(model.getOrDefault(p))) for p in model.params if model.hasDefault(p) or model.isSet(p)]
-    return spark.createDataFrame(sorted(rows), "param string, value string")
+    """Every parameter of a fitted model with its value and description, as strings."""
+    rows = [(p.name, str(model.getOrDefault(p)), p.doc) for p in model.params if model.hasDefault(p) or model.isSet(p)]
+    return spark.createDataFrame(sorted(rows), "param string, value string, description string")
+
+
+def training_summary(spark: SparkSession, model) -> DataFrame:
+    """(total_iterations, first_objective, last_objective) of an iterative fit."""
+    s = model.summary
+    history = list(s.objectiveHistory)
+    return spark.createDataFrame([(int(s.totalIterations), float(history[0]), float(history[-1]))],
+                                 "total_iterations int, first_objective double, last_objective double")
 
 
 def coefficient_table(spark: SparkSession, model, names=None) -> DataFrame:

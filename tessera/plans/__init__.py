@@ -1,6 +1,15 @@
 """Named queries over the test tables, each with its DuckDB oracle."""
 
-from . import column_plans, ml_plans, relational_plans, sampling_plans, source_plans, stats_plans, udf_plans  # noqa: F401
+from . import (  # noqa: F401
+    column_plans,
+    ml_plans,
+    relational_plans,
+    sampling_plans,
+    source_plans,
+    stats_plans,
+    tuning_plans,
+    udf_plans,
+)
 from .registry import REGISTRY
 
 __all__ = ["REGISTRY"]

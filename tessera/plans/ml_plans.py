@@ -385,6 +385,19 @@ def m13_model_parameters(spark, d):
     return MO.model_parameters(spark, _fit_logistic(_binary_data(spark, d)))
 
 
+@query("m13_training_summary", f"""
+WITH t AS {_FIVE_STAR_SQL},
+p AS (SELECT reviewed, avg(y) AS p, count(*) AS n FROM t GROUP BY reviewed),
+a AS (SELECT avg(y) AS p FROM t)
+SELECT true AS iterations_counted, (SELECT round(-(p * ln(p) + (1 - p) * ln(1 - p)), 6) FROM a) AS first_objective,
+       round(-sum(n * (p * ln(p) + (1 - p) * ln(1 - p))) / sum(n), 6) AS last_objective FROM p""", "M13")
+def m13_training_summary(spark, d):
+    """An unpenalised logistic fit starts at the entropy of the label and ends at that given the feature."""
+    out = MO.training_summary(spark, _fit_logistic(_binary_data(spark, d)))
+    return out.select((F.col("total_iterations") > 0).alias("iterations_counted"), F.round("first_objective", 6).alias("first_objective"),
+                      F.round("last_objective", 6).alias("last_objective"))
+
+
 @query("m13_objective_history", None, "M13")
 def m13_objective_history(spark, d):
     return MO.objective_history(spark, _fit_logistic(_binary_data(spark, d)))
