@@ -13,22 +13,22 @@ from tessera.plans import REGISTRY  # noqa: E402
 
 # Where each SURVEY row lives in the library (module paths relative to tessera/).
 FUNCTIONS = {
-    "S1": "sources.readers.read_delimited", "S2": "sources.readers.read_format / sources.writers.write_format",
+    "S1": "sources.readers.read_delimited / sources.inference.read_with_rejects", "S2": "sources.readers.read_format / sources.writers.write_format",
     "S3": "sources.readers.read_delimited(schema=)", "S4": "sources.readers.read_lines",
-    "S5": "sources.readers.read_parquet", "S6": "sources.readers.read_orc", "S7": "sources.readers.read_table",
-    "S8": "sources.inspect.describe_table / list_tables", "S9": "spark.sql on a temp view",
+    "S5": "sources.readers.read_parquet (partition and dynamic pruning)", "S6": "sources.readers.read_orc", "S7": "sources.readers.read_table",
+    "S8": "sources.inspect.describe_table / list_tables / database, sources.writers.create_external", "S9": "spark.sql on a temp view",
     "S10": "sources.writers.write_delimited(sep='\\t')", "S11": "sources.writers.write_delimited(compression=, mode=)",
-    "S12": "sources.writers.write_lines", "S13": "sources.writers.write_parquet", "S14": "sources.writers.write_orc",
-    "S15": "sources.writers.save_as_table / drop_table", "S16": "sources.readers.read_delimited(sep='\\t') (re-aimed)",
+    "S12": "sources.writers.write_lines", "S13": "sources.writers.write_parquet / write_partitioned", "S14": "sources.writers.write_orc",
+    "S15": "sources.writers.save_as_table / save_bucketed / drop_table", "S16": "sources.readers.read_delimited(sep='\\t') (re-aimed)",
     "S17": "sources.local.to_local / head_local (unit tests)", "S18": "createOrReplaceTempView + spark.sql",
-    "S19": "persist(MEMORY_AND_DISK)", "I1": "sources.inspect.head_rows", "I2": "sources.inspect.schema_frame",
+    "S19": "lifetimes.kept / lifetimes.scope", "I1": "sources.inspect.head_rows", "I2": "sources.inspect.schema_frame",
     "I3": "count", "I4": "operators.stats.describe_typed",
     "P1": "select", "P2": "functions.columns.select_range", "P3": "functions.columns.metres_to_miles",
     "P4": "withColumn", "P5": "withColumn (same name)", "P6": "Column.alias", "P7": "F.lit",
-    "P8": "ml SQLTransformer", "F1": "filter", "F2": "where", "F3": "where(str)",
+    "P8": "ml.pipelines.prepared_rows", "F1": "filter", "F2": "where", "F3": "where(str)",
     "F4": "functions.columns.flag_is_one", "F5": "& / |", "F6": "filter(a & b) = filter(a).filter(b)",
     "F7": "filter(a | b)", "F8": "!= and functions.columns.not_equal_keep_null", "F9": "filter",
-    "F10": "filter(col > col)", "F11": "ml SQLTransformer", "F12": "dropna", "F13": "fillna",
+    "F10": "filter(col > col)", "F11": "ml.pipelines.prepared_rows", "F12": "dropna", "F13": "fillna",
     "F14": "functions.columns.null_flag", "F15": "spark.sql WHERE",
     "X1": "functions.columns.metres_to_miles", "X2": "functions.columns.zero_pad",
     "X3": "functions.columns.flag_is_one", "X4": "functions.columns.flag_as_boolean",
@@ -52,26 +52,27 @@ FUNCTIONS = {
     "K1": "operators.sampling.bernoulli_sample", "K2": "operators.sampling.bernoulli_sample",
     "K3": "operators.sampling.random_split / labelled_random_split", "K4": "operators.sampling.random_split",
     "K5": "operators.sampling.hash_sample / hash_split / hash_unit",
-    "U1": "functions.udfs.hour_of_day_udf (pandas) / hour_of_day_row_udf",
-    "U2": "functions.udfs.haversine_udf (pandas) / haversine_row_udf", "U3": "functions.udfs (pandas_udf forms)",
-    "U4": "UDF column vs recorded column", "M1": "ml.features.binarize", "M2": "ml.features.index_categories",
-    "M3": "ml.features.one_hot", "M4": "ml.features.assemble", "M5": "assemble + write/read Parquet",
+    "U1": "functions.udfs.hour_of_day_arrow_udf / hour_of_day_udf (pandas)",
+    "U2": "functions.udfs.haversine_arrow_udf / haversine_udf (pandas)", "U3": "functions.udfs (Arrow and pandas forms)",
+    "U4": "UDF column vs recorded column", "M1": "ml.features.binarize", "M2": "ml.features.index_categories / ml.categories.category_dictionary, index_with",
+    "M3": "ml.features.one_hot / ml.categories.one_hot_sparse", "M4": "ml.features.assemble", "M5": "assemble + write/read Parquet",
     "M6": "ml.features.feature_metadata", "M7": "ml.models.linear_regression",
     "M8": "ml.models.linear_regression(fit_intercept=False)", "M9": "ml.models.linear_regression(elastic_net=1)",
     "M10": "ml.models.logistic_regression / fit_classifier", "M11": "ml.models.fit_classifier('tree')",
-    "M12": "ml.models.fit_classifier('forest')", "M13": "ml.models.model_parameters / objective_history",
+    "M12": "ml.models.fit_classifier('forest')", "M13": "ml.models.model_parameters / training_summary / objective_history",
     "M14": "ml.models.roc_curve", "M15": "model.evaluate", "M16": "model.transform",
     "M17": "ml.evaluation.binary_metrics", "M18": "ml.evaluation.regression_metrics",
-    "M19": "ml.evaluation.accuracy / accuracy_aggregate", "M20": "ml.tuning.param_grid",
-    "M21": "ml.tuning.holdout", "M22": "ml.tuning.kfold", "M23": "ml.tuning (metric per grid point)",
-    "M24": "ml.pipelines.staged_pipeline / Pipeline", "M25": "ml.pipelines.save_pipeline / load_*",
-    "M26": "ml.models.feature_importances", "M27": "functions.scoring.predicted_arrival_hhmm / streaming.scoring",
+    "M19": "ml.evaluation.accuracy / accuracy_aggregate", "M20": "ml.tuning.param_grid / ml.crossproducts.grid / ml.grid_runs.points_of",
+    "M21": "ml.tuning.holdout / ml.crossproducts.tune", "M22": "ml.tuning.kfold / ml.crossproducts.tune",
+    "M23": "ml.crossproducts.tune / ml.tuning (metric per grid point)",
+    "M24": "ml.pipelines.staged_pipeline / Pipeline, ml.grid_runs.run_grid", "M25": "ml.pipelines.save_pipeline / load_*",
+    "M26": "ml.models.feature_importances / ml.splits.split_gains", "M27": "functions.scoring.predicted_arrival_hhmm / streaming.scoring",
     "M28": "ml.experiments.run_experiments", "V1": "operators.plotdata.ordered_counts",
     "V2": "operators.plotdata.histogram", "V3": "operators.plotdata.density_curve",
     "V4": "operators.plotdata.box_stats", "V5": "operators.plotdata.sample_points",
     "V6": "operators.plotdata.linear_fit", "V7": "operators.plotdata.quadratic_fit",
     "V8": "operators.stats.all_pair_correlations / plotdata.binned_2d", "V9": "operators.plotdata.binned_2d",
-    "J1": "operators.joins.orders_enriched / join_splitting_hot_keys",
+    "J1": "operators.joins.orders_enriched / join_splitting_hot_keys, bucketed tables",
 }
 
 
