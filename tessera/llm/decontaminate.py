@@ -1,19 +1,25 @@
 """Benchmark decontamination by template canonicalisation.
 
 Words become template tokens: a word with a digit is a number, a word after a
-number that names a unit is a unit, a capitalised word inside a sentence is a
-name; all others are themselves, A-Z lower-cased, without surrounding ASCII
-punctuation.  A capitalised word that opens a sentence may be a name or not:
-windows are taken with it as either.  Windows of template tokens are hash-joined between documents and
-benchmark items (an item shorter than a window is one window of its length).
-The joined windows are then checked for slot consistency: within an occurrence
-one value of an item's slot must always stand for the same value.  Occurrences
-are the windows of one text at one distance from the item's, those at distances
-of up to ``GAP`` apart (words put in or left out), and all of the document.  A
-pair is reported when the consistent windows of one of them cover at least
-``least_share`` of the item's, as ``exact`` (all slots equal) or
+number that names a unit is a unit, a capitalised word (of any script) inside a
+sentence is a name; all others are themselves, A-Z lower-cased, without
+surrounding ASCII punctuation.  A capitalised word that opens a sentence may be
+a name or not: windows that hold such words are taken twice, with all of them
+as names and with none.  Windows of template tokens are hash-joined between
+documents and benchmark items (an item shorter than a window is one window of
+its length).  The joined windows are then checked for slot consistency: within
+an occurrence one value of an item's slot must always stand for the same value.
+Occurrences are the windows of one text at one distance from the item's, those
+at distances of up to ``GAP`` apart (words put in or left out), and all of the
+document.  A pair is reported when the consistent windows of one of them cover
+at least ``least_share`` of the item's, as ``exact`` (all slots equal) or
 ``reparameterised``, whichever holds for the best occurrence.
 
+Changed values alone are no evidence, as in some languages every noun has a
+capital: an occurrence counts as re-parameterised only if a number changed, or
+a value that stands at two places of the item or more.  Without that only its
+equal windows count.
+
 No window is left out.  Every window is also joined by its words as they are,
 which finds equal windows whatever their slots and the words before them; with
 ``fold_case`` in any case of A-Z (as the query and the pipeline do).  With changed values a window
@@ -22,21 +28,28 @@ match only as they are), and the windows matched must together hold
 ``least_plain`` plain words of the item, in items under twice that length half
 of its words, at least ``least_key``.  The share is taken over all windows of
 the item and over those of ``least_plain`` plain words (all, in a shorter one);
-the larger counts.  Windows of documents that occur in no item are dropped
-before the shuffle while the item windows are few (``MAX_LOCAL``, counted
-first); beyond that all windows go through the join.
-
-Defined results: null or empty texts match nothing; items of under
-``least_item`` tokens match only as they are; rows with a null doc_id or
-item_id are not reported; rows that repeat an id are one document or item with
-the windows of each; other columns are not read.
+the larger counts.
+
+A window that many items and many documents have does not bring all of them
+together.  A reported pair shares so many of the item's windows that it shares
+one of the rarest of them, counted by items: with ``m`` of ``n`` needed, one of
+any ``n - m + 1``.  Pairs come from these alone; only then all windows of the
+pair are joined.  Windows of documents that occur in no item are dropped before
+the shuffle while the item windows are few (``MAX_LOCAL``, counted first);
+beyond that a join drops them.
+
+Defined results: null or empty texts match nothing; very long texts are taken
+whole; items of under ``least_item`` tokens match only as they are; rows with a
+null doc_id or item_id are not reported; rows that repeat an id are one document
+or item with the windows of each; an empty table on either side gives no pair;
+other columns are not read.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -49,10 +62,15 @@ LEAST_SHARE = 0.5
 GAP = 4
 MAX_LOCAL = 2_000_000
 
-# fixed values: unit words after a number
+# fixed values: unit words after a number, in English and the languages around it
 UNITS = ("kg g mg lb lbs oz km m cm mm mi ft in yd mph kph l ml s sec min h hr hrs day days week weeks month months "
          "year years hour hours minute minutes second seconds meter meters metre metres mile miles foot feet inch inches "
-         "gram grams liter liters litre litres dollar dollars euro euros cent cents percent % degree degrees").split()
+         "gram grams liter liters litre litres dollar dollars euro euros cent cents percent % degree degrees "
+         "stunde stunden minuten sekunden tag tage woche wochen monat monate jahr jahre prozent grad "
+         "heure heures seconde secondes jour jours semaine semaines mois an ans "
+         "hora horas minuto minutos segundo segundos semana semanas mes meses por ciento "
+         "кг г км м см мм л мин час часа часов минут минуты секунд секунды дней дня день недель недели лет года год "
+         "рублей рубля долларов доллара процентов процента").split()
 
 NUMBER, UNIT, NAME = 1, 2, 3
 SLOT_CODE = C.mix(np.arange(4, dtype=np.uint64) + np.uint64(901))
@@ -65,6 +83,18 @@ UNIT_CODES = np.sort(np.array([int(C.Stretches(C.BYTE_CODES[np.frombuffer(u.enco
     np.array([0]), np.array([len(u)]))[0]) for u in UNITS], np.uint64))
 
 
+#: Which of the first 65,536 code points are capitals.
+CAPITAL = np.array([chr(c).isupper() for c in range(1 << 16)])
+
+
+def code_points(b: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The characters that start at bytes ``at`` (those above 65,535 as 0)."""
+    padded = np.concatenate((b, np.zeros(3, np.uint8))).astype(np.int64)
+    one, two, three = (padded[at + k] for k in range(3))
+    return np.select([one < 0x80, one < 0xE0, one < 0xF0],
+                     [one, (one & 0x1F) << 6 | two & 0x3F, (one & 0x0F) << 12 | (two & 0x3F) << 6 | three & 0x3F], 0)
+
+
 def template(data: bytes, fold_case: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Token codes, slot kind (0: plain), value code and code as it is of every word; the plain ones that may be names."""
     b, starts, ends = C.word_spans(data)
@@ -86,8 +116,7 @@ def template(data: bytes, fold_case: bool) -> tuple[np.ndarray, np.ndarray, np.n
     number = digits[e] > digits[s]
     after = np.concatenate(([False], number[:-1]))
     unit = after & ~number & (UNIT_CODES[np.minimum(np.searchsorted(UNIT_CODES, value), len(UNIT_CODES) - 1)] == value)
-    wide = (b[s] == 0xC3) & (e - s > 1) & (b[np.minimum(s + 1, len(b) - 1)] < 0x9F)  # capital Latin-1 letters
-    capital = ((b[s] >= 65) & (b[s] <= 90)) | wide
+    capital = CAPITAL[code_points(b, s)]
     lines = np.concatenate(([0], np.cumsum(b == 10)))
     opens = np.ones(len(s), bool)
     opens[1:] = np.isin(b[ends[:-1] - 1], np.frombuffer(b".!?:", np.uint8)) | (lines[starts[1:]] > lines[starts[:-1]])
@@ -97,94 +126,128 @@ def template(data: bytes, fold_case: bool) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def windows(data: bytes, sizes, least_key: int, least_item: int, fold_case: bool):
-    """(hash, start, size, as it is, names) of all windows, with slot kinds and values of the words.
+    """(hash, start, size, as it is, opened) of all windows, with slot kinds and values of the words.
 
-    Bit k of ``names``: the k-th word of the window that may be a name is one.
+    ``opened``: the window's words that open a sentence with a capital are taken as names.
     """
     code, kind, value, word, maybe = template(data, fold_case)
-    slots = np.concatenate(([0], np.cumsum(kind > 0)))
-    prefix, words = C.Stretches(code), C.Stretches(word)
-    power, _ = C.BASES[0].upto(len(code))
-    maybe_at, before = np.flatnonzero(maybe), np.concatenate(([0], np.cumsum(maybe)))
-    to_name = SLOT_CODE[NAME] - code[maybe_at]
+    named = np.where(maybe, SLOT_CODE[NAME], code)
+    prefix, names, words = C.Stretches(code), C.Stretches(named), C.Stretches(word)
+    slots, openers = (np.concatenate(([0], np.cumsum(x))) for x in (kind > 0, maybe))
     out = []
 
-    def add(h, at, size, as_is, names=0):
-        out.append((h, at, np.full(len(at), size), np.full(len(at), as_is), np.full(len(at), names)))
+    def add(h, at, size, as_is, opened):
+        out.append((C.mix(h + np.uint64(size)), at, np.full(len(at), size), np.full(len(at), as_is), np.full(len(at), opened)))
 
     for size in sizes:
         if len(code) >= size:
             at = np.arange(len(code) - size + 1)
-            add(C.mix(words.hash(at, at + size) + np.uint64(size) + AS_IS), at, size, True)
+            add(words.hash(at, at + size) + AS_IS, at, size, True, False)
             if size >= least_item:
                 plain = size - (slots[at + size] - slots[at])
-                at, plain = at[plain >= least_key], plain[plain >= least_key]
-                add(C.mix(prefix.hash(at, at + size) + np.uint64(size)), at, size, False)
-                sums = (prefix.sums[at + size] - prefix.sums[at]) * prefix.inv[at]
-                count = before[at + size] - before[at]
-                for names in range(1, 1 << int(count.max(initial=0))):
-                    use = np.flatnonzero((count >= names.bit_length()) & (plain - names.bit_count() >= least_key))
-                    if len(use):
-                        start, h = at[use], sums[use]
-                        for k in range(names.bit_length()):
-                            if names >> k & 1:
-                                which = before[start] + k
-                                h = h + to_name[which] * power[maybe_at[which] - start]
-                        add(C.mix(C.mix(h) + np.uint64(size)), start, size, False, names)
+                may = openers[at + size] - openers[at]
+                plainly, opened = at[plain >= least_key], at[(may > 0) & (plain - may >= least_key)]
+                add(prefix.hash(plainly, plainly + size), plainly, size, False, False)
+                add(names.hash(opened, opened + size), opened, size, False, True)
     if not out:
         none = np.empty(0, np.int64)
-        return np.empty(0, C.U64), none, none, np.empty(0, bool), none, kind, value, maybe
+        return np.empty(0, C.U64), none, none, np.empty(0, bool), np.empty(0, bool), kind, value, maybe
     return *(np.concatenate(x) for x in zip(*out)), kind, value, maybe
 
 
+class Known:
+    """Sorted window hashes with a table that tells most others apart by some
+    bits.  The table is built once a task and travels with none."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes, self.marked = hashes, None
+
+    def __reduce__(self):
+        return Known, (self.hashes,)
+
+    def hits(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.hashes) or not len(h):
+            return np.empty(0, np.int64)
+        if self.marked is None:
+            self.bits = np.uint64((1 << max(16, int(len(self.hashes) * 16).bit_length())) - 1)
+            self.marked = np.zeros(int(self.bits) + 1, bool)
+            self.marked[self.hashes & self.bits] = True
+        at = np.flatnonzero(self.marked[h & self.bits])
+        return at[self.hashes[np.minimum(np.searchsorted(self.hashes, h[at]), len(self.hashes) - 1)] == h[at]]
+
+
 def _window_rows(texts: DataFrame, sizes, least_plain: int, least_key: int, least_item: int, fold_case: bool,
-                 known: np.ndarray | None, own_size: int | None):
-    """(id, tag of the text, window, pos, as_is, base, slots, plain, informative, words).
+                 known: Known | None, own_size: int | None):
+    """(id, tag of the text, window, pos, as_is, base, informative, words, slots, spots, numeric, plain).
 
     ``slots`` are the value codes of the window's slots (none if it is taken as
-    it is), ``plain`` the places of its plain words.  ``informative``: the
-    template at that place has ``least_plain`` plain words; ``base``: this is
-    that template, no opening word taken as a name.  ``own_size``: texts are items, each with windows of that
-    size or, if shorter, one window of its whole length.
+    it is), ``spots`` their places, ``numeric`` whether they are numbers,
+    ``plain`` the places of its plain words.  ``informative``: the template at
+    that place has ``least_plain`` plain words; ``base``: this is that
+    template, no opening word taken as a name.  ``own_size``: texts are items,
+    each with windows of that size or, if shorter, one window of its whole
+    length.
     """
     def rows(batch):
         out = {n: [] for n in ("id", "tag", "window", "pos", "as_is", "base", "informative", "words")}
-        slots, plain = [], []
-        if known is not None:  # most windows are told apart by some bits
-            bits = np.uint64((1 << max(16, int(len(known) * 16).bit_length())) - 1)
-            marked = np.zeros(int(bits) + 1, bool)
-            marked[known & bits] = True
+        slots, spots, numeric, plain = [], [], [], []
         for i, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             use = sizes
             if own_size is not None:
                 n = len(data.split())
                 use = [min(own_size, n)] if min(own_size, n) in sizes else []
-            h, at, size, as_is, names, kind, value, maybe = windows(data, use, least_key, least_item, fold_case)
-            if known is not None and len(h):
-                hit = np.flatnonzero(marked[h & bits])
-                hit = hit[known[np.minimum(np.searchsorted(known, h[hit]), len(known) - 1)] == h[hit]]
-                h, at, size, as_is, names = h[hit], at[hit], size[hit], as_is[hit], names[hit]
+            h, at, size, as_is, opened, kind, value, maybe = windows(data, use, least_key, least_item, fold_case)
+            if known is not None:
+                hit = known.hits(h)
+                h, at, size, as_is, opened = h[hit], at[hit], size[hit], as_is[hit], opened[hit]
             if not len(h):
                 continue
             filled = np.concatenate(([0], np.cumsum(kind > 0)))
             rich = size - (filled[at + size] - filled[at]) >= np.minimum(size, least_plain)
             for name, v in (("id", np.full(len(h), i, np.int64)), ("tag", np.full(len(h), C.tag_of(data), np.int64)),
                             ("window", C.signed(h)), ("pos", at.astype(np.int64)), ("as_is", as_is),
-                            ("base", rich & ~as_is & (names == 0)), ("informative", rich), ("words", np.full(len(h), len(kind), np.int64))):
+                            ("base", rich & ~as_is & ~opened), ("informative", rich), ("words", np.full(len(h), len(kind), np.int64))):
                 out[name].append(v)
-            for a, n, x, m in zip(at.tolist(), size.tolist(), as_is.tolist(), names.tolist()):
-                slot = kind[a:a + n] > 0
-                if m:
-                    could = np.flatnonzero(maybe[a:a + n])
-                    slot[could[[k for k in range(len(could)) if m >> k & 1]]] = True
-                slots.append([] if x else C.signed(value[a:a + n][slot]).tolist())
+            for a, n, x, m in zip(at.tolist(), size.tolist(), as_is.tolist(), opened.tolist()):
+                slot = (kind[a:a + n] > 0) | maybe[a:a + n] if m else kind[a:a + n] > 0
+                where = np.empty(0, np.int64) if x else np.flatnonzero(slot) + a
+                slots.append(C.signed(value[where]).tolist())
+                spots.append(where.tolist())
+                numeric.append((kind[where] == NUMBER).tolist())
                 plain.append((a + np.flatnonzero(~slot)).tolist())
         empty = {"as_is": bool, "base": bool, "informative": bool}
         return {n: np.concatenate(v) if v else np.empty(0, empty.get(n, np.int64)) for n, v in out.items()} | {
-            "slots": pa.array(slots, pa.list_(pa.int64())), "plain": pa.array(plain, pa.list_(pa.int64()))}
+            "slots": pa.array(slots, pa.list_(pa.int64())), "spots": pa.array(spots, pa.list_(pa.int64())),
+            "numeric": pa.array(numeric, pa.list_(pa.bool_())), "plain": pa.array(plain, pa.list_(pa.int64()))}
 
     return C.map_arrow(texts, rows, "id long, tag long, window long, pos long, as_is boolean, base boolean, "
-                                    "informative boolean, words long, slots array<long>, plain array<long>")
+                                    "informative boolean, words long, slots array<long>, spots array<long>, "
+                                    "numeric array<boolean>, plain array<long>")
+
+
+def rarest_windows(of_items: DataFrame, least_share: float) -> DataFrame:
+    """(item_id, window): of every item the windows at the places of which any
+    document that holds ``least_share`` of them has at least one.
+
+    Places are taken by the number of items that share one of their windows,
+    once among all and once among those of enough plain words.  An item's
+    places are one group: the item's text bounds it.
+    """
+    items = of_items.select(F.col("id").alias("item_id"), "window", "pos", "informative").distinct()
+    shared = items.groupBy("window").agg(F.countDistinct("item_id").alias("items"))
+    places = (items.join(shared, "window").groupBy("item_id", "pos")
+              .agg(F.max("items").alias("items"), F.max("informative").alias("rich")))
+    of_item = Window.partitionBy("item_id")
+    by_rarity = of_item.orderBy("items", "pos")
+
+    def rare(chosen):
+        n = F.sum(chosen.cast("int")).over(of_item)
+        rank = F.sum(chosen.cast("int")).over(by_rarity.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        # one more than may be missing; at least one
+        return chosen & (rank <= F.greatest(n - F.ceil(n * F.lit(least_share) - F.lit(1e-9)) + 1, F.lit(1)))
+
+    kept = places.select("item_id", "pos", (rare(F.lit(True)) | rare(F.col("rich"))).alias("rare")).where("rare")
+    return items.join(kept, ["item_id", "pos"]).select("item_id", "window").distinct()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_share: float = LEAST_SHARE,
@@ -204,18 +267,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, le
     known = None
     if distinct.limit(max_local + 1).count() <= max_local:
         # at most max_local hashes of 8 bytes go with the tasks
-        known = np.sort(np.array([r.window for r in distinct.toLocalIterator()], np.int64).view(C.U64))
-    if known is not None and not len(known):
-        known, sizes = np.zeros(1, C.U64), []
+        known = Known(np.sort(np.array([r.window for r in distinct.toLocalIterator()], np.int64).view(C.U64)))
+        sizes = sizes if len(known.hashes) else []
     of_docs = _window_rows(texts, sizes, least_plain, least_key, least_item, fold_case, known, None)
+    if known is None:
+        of_docs = of_docs.join(distinct, "window", "left_semi")
+    of_docs = C.stored(of_docs.select(F.col("id").alias("doc_id"), "tag", F.col("pos").alias("at"), "window",
+                                      F.col("base").alias("plainly"), F.col("slots").alias("here")).distinct())
     totals = of_items.groupBy(F.col("id").alias("item_id")).agg(
         F.countDistinct("pos").alias("windows"), F.countDistinct(F.when(F.col("informative"), F.col("pos"))).alias("rich"),
         F.max("words").alias("words"))
-    pairs = C.stored(of_docs.select(F.col("id").alias("doc_id"), "tag", F.col("pos").alias("at"), "window", F.col("base").alias("plainly"),
-                                    F.col("slots").alias("here"))
-                     .distinct()
-                     .join(of_items.select(F.col("id").alias("item_id"), "window", "pos", F.col("slots").alias("there"),
-                                           "informative", "plain", "base"), "window"))
+    likely = C.stored(of_docs.select("doc_id", "window").distinct().join(rarest_windows(of_items, least_share), "window")
+                      .select("doc_id", "item_id").distinct())
+    pairs = C.stored(likely.join(of_items.select(F.col("id").alias("item_id"), "window", "pos", F.col("slots").alias("there"),
+                                                 "spots", "numeric", "informative", "plain", "base"), "item_id")
+                     .join(of_docs, ["doc_id", "window"]))
     # templates of enough plain words also count by themselves, undisturbed by the others
     pairs = pairs.withColumn("apart", F.explode(F.when(F.col("plainly") & F.col("base"), F.array(F.lit(False), F.lit(True)))
                                                 .otherwise(F.array(F.lit(False)))))
@@ -227,11 +293,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, le
     group = ["doc_id", "item_id", "apart", "place"]
     # one value of an item must stand for one value in the document
     meaning = (pairs.where(F.size("there") > 0)
-               .select(*group, F.explode(F.arrays_zip("there", "here")).alias("s"))
+               .select(*group, F.explode(F.arrays_zip("there", "here", "spots", "numeric")).alias("s"))
                .groupBy(*group, F.col("s.there").alias("value"))
-               .agg(F.countDistinct("s.here").alias("meanings"),
-                    F.max((F.col("s.there") != F.col("s.here")).cast("int")).alias("changed")))
-    slots = meaning.groupBy(*group).agg(F.max("meanings").alias("meanings"), F.max("changed").alias("changed"))
+               .agg(F.countDistinct("s.here").alias("meanings"), F.countDistinct("s.spots").alias("spots"),
+                    F.max("s.numeric").alias("numeric"), F.max(F.col("s.there") != F.col("s.here")).alias("changed")))
+    slots = meaning.groupBy(*group).agg(
+        F.max("meanings").alias("meanings"), F.max("changed").alias("changed"),
+        F.max(F.col("changed") & (F.col("numeric") | (F.col("spots") > 1))).alias("evident"))
     same = (F.col("here") == F.col("there")).cast("int")
     matched = (pairs.groupBy(*group, "pos").agg(
         F.max(same).alias("same"), F.max(F.col("informative").cast("int")).alias("of_rich"),
@@ -242,9 +310,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, le
             F.size(F.array_distinct(F.flatten(F.collect_set("plain")))).alias("covered")))
     found = matched.join(totals, "item_id").join(slots, group, "left")
     need = F.greatest(F.lit(least_key), F.least(F.lit(least_plain), F.ceil(F.col("words") / 2)))
-    other = F.coalesce("changed", F.lit(0)) > 0
-    consistent = (F.coalesce("meanings", F.lit(1)) <= 1) & (~other | (F.col("covered") >= need))
-    # an inconsistent pair can still hold the item itself: its equal windows count
+    other = F.coalesce("changed", F.lit(False))
+    consistent = (F.coalesce("meanings", F.lit(1)) <= 1) & (~other | (F.col("evident") & (F.col("covered") >= need)))
+    # other pairs can still hold the item itself: their equal windows count
     counted = F.when(consistent, F.col("matched")).otherwise(F.col("same"))
     rich = F.when(consistent, F.col("rich_matched")).otherwise(F.col("rich_same"))
     of_all, of_rich = counted / F.col("windows"), F.when(F.col("rich") > 0, rich / F.col("rich"))
