@@ -55,7 +55,9 @@ def save_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, path:
     """A catalog table whose rows lie in ``buckets`` hash buckets of ``keys``, sorted within.
 
     Tables of the same number of buckets join on these keys without a shuffle.
-    Rows are dealt by the same hash first, so that a bucket gets one file.
+    Rows are dealt by the same hash first, so that a bucket gets one file.  A key
+    with a large share of the rows makes a large bucket: where keys are hot,
+    join with ``join_splitting_hot_keys`` instead.
     """
     (df.repartition(buckets, *keys).write.mode(mode).option("path", path)
      .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name))
