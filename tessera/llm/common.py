@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..lifetimes import note_folder
 from ..session import ensure_checkpoint_dir, ship_package
 
 U64 = np.uint64
@@ -50,14 +51,14 @@ def stored(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet under the shared checkpoint folder and read back.
 
     Cuts the lineage like ``checkpoint()`` at a third of its size (columns are
-    encoded and compressed).  The files go when the application ends.
+    encoded and compressed).  The files go with the enclosing
+    ``lifetimes.scope``, or when the application ends.
     """
     spark = df.sparkSession
     prepare(spark)
     path = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/stored-{uuid.uuid4().hex}"
+    note_folder(spark, path)
     df.write.parquet(path)
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_path = path
     return out

@@ -37,7 +37,7 @@ GRAM = 10
 SHARD_RUNS = 8_000
 MAX_GROUP = 60_000
 
-MATCH = "key long, content long, a int, b int, origin long"
+MATCH = "key long, content long, spans array<struct<a:int,b:int,origin:long>>"
 
 
 class Coder:
@@ -95,8 +95,20 @@ def extend(text: str, passage: str, delta: int, hit: int, size: int) -> tuple[in
     return a, b
 
 
+def widest(spans: set[tuple[int, int, int]]) -> list[dict]:
+    """The spans (a, b, origin) without those inside another of the same or an earlier origin."""
+    kept: list[tuple[int, int, int]] = []
+    for origin, a, _, b in sorted((o, a, -b, b) for a, b, o in spans):
+        if not any(x <= a and b <= y for x, y, _ in kept):
+            kept.append((a, b, origin))
+    return [{"a": a, "b": b, "origin": o} for a, b, o in kept]
+
+
 def locate(table: pa.Table, length: int) -> pa.Table:
-    """All occurrences of the shard's recurring passages in its stretches."""
+    """All occurrences of the shard's recurring passages in its stretches: one row a stretch that has any."""
+    pairs = list(zip(table["key"].to_pylist(), table["content"].to_pylist()))
+    once = list(dict(zip(reversed(pairs), range(len(pairs) - 1, -1, -1))).values())
+    table = table.take(pa.array(once[::-1], pa.int64()))  # rows that repeat a document bring its stretches again
     segments = [s.split() for s in table["words"].to_pylist()]
     first, last = table["first_doc"].to_numpy(), table["last_doc"].to_numpy()
     coder = Coder(segments)
@@ -114,7 +126,7 @@ def locate(table: pa.Table, length: int) -> pa.Table:
             automaton.add_word(phrase, places)
         automaton.make_automaton()
         for i, ids in enumerate(coder.ids):
-            text, seen = coder.text(ids), set()
+            text, seen, spans = coder.text(ids), set(), set()
             for end, places in automaton.iter(text):
                 hit = end + 1 - block * w
                 for p, k in places:
@@ -125,10 +137,12 @@ def locate(table: pa.Table, length: int) -> pa.Table:
                     # other blocks of this match need no second look
                     seen.update((p, hit - k, x) for x in range(hit, b, block * w))
                     if b - a >= length * w and passages[p][1] < last[i]:
-                        out.append((key[i], content[i], a // w, b // w, passages[p][1]))
-    cols = list(zip(*sorted(set(out)))) or [()] * 5
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
-    return pa.table([pa.array(c, t) for c, t in zip(cols, types)], names=["key", "content", "a", "b", "origin"])
+                        spans.add((a // w, b // w, passages[p][1]))
+            if spans:
+                out.append((key[i], content[i], widest(spans)))
+    span = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("origin", pa.int64())]))
+    return pa.table([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 3, [pa.int64(), pa.int64(), span])],
+                    names=["key", "content", "spans"])
 
 
 def cut_words(batch):
@@ -147,9 +161,10 @@ def cut_words(batch):
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_runs: int = SHARD_RUNS,
                    max_group: int = MAX_GROUP) -> DataFrame:
-    """doc, tag, a, b, origin: words ``a`` to ``b`` of the document also stand
-    in the earlier document ``origin``, as part of a stretch of at least
-    ``length`` words."""
+    """doc, tag, spans: words ``a`` to ``b`` of every span also stand in the
+    earlier document ``origin``, as part of a stretch of at least ``length``
+    words.  At most one row a run of windows, whatever the number of documents
+    that have its words."""
     C.prepare(docs.sparkSession)
     unit = R.Unit("word", length, gram)
     base = R.base(docs)
@@ -168,9 +183,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     matches = (cut.withColumn("shard", F.pmod("key", F.lit(shards)))
                .groupBy("shard").applyInArrow(shard, MATCH))
     start = R.start_of("place")
-    return (found.join(matches, ["key", "content"]).where("origin < doc")
-            .select("doc", R.tag_of("place").alias("tag"), (start + F.col("a")).alias("a"),
-                    (start + F.col("b")).alias("b"), "origin"))
+
+    def moved(span):
+        return F.struct((start + span.a).alias("a"), (start + span.b).alias("b"), span.origin.alias("origin"))
+
+    earlier = F.transform(F.filter("spans", lambda span: span.origin < F.col("doc")), moved)
+    return (found.join(matches, ["key", "content"])
+            .select("doc", R.tag_of("place").alias("tag"), earlier.alias("spans")).where(F.size("spans") > 0))
 
 
 def remove_repeated_phrases(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_runs: int = SHARD_RUNS,
@@ -184,8 +203,9 @@ def remove_repeated_phrases(docs: DataFrame, length: int = LENGTH, gram: int = G
     removed.
     """
     spans = repeated_spans(docs, length, gram, shard_runs, max_group)
-    per_doc = (spans.select("doc", "tag", "a", "b").distinct()
-               .groupBy("doc", "tag").agg(F.collect_list(F.struct("a", "b")).alias("spans")))
+    ends = F.transform("spans", lambda span: F.struct(span.a.alias("a"), span.b.alias("b")))
+    per_doc = (spans.select("doc", "tag", ends.alias("spans"))
+               .groupBy("doc", "tag").agg(F.flatten(F.collect_set("spans")).alias("spans")))
     kept = docs.where("doc_id is not null")
     base = kept.select(F.struct("*").alias("row"), *R.columns()) if carry else R.base(docs)
     none = F.lit(None).cast("array<struct<a:bigint,b:bigint>>")
