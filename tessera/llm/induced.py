@@ -8,9 +8,13 @@ from them with a queue that gives out suffix tuples by first symbol and order
 of arrival.  Each tuple carries its common prefix with the one before it.
 
 The queue spills its blocks to an unlinked scratch file of the task (as
-Spark's own sorts do) once they pass a memory bound, so a shard's tuples may
-exceed memory; no other task reads that file.  Work goes through whole queue
-buckets at a time, in numpy.
+Spark's own sorts do) once they pass a memory bound; no other task reads that
+file.  Only tuples that wait in the queue can spill: the sequence, the order
+and the prefixes that come out are arrays in memory, so the caller keeps
+shards small enough for that.  Sequences of more than ``FEW_NAMES`` names are
+put in order by rank doubling in memory instead of another recursion, and the
+prefixes of the marks come from comparing them, not from the deeper level.
+Work goes through whole queue buckets at a time, in numpy.
 """
 
 from __future__ import annotations

@@ -34,11 +34,15 @@ SHARD_RUNS = 20_000
 MAX_GROUP = 60_000
 QUEUE_BYTES = 48 << 20
 
-MATCH = "key long, content long, a int, b int, src_doc long, src_tag long, src_start long"
+MATCH = ("key long, content long, "
+         "spans array<struct<a:int,b:int,src:struct<src_doc:bigint,src_tag:bigint,src_start:bigint>>>")
 
 
 def sources(table: pa.Table, length: int, memory: int = QUEUE_BYTES) -> pa.Table:
-    """For every stretch, spans [a, b) of window starts and where those bytes stand first."""
+    """For every stretch one row with its spans [a, b) of window starts and where those bytes stand first."""
+    pairs = list(zip(table["key"].to_pylist(), table["content"].to_pylist()))
+    once = sorted(dict(zip(pairs, range(len(pairs)))).values())
+    table = table.take(pa.array(once, pa.int64()))  # rows that repeat a document bring its stretches again
     doc, tag, start = (table[c].to_numpy() for c in ("first_doc", "first_tag", "first_start"))
     order = np.lexsort((start, tag, doc))
     doc, tag, start = doc[order], tag[order], start[order]
@@ -72,10 +76,14 @@ def sources(table: pa.Table, length: int, memory: int = QUEUE_BYTES) -> pa.Table
     hi = np.append(cut, len(at)) if len(at) else cut
     s = seg[lo]
     o = seg_of[src[lo]]
-    cols = [key[s], content[s], (at[lo] - begin[s]).astype(np.int32), (at[lo] - begin[s] + hi - lo).astype(np.int32),
-            doc[o], tag[o], start[o] + src[lo] - begin[o]]
-    return pa.table([pa.array(c) for c in cols],
-                    names=["key", "content", "a", "b", "src_doc", "src_tag", "src_start"])
+    src_place = pa.StructArray.from_arrays([pa.array(c.astype(np.int64)) for c in (doc[o], tag[o], start[o] + src[lo] - begin[o])],
+                                           ["src_doc", "src_tag", "src_start"])
+    spans = pa.StructArray.from_arrays([pa.array((at[lo] - begin[s]).astype(np.int32)),
+                                        pa.array((at[lo] - begin[s] + hi - lo).astype(np.int32)), src_place], ["a", "b", "src"])
+    # the spans stand in the order of the stretches, each of which has at least one
+    offsets = np.searchsorted(s, np.arange(len(size) + 1))
+    return pa.table([pa.array(key), pa.array(content), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans)],
+                    names=["key", "content", "spans"])
 
 
 def cut_bytes(batch):
@@ -93,7 +101,9 @@ def cut_bytes(batch):
 
 def duplicate_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_runs: int = SHARD_RUNS,
                     max_group: int = MAX_GROUP) -> DataFrame:
-    """doc, tag, a, b, src_doc, src_start: bytes ``a`` to ``b`` stand earlier at the source."""
+    """doc, tag, spans: bytes ``a`` to ``b`` of every span stand earlier, at ``src_start`` of ``src_doc``.
+
+    At most one row a run of windows."""
     C.prepare(docs.sparkSession)
     unit = R.Unit("byte", length, gram)
     base = R.base(docs)
@@ -110,10 +120,17 @@ def duplicate_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
 
     matches = cut.withColumn("shard", F.pmod("key", F.lit(shards))).groupBy("shard").applyInArrow(shard, MATCH)
     start, tag = R.start_of("place"), R.tag_of("place")
-    here = F.struct("doc", tag.alias("tag"), (start + F.col("a")).alias("at"))
-    return (found.join(matches, ["key", "content"]).where(F.struct("src_doc", "src_tag", "src_start") < here)
-            .select("doc", tag.alias("tag"), (start + F.col("a")).alias("a"),
-                    (start + F.col("b") + F.lit(length - 1)).alias("b"), "src_doc", "src_start"))
+
+    def earlier(span):
+        return span.src < F.struct(F.col("doc").alias("src_doc"), tag.alias("src_tag"), (start + span.a).alias("src_start"))
+
+    def moved(span):
+        return F.struct((start + span.a).alias("a"), (start + span.b + F.lit(length - 1)).alias("b"),
+                        span.src.src_doc.alias("src_doc"), span.src.src_start.alias("src_start"))
+
+    return (found.join(matches, ["key", "content"])
+            .select("doc", tag.alias("tag"), F.transform(F.filter("spans", earlier), moved).alias("spans"))
+            .where(F.size("spans") > 0))
 
 
 def remove_duplicate_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
@@ -125,7 +142,9 @@ def remove_duplicate_substrings(docs: DataFrame, length: int = LENGTH, gram: int
     bytes), and with ``carry`` also ``row``, a struct of all input columns.
     """
     spans = duplicate_spans(docs, length, gram, shard_runs, max_group)
-    per_doc = spans.groupBy("doc", "tag").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    ends = F.transform("spans", lambda span: F.struct(span.a.alias("a"), span.b.alias("b")))
+    per_doc = (spans.select("doc", "tag", ends.alias("spans"))
+               .groupBy("doc", "tag").agg(F.flatten(F.collect_set("spans")).alias("spans")))
     rows = docs.where("doc_id is not null")
     base = rows.select(F.struct("*").alias("row"), *R.columns()) if carry else R.base(docs)
     rest = docs.where("doc_id is null").select(
