@@ -87,12 +87,36 @@ UNIT_CODES = np.sort(np.array([int(C.Stretches(C.BYTE_CODES[np.frombuffer(u.enco
 CAPITAL = np.array([chr(c).isupper() for c in range(1 << 16)])
 
 
-def code_points(b: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The characters that start at bytes ``at`` (those above 65,535 as 0)."""
-    padded = np.concatenate((b, np.zeros(3, np.uint8))).astype(np.int64)
-    one, two, three = (padded[at + k] for k in range(3))
-    return np.select([one < 0x80, one < 0xE0, one < 0xF0],
-                     [one, (one & 0x1F) << 6 | two & 0x3F, (one & 0x0F) << 12 | (two & 0x3F) << 6 | three & 0x3F], 0)
+ENDS = np.zeros(256, bool)
+ENDS[[ord(c) for c in ".!?:"]] = True
+
+
+def capitals(b: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a capital starts at bytes ``at`` (characters above 65,535 are none)."""
+    first = b[at]
+    out = CAPITAL[first] & (first < 0x80)
+    wide = np.flatnonzero((first >= 0xC0) & (first < 0xF0))
+    if len(wide):
+        one, two, three = (b[np.minimum(at[wide] + k, len(b) - 1)].astype(np.int64) for k in range(3))
+        out[wide] = CAPITAL[np.where(one < 0xE0, (one & 0x1F) << 6 | two & 0x3F,
+                                     (one & 0x0F) << 12 | (two & 0x3F) << 6 | three & 0x3F)]
+    return out
+
+
+def trimmed(b: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words without up to 8 marks at the end, then at the start; one byte stays."""
+    s, e = s.copy(), e.copy()
+    for ends in (True, False):
+        left = np.arange(len(s))
+        for _ in range(8):
+            left = left[(e[left] - s[left] > 1) & PUNCTUATION[b[e[left] - 1 if ends else s[left]]]]
+            if not len(left):
+                break
+            if ends:
+                e[left] -= 1
+            else:
+                s[left] += 1
+    return s, e
 
 
 def template(data: bytes, fold_case: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -100,26 +124,19 @@ def template(data: bytes, fold_case: bool) -> tuple[np.ndarray, np.ndarray, np.n
     b, starts, ends = C.word_spans(data)
     if not len(starts):
         return np.empty(0, C.U64), np.empty(0, np.int8), np.empty(0, C.U64), np.empty(0, C.U64), np.empty(0, bool)
-    s, e = starts.copy(), ends.copy()
-    for _ in range(8):
-        trim = (e - s > 1) & PUNCTUATION[b[e - 1]]
-        if not trim.any():
-            break
-        e -= trim
-    for _ in range(8):
-        trim = (e - s > 1) & PUNCTUATION[b[s]]
-        if not trim.any():
-            break
-        s += trim
+    s, e = trimmed(b, starts, ends)
     value = C.Stretches(C.BYTE_CODES[LOWER[b]]).hash(s, e)
-    digits = np.concatenate(([0], np.cumsum((b >= 48) & (b <= 57))))
-    number = digits[e] > digits[s]
-    after = np.concatenate(([False], number[:-1]))
-    unit = after & ~number & (UNIT_CODES[np.minimum(np.searchsorted(UNIT_CODES, value), len(UNIT_CODES) - 1)] == value)
-    capital = CAPITAL[code_points(b, s)]
-    lines = np.concatenate(([0], np.cumsum(b == 10)))
-    opens = np.ones(len(s), bool)
-    opens[1:] = np.isin(b[ends[:-1] - 1], np.frombuffer(b".!?:", np.uint8)) | (lines[starts[1:]] > lines[starts[:-1]])
+    number, unit, opens = (np.zeros(len(s), bool) for _ in range(3))
+    digits = np.flatnonzero((b >= 48) & (b <= 57))
+    if len(digits):
+        number = np.searchsorted(digits, e) > np.searchsorted(digits, s)
+        after = np.flatnonzero(number[:-1] & ~number[1:]) + 1
+        unit[after] = UNIT_CODES[np.minimum(np.searchsorted(UNIT_CODES, value[after]), len(UNIT_CODES) - 1)] == value[after]
+    capital = capitals(b, s)
+    opens[0] = True
+    opens[1:] = ENDS[b[ends[:-1] - 1]]
+    line = np.searchsorted(starts, np.flatnonzero(b == 10))  # the word after every line's end
+    opens[line[line < len(s)]] = True
     kind = np.where(number, NUMBER, np.where(unit, UNIT, np.where(capital & ~opens, NAME, 0))).astype(np.int8)
     word = value if fold_case else C.Stretches(C.BYTE_CODES[b]).hash(s, e)
     return np.where(kind > 0, SLOT_CODE[kind], value), kind, value, word, capital & (kind == 0)
@@ -136,19 +153,20 @@ def windows(data: bytes, sizes, least_key: int, least_item: int, fold_case: bool
     slots, openers = (np.concatenate(([0], np.cumsum(x))) for x in (kind > 0, maybe))
     out = []
 
-    def add(h, at, size, as_is, opened):
-        out.append((C.mix(h + np.uint64(size)), at, np.full(len(at), size), np.full(len(at), as_is), np.full(len(at), opened)))
+    def add(of, at, size, as_is, opened):
+        h = (of.sums[at + size] - of.sums[at]) * of.inv[at]
+        out.append((C.mix(h + np.uint64(size) + (AS_IS if as_is else np.uint64(0))), at, np.full(len(at), size),
+                    np.full(len(at), as_is), np.full(len(at), opened)))
 
     for size in sizes:
         if len(code) >= size:
             at = np.arange(len(code) - size + 1)
-            add(words.hash(at, at + size) + AS_IS, at, size, True, False)
+            add(words, at, size, True, False)
             if size >= least_item:
-                plain = size - (slots[at + size] - slots[at])
-                may = openers[at + size] - openers[at]
-                plainly, opened = at[plain >= least_key], at[(may > 0) & (plain - may >= least_key)]
-                add(prefix.hash(plainly, plainly + size), plainly, size, False, False)
-                add(names.hash(opened, opened + size), opened, size, False, True)
+                plain = size - (slots[size:] - slots[:-size])
+                may = openers[size:] - openers[:-size]
+                add(prefix, at[plain >= least_key], size, False, False)
+                add(names, at[(may > 0) & (plain - may >= least_key)], size, False, True)
     if not out:
         none = np.empty(0, np.int64)
         return np.empty(0, C.U64), none, none, np.empty(0, bool), np.empty(0, bool), kind, value, maybe
