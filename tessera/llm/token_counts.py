@@ -11,8 +11,10 @@ vocabulary that drops white space (``drops_space``) counts every word by
 itself, so runs of white space become one space and those at the ends go; its
 own lower-casing stays with the library, as strings like ``<|endoftext|>`` are
 special in lower case only.  Other vocabularies get the text as it is.  For
-the first kind a task encodes every distinct word of a few texts once and adds
-up.
+the first kind a task encodes every distinct piece of its texts once and adds
+up: words, cut where one of ``.,;:!?`` follows an ASCII letter or digit, as
+the vocabulary's pattern cuts there anyway, and those of ASCII letters and
+digits only in lower case.
 
 Texts meet by digest after a partial aggregate, so copies travel once a task.
 If the cache holds anything, only texts still missing travel.  Counts are
@@ -30,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,6 +46,11 @@ from . import common as C
 LIMIT = 2048
 REMEMBERED = 300_000
 
+# fixed value: the pattern by which the vocabulary that drops white space finds its words
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+MARKS = ".,;:!?"
+BEFORE_MARK = re.compile(rf"(?<=[A-Za-z0-9])(?=[{MARKS}])")
+
 COUNTS = "digest binary, n_tokens long"
 
 
@@ -68,9 +76,12 @@ class Vocabulary:
         splits = (own.get("pre_tokenizer") or {}).get("pretokenizers", [])
         one_space = any(s.get("type") == "Replace" and s.get("pattern") == {"Regex": r"\s+"} and s.get("content") == " "
                         for s in steps)
-        words = any(s.get("type") == "Split" and s.get("behavior") == "Removed" and s.get("invert") for s in splits)
-        apart = not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in own.get("added_tokens", []))
-        return Vocabulary("tokenizers", data, one_space and words and apart)
+        words = any(s.get("type") == "Split" and s.get("behavior") == "Removed" and s.get("invert")
+                    and s.get("pattern") == {"Regex": WORDS} for s in splits)
+        lower = any(s.get("type") == "Lowercase" for s in steps)
+        apart = not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or set(t["content"]) & set(MARKS + " ")
+                        for t in own.get("added_tokens", []))
+        return Vocabulary("tokenizers", data, one_space and words and lower and apart)
 
     @property
     def version(self) -> str:
@@ -109,21 +120,33 @@ def cached(spark: SparkSession, folder: str) -> DataFrame | None:
     return spark.read.schema(COUNTS).parquet(folder)
 
 
+def pieces(text: str) -> list[str]:
+    """Parts of a normalised text that are counted apart, for a vocabulary that drops white space."""
+    return BEFORE_MARK.sub(" ", text).split(" ") if text else []
+
+
+def same_count(piece: str) -> str:
+    """A piece with the same tokens as this one."""
+    return piece.lower() if piece.isascii() and piece.isalnum() else piece
+
+
 def encoded(contents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(digest, n_tokens) of (digest, content) rows."""
     def run(batches):
         encode, known = vocabulary.encoder(), {}
 
-        def by_word(texts):
-            words_of = [t.split(" ") if t else [] for t in texts]
-            new = [w for w in {w for words in words_of for w in words} if w not in known]
+        def by_piece(texts):
+            pieces_of = [pieces(t) for t in texts]
+            new = {x for some in pieces_of for x in some if x not in known}
             if len(known) + len(new) > REMEMBERED:  # memory only: they are encoded anew
                 known.clear()
-                new = list({w for words in words_of for w in words})
-            known.update(zip(new, encode(new)))
-            return [sum(map(known.__getitem__, words)) for words in words_of]
+                new = {x for some in pieces_of for x in some}
+            forms = list({f for x in new if (f := same_count(x)) not in known})
+            known.update(zip(forms, encode(forms)))
+            known.update([(x, known[same_count(x)]) for x in new])
+            return [sum(map(known.__getitem__, some)) for some in pieces_of]
 
-        count = by_word if vocabulary.drops_space else encode
+        count = by_piece if vocabulary.drops_space else encode
         for whole in batches:
             for at in range(0, whole.num_rows, C.BATCH_ROWS):
                 batch = whole.slice(at, C.BATCH_ROWS)
