@@ -30,15 +30,31 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of every group linked on five-word shingles at 0.8.
 
-    Rows that repeat a kept doc_id stay once; rows without a doc_id stay.
+    Rows that share a doc_id but not the text are documents of their own, the
+    one with the smaller text hash first; rows with equal doc_id and text stay
+    once, whichever of them; rows without a doc_id stay; an empty table stays
+    empty.
     """
-    components = jaccard.jaccard_components(docs.select("doc_id", "text"), SHINGLE_WORDS, PERCENT)
-    dropped = components.where("node <> component").select(F.col("node").alias("doc_id"))
-    kept = docs.join(C.small_side(dropped), "doc_id", "left_anti").select(*C.columns(docs.columns))
-    ids = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
-    if ids.where("n > 1").isEmpty():
-        return kept
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+    text_hash = F.xxhash64("text")
+    known = docs.where("doc_id is not null")
+    of_id = C.stored(known.groupBy("doc_id").agg(F.count("*").alias("n"), F.min(text_hash).alias("lo"), F.max(text_hash).alias("hi"))
+                     .where("n > 1"))
+    if of_id.where("lo <> hi").isEmpty():
+        nodes, rows = docs.select("doc_id", "text"), docs.withColumn("__node", F.col("doc_id"))
+    else:
+        # (doc_id, text) in order, so that the smallest number of a group is its smallest doc_id
+        order = [F.col("__id"), F.col("__hash")]
+        numbers = C.stored(known.select(F.col("doc_id").alias("__id"), text_hash.alias("__hash")).distinct()
+                           .repartitionByRange(*order).sortWithinPartitions(*order)
+                           .withColumn("__node", F.monotonically_increasing_id()))
+        rows = docs.join(numbers, (F.col("doc_id") == F.col("__id")) & (text_hash == F.col("__hash")), "left")
+        nodes = rows.select(F.col("__node").alias("doc_id"), "text")
+    components = jaccard.jaccard_components(nodes, SHINGLE_WORDS, PERCENT)
+    dropped = C.stored(components.where("node <> component").select(F.col("node").alias("__node")))
+    kept = rows.join(C.small_side(dropped), "__node", "left_anti")
+    if not of_id.isEmpty():
+        kept = kept.where("__node is not null").dropDuplicates(["__node"]).unionByName(kept.where("__node is null"))
+    return kept.select(*C.columns(docs.columns))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +79,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents that hold no benchmark item, as it is or re-parameterised."""
     found = decontaminate.contaminated(docs.select("doc_id", "text"), C.read(spark, sf_dir, "benchmark"),
                                        fold_case=True)
-    ids = C.small_side(found.select("doc_id").distinct())
+    ids = C.small_side(C.stored(found.select("doc_id").distinct()))
     return docs.join(ids, "doc_id", "left_anti").select(*C.columns(docs.columns))
 
 
