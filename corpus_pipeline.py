@@ -30,8 +30,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of every group linked on five-word shingles at 0.8.
 
-    Rows that share a doc_id but not the text are documents of their own, the
-    one with the smaller text hash first; rows with equal doc_id and text stay
+    Rows that share a doc_id but not the text are documents of their own; in a
+    group they come after those whose doc_id names one text, and among
+    themselves by doc_id and text hash.  Rows with equal doc_id and text stay
     once, whichever of them; rows without a doc_id stay; an empty table stays
     empty.
     """
@@ -39,14 +40,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     known = docs.where("doc_id is not null")
     of_id = C.stored(known.groupBy("doc_id").agg(F.count("*").alias("n"), F.min(text_hash).alias("lo"), F.max(text_hash).alias("hi"))
                      .where("n > 1"))
-    if of_id.where("lo <> hi").isEmpty():
+    shared = of_id.where("lo <> hi").select(F.col("doc_id").alias("__shared"))
+    if shared.isEmpty():
         nodes, rows = docs.select("doc_id", "text"), docs.withColumn("__node", F.col("doc_id"))
     else:
-        # (doc_id, text) in order, so that the smallest number of a group is its smallest doc_id
-        order = [F.col("__id"), F.col("__hash")]
-        numbers = C.stored(known.select(F.col("doc_id").alias("__id"), text_hash.alias("__hash")).distinct()
+        # numbers in this order, so that the smallest of a group is the one to stay
+        order = [F.col("__shared").isNotNull(), F.col("__id"), F.col("__hash")]
+        texts = known.select(F.col("doc_id").alias("__id"), text_hash.alias("__hash")).distinct()
+        numbers = C.stored(texts.join(shared, F.col("__id") == F.col("__shared"), "left")
                            .repartitionByRange(*order).sortWithinPartitions(*order)
-                           .withColumn("__node", F.monotonically_increasing_id()))
+                           .select("__id", "__hash", F.monotonically_increasing_id().alias("__node")))
         rows = docs.join(numbers, (F.col("doc_id") == F.col("__id")) & (text_hash == F.col("__hash")), "left")
         nodes = rows.select(F.col("__node").alias("doc_id"), "text")
     components = jaccard.jaccard_components(nodes, SHINGLE_WORDS, PERCENT)
