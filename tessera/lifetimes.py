@@ -39,11 +39,19 @@ class Scope:
         self.frames: list[DataFrame] = []
         self.folders: list[str] = []
         self.tables: list[str] = []
+        self.before = set(_persistent(spark))
 
     def release(self) -> None:
-        """Unpersist, drop and delete; what is gone already is no error."""
+        """Unpersist, drop and delete; what is gone already is no error.
+
+        Some fits and summaries of the model library persist an RDD that only
+        they know; what appeared since the scope began goes too.
+        """
         while self.frames:
             self.frames.pop().unpersist(blocking=True)
+        for key, rdd in _persistent(self.spark).items():
+            if key not in self.before:
+                rdd.unpersist(True)
         while self.tables:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.tables.pop()}")
         while self.folders:
@@ -51,6 +59,11 @@ class Scope:
             files.delete(path, True)
 
 
+def _persistent(spark: SparkSession) -> dict:
+    """The session's persisted RDDs by number."""
+    return dict(spark.sparkContext._jsc.getPersistentRDDs())
+
+
 def _path(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
