@@ -169,10 +169,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     unit = R.Unit("word", length, gram)
     base = R.base(docs)
     found = R.candidates(base, unit, True, max_group)
-    distinct = (found.groupBy("key", "content")
-                .agg(F.min(F.struct("doc", "place")).alias("f"), F.max("doc").alias("last_doc"))
-                .select("key", "content", "f.*", "last_doc"))
-    shards = max(1, -(-found.count() // shard_runs))
+    distinct, windows = R.contents(found, base, unit, max_group, last_doc=True)
+    shards = max(1, -(-(found.count() + (0 if windows is None else windows.count())) // shard_runs))
     lists = R.stretches_by_document(distinct, unit, "last_doc")
     cut = C.map_arrow(base.join(lists, ["doc", "tag"]).select("doc", "text", "runs"), cut_words,
                       "key long, content long, first_doc long, last_doc long, words binary")
@@ -182,6 +180,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
 
     matches = (cut.withColumn("shard", F.pmod("key", F.lit(shards)))
                .groupBy("shard").applyInArrow(shard, MATCH))
+    if windows is not None:
+        matches = C.stored(matches)
+        span = [F.col(c) for c in ("a", "b", "origin")]
+        matches = matches.unionByName(R.of_contents(matches, windows, span, [F.col("s.origin").alias("origin")]))
     start = R.start_of("place")
 
     def moved(span):

@@ -7,8 +7,8 @@ the common prefixes.  Neighbours that share ``length`` bytes or more start
 equal windows; the first of each such group in document order is its source.
 
 The number of shards follows the data, equal stretches collapse before they
-are shuffled with their text, and a key with very many runs is taken apart
-into windows, so no shard holds an unbounded group.
+are shuffled with their text, and a key with very many distinct stretches is
+taken apart into windows, so no shard holds an unbounded group.
 
 Defined results: null and empty texts, and texts under ``length`` bytes, lose
 nothing; matches never cross documents; rows with a null doc_id stay as they
@@ -108,9 +108,8 @@ def duplicate_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
     unit = R.Unit("byte", length, gram)
     base = R.base(docs)
     found = R.candidates(base, unit, False, max_group)
-    distinct = (found.groupBy("key", "content").agg(F.min(F.struct("doc", "place")).alias("f"))
-                .select("key", "content", "f.*"))
-    shards = max(1, -(-found.count() // shard_runs))
+    distinct, windows = R.contents(found, base, unit, max_group)
+    shards = max(1, -(-(found.count() + (0 if windows is None else windows.count())) // shard_runs))
     lists = R.stretches_by_document(distinct, unit)
     cut = C.map_arrow(base.join(lists, ["doc", "tag"]).select("doc", "tag", "text", "runs"), cut_bytes,
                       "key long, content long, first_doc long, first_tag long, first_start long, bytes binary")
@@ -119,6 +118,12 @@ def duplicate_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
         return sources(table, length)
 
     matches = cut.withColumn("shard", F.pmod("key", F.lit(shards))).groupBy("shard").applyInArrow(shard, MATCH)
+    if windows is not None:
+        matches = C.stored(matches)
+        src = F.col("s.src")
+        origin = [src.src_doc.alias("src_doc"), src.src_tag.alias("src_tag"), (src.src_start - F.col("off")).alias("from")]
+        place = F.struct("src_doc", "src_tag", (F.col("from") + F.col("a")).alias("src_start"))
+        matches = matches.unionByName(R.of_contents(matches, windows, [F.col("a"), F.col("b"), place.alias("src")], origin))
     start, tag = R.start_of("place"), R.tag_of("place")
 
     def earlier(span):

@@ -79,6 +79,34 @@ def test_repeated_rows_add_no_spans_beyond_their_own(spark):
     assert counts[1] <= 4.5 * counts[0]  # in proportion to the rows
 
 
+@pytest.mark.parametrize("max_group", [60, 30, 3])
+def test_a_key_that_many_share_brings_one_row_a_run(spark, max_group):
+    """40 texts share a passage whose edges differ; 20 more are copies of one of them."""
+    rnd = random.Random(5)
+    passage = prose(rnd, 40)
+    texts = [f"{prose(rnd, 12)} {passage} {prose(rnd, 12)}" for _ in range(40)]
+    rows = list(enumerate(texts + [texts[7]] * 20))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    base = recurring.base(docs)
+    runs = recurring.candidates(base, recurring.Unit("byte", 100, 20), False, 10 ** 9).count()
+    assert substrings.duplicate_spans(docs, max_group=max_group).count() <= runs
+    seen, want = set(), {}
+    for d, t in rows:
+        gone = set()
+        for i in range(len(t) - 99):
+            if t[i:i + 100] in seen:
+                gone.update(range(i, i + 100))
+            seen.add(t[i:i + 100])
+        want[d] = len(gone)
+    out = substrings.remove_duplicate_substrings(docs, max_group=max_group)
+    assert {r.doc_id: r.n_removed for r in out.collect()} == want
+
+    runs = recurring.candidates(base, recurring.Unit("word", 20, 5), True, 10 ** 9).count()
+    assert phrases.repeated_spans(docs, 20, 5, max_group=max_group).count() <= runs
+    out = phrases.remove_repeated_phrases(docs, 20, 5, max_group=max_group)
+    assert collections.Counter((r.doc_id, r.n_words, r.n_removed) for r in out.collect()) == brute_removed(rows, 20)
+
+
 # --- op7 -------------------------------------------------------------------------
 
 def found(spark, rows, items, **more):
