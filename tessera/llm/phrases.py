@@ -4,15 +4,18 @@
    are found among the candidate runs of ``recurring``; each belongs to the
    smallest doc_id that has it, and neighbouring ones merge into passages.
 2. *Compile*: per shard one Aho-Corasick automaton over the passages, each word
-   coded as a character or two.  A passage is entered as its blocks of
-   ``length // 2`` words: every window holds one whole block, so the automaton
-   has one node a word instead of ``length``.
+   coded as a character or two.  Of every window of a passage the phrase of
+   ``length // 2`` words that is rarest in the shard is entered: neighbouring
+   windows mostly share it, so the automaton has few nodes a word instead of
+   ``length``, and near copies are not hit for what all of them have.
 3. *Stream*: the distinct candidate stretches of all documents run through the
-   automaton; every block hit is extended to the longest match with its
-   passage, and matches of ``length`` words or more are the occurrences.
+   automaton; every hit is extended to the longest match with its passage, and
+   matches of ``length`` words or more are the occurrences.
 
 Shards are hashes of the window key, so their number follows the data and no
-document is streamed past a shard that cannot hold one of its windows.
+document is streamed past a shard that cannot hold one of its windows.  A key
+with more than ``max_group`` distinct stretches is taken apart into windows
+(``recurring.contents``), so that no task holds an unbounded group.
 
 Defined results: null or empty texts and texts under ``length`` words lose
 nothing; rows with a null doc_id are neither earlier nor later than others and
@@ -23,6 +26,8 @@ windows but in the smallest id; extra columns of any name are carried along.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -35,7 +40,7 @@ from . import recurring as R
 LENGTH = 50
 GRAM = 10
 SHARD_RUNS = 8_000
-MAX_GROUP = 60_000
+MAX_GROUP = 16_000  # a shard of 60,000 stretches was measured at 870 MB of a task's memory
 
 MATCH = "key long, content long, spans array<struct<a:int,b:int,origin:long>>"
 
@@ -45,7 +50,7 @@ class Coder:
 
     HIGH, LOW, DIGITS = 0x20000, 0x10000, 0x10000  # disjoint ranges: no match can start inside a word
 
-    def __init__(self, segments: list[list[bytes]]):
+    def __init__(self, segments: Iterable[list[bytes]]):
         ids: dict[bytes, int] = {}
         self.ids = [np.fromiter((ids.setdefault(w, len(ids)) for w in s), np.int64, len(s)) for s in segments]
         self.width = 1 if len(ids) <= self.DIGITS * 8 else 2
@@ -82,6 +87,29 @@ def recurring_passages(ids: list[np.ndarray], first: np.ndarray, last: np.ndarra
     return [(int(seg[p[0]]), int(off[p[0]]), int(off[p[-1]]) + length) for p in np.split(idx, breaks)]
 
 
+def rare_phrases(ids: list[np.ndarray], passages: list[tuple[int, int, int]], length: int, size: int):
+    """(passage, offset) of the phrases to enter: of every window of ``length``
+    words the one of ``size`` words that stands in the shard least often."""
+    n = np.array([len(x) for x in ids])
+    begin = np.cumsum(n) - n
+    flat = np.concatenate(ids)
+    sums = C.Stretches(C.mix(flat.astype(np.uint64) + np.uint64(1)))
+    at = np.arange(len(flat) - size + 1)
+    h = sums.hash(at, at + size)  # also of phrases across two stretches, which no passage has
+    _, which, times = np.unique(h, return_inverse=True, return_counts=True)
+    rare = (np.minimum(times, 1 << 23).astype(np.uint64)[which] << C.U64(40)) | (h >> C.U64(24))
+    seg, a, b = np.array(passages).T
+    each = b - a - size + 1
+    of = np.repeat(np.arange(len(each)), each)
+    off = np.arange(len(of)) - np.repeat(np.cumsum(each) - each, each)
+    value = rare[(begin[seg] + a)[of] + off]
+    w = length - size + 1
+    least = np.append(C.sliding_min(value, w), np.zeros(w - 1, C.U64))
+    least[off >= (each - w + 1)[of]] = 0  # windows that would reach into the next passage
+    wanted = ~C.sliding_min(~np.append(np.zeros(w - 1, C.U64), least), w) == value
+    return of[wanted].tolist(), off[wanted].tolist()
+
+
 def extend(text: str, passage: str, delta: int, hit: int, size: int) -> tuple[int, int]:
     """The longest stretch around ``text[hit:hit + size]`` equal to the passage laid at ``delta``."""
     lo, hi = max(0, delta), min(len(text), delta + len(passage))
@@ -109,34 +137,31 @@ def locate(table: pa.Table, length: int) -> pa.Table:
     pairs = list(zip(table["key"].to_pylist(), table["content"].to_pylist()))
     once = list(dict(zip(reversed(pairs), range(len(pairs) - 1, -1, -1))).values())
     table = table.take(pa.array(once[::-1], pa.int64()))  # rows that repeat a document bring its stretches again
-    segments = [s.split() for s in table["words"].to_pylist()]
     first, last = table["first_doc"].to_numpy(), table["last_doc"].to_numpy()
-    coder = Coder(segments)
-    w, block = coder.width, length // 2
-    passages, starts = [], {}
-    for seg, a, b in recurring_passages(coder.ids, first, last, length):
-        text = coder.text(coder.ids[seg][a:b])
-        for k in range(0, b - a - block + 1, block):
-            starts.setdefault(text[k * w:(k + block) * w], []).append((len(passages), k * w))
-        passages.append((text, int(first[seg])))
+    coder = Coder(s.split() for s in table["words"].to_pylist())
+    w, size = coder.width, length // 2
+    found, starts = recurring_passages(coder.ids, first, last, length), {}
+    passages = [(coder.text(coder.ids[seg][a:b]), int(first[seg])) for seg, a, b in found]
     key, content, out = table["key"].to_pylist(), table["content"].to_pylist(), []
-    if starts:
+    if found:
+        for p, k in zip(*rare_phrases(coder.ids, found, length, size)):
+            starts.setdefault(passages[p][0][k * w:(k + size) * w], []).append((p, k * w))
         automaton = ahocorasick.Automaton()
         for phrase, places in starts.items():
             automaton.add_word(phrase, places)
         automaton.make_automaton()
         for i, ids in enumerate(coder.ids):
-            text, seen, spans = coder.text(ids), set(), set()
+            text, reached, spans = coder.text(ids), {}, set()
             for end, places in automaton.iter(text):
-                hit = end + 1 - block * w
+                hit = end + 1 - size * w
                 for p, k in places:
-                    if (p, hit - k, hit) in seen:
+                    # other phrases of a match need no second look
+                    if passages[p][1] >= last[i] or reached.get((p, hit - k), 0) > end:
                         continue
-                    a, b = extend(text, passages[p][0], hit - k, hit, block * w)
+                    a, b = extend(text, passages[p][0], hit - k, hit, size * w)
                     a, b = -(-a // w) * w, b // w * w
-                    # other blocks of this match need no second look
-                    seen.update((p, hit - k, x) for x in range(hit, b, block * w))
-                    if b - a >= length * w and passages[p][1] < last[i]:
+                    reached[p, hit - k] = b
+                    if b - a >= length * w:
                         spans.add((a // w, b // w, passages[p][1]))
             if spans:
                 out.append((key[i], content[i], widest(spans)))

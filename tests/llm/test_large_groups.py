@@ -4,6 +4,7 @@ repeated passages, duplicate bytes, benchmark windows that many share, ids that
 import collections
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,6 +64,34 @@ def test_widest_spans_cover_all_for_every_reader():
             assert cover[0] == cover[1]
 
 
+@pytest.mark.parametrize("length", [20, 21])
+def test_near_copies_are_not_compared_with_one_another(monkeypatch, length):
+    """120 near copies, each in two documents: a text is compared with passages that it holds, not with all."""
+    rnd = random.Random(length)
+    base, texts = prose(rnd, 70).split(), []
+    for i in range(120):
+        w = list(base)
+        w[rnd.randrange(len(w))] = f"edit{i}"
+        texts.append(w)
+    table = pa.table({"key": [1] * 120, "content": list(range(120)), "first_doc": list(range(0, 240, 2)),
+                      "last_doc": list(range(1, 241, 2)), "words": [" ".join(w).encode() for w in texts]})
+    calls, extend = [], phrases.extend
+    monkeypatch.setattr(phrases, "extend", lambda *a: calls.append(1) or extend(*a))
+    out = phrases.locate(table, length).to_pylist()
+    first = {}
+    for d, w in enumerate(texts):
+        for i in range(len(w) - length + 1):
+            first.setdefault(tuple(w[i:i + length]), 2 * d)
+    assert len(out) == 120
+    for row in out:
+        w = texts[row["content"]]
+        for reader in (2 * row["content"], 2 * row["content"] + 1):
+            want = {j for i in range(len(w) - length + 1) if first[tuple(w[i:i + length])] < reader
+                    for j in range(i, i + length)}
+            assert {j for s in row["spans"] if s["origin"] < reader for j in range(s["a"], s["b"])} == want
+    assert len(calls) <= 12 * sum(len(row["spans"]) for row in out)
+
+
 # --- op9 -------------------------------------------------------------------------
 
 def test_repeated_rows_add_no_spans_beyond_their_own(spark):
