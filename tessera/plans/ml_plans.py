@@ -512,7 +512,7 @@ def m24_validator_as_last_stage(spark, d, forest_grid=FOREST_GRID):
               TrainValidationSplit(estimator=clf, estimatorParamMaps=grid, seed=54321, parallelism=4,
                                    evaluator=MulticlassClassificationEvaluator(labelCol="star_rating",
                                                                                metricName="accuracy"))]
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = TU.spread_rows(train, "id").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = Pipeline(stages=stages).fit(train)
     finally:

@@ -164,3 +164,24 @@ def test_validator_stage_tunes_the_grid_it_is_given(spark):
     assert default == {"maxDepth": [5, 10, 20], "numTrees": [20, 50, 100], "subsamplingRate": [0.5, 1.0]}
     one = P.m24_validator_as_last_stage(spark, SF_SMALL, {"maxDepth": [2], "numTrees": [3], "subsamplingRate": [1.0]})
     assert [(r.max_depth, r.num_trees, r.subsampling_rate) for r in one.collect()] == [(2, 3, 1.0)]
+
+
+def test_validator_stage_fits_on_all_cores(spark, monkeypatch):
+    """Rows that a join leaves in one partition are dealt over the cores, none lost, in an order of their own."""
+    from pyspark.ml.classification import RandomForestClassifier
+
+    from tests.conftest import SF_SMALL
+
+    from tessera.ml import tuning as TU
+    from tessera.plans import ml_plans as P
+
+    seen, fit = [], RandomForestClassifier._fit
+    monkeypatch.setattr(RandomForestClassifier, "_fit",
+                        lambda self, data: seen.append(data.rdd.getNumPartitions()) or fit(self, data))
+    monkeypatch.setattr(TU, "LEAST_ROWS", 50, raising=False)
+    P.m24_validator_as_last_stage(spark, SF_SMALL, {"maxDepth": [2], "numTrees": [3], "subsamplingRate": [1.0]}).collect()
+    assert seen and min(seen) >= min(8, spark.sparkContext.defaultParallelism)
+    one = spark.range(1000).coalesce(1)
+    dealt = TU.spread_rows(one, "id")
+    parts = dealt.rdd.glom().map(lambda rows: [r.id for r in rows]).collect()
+    assert sorted(x for p in parts for x in p) == list(range(1000)) and all(p == sorted(p) for p in parts)
