@@ -308,3 +308,23 @@ def test_stages_on_an_empty_table(spark, tmp_path):
         assert out.count() == 0, name
         assert name == "mixing" or out.columns == empty.columns
     assert P.run(spark, str(tmp_path)).count() == 0
+
+
+# --- Arrow batches -----------------------------------------------------------------
+
+def test_arrow_batches_of_texts_are_bounded_in_bytes(spark):
+    def size(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [b.nbytes]})
+
+    common.prepare(spark)
+    docs = spark.range(0, 4000, 1, 1).select("id", F.repeat(F.lit("x"), 2000).alias("text"))
+    for rows in (docs, docs.select(F.struct("*").alias("row"))):
+        sizes = [r.bytes for r in rows.mapInArrow(size, "bytes long").collect()]
+        assert sum(sizes) >= 8_000_000 and max(sizes) < 2_000_000
+    spark.conf.set(common.ARROW_BYTES, "3m")  # a bound of the session's own stays
+    try:
+        common.prepare(spark)
+        assert spark.conf.get(common.ARROW_BYTES) == "3m"
+    finally:
+        spark.conf.unset(common.ARROW_BYTES)
