@@ -5,7 +5,8 @@ A suffix is *small* (S) or *large* (L) against the next one; the leftmost S
 suffixes after an L suffix (the *marks*) are sorted first, through the sequence
 of their substrings' names, recursively; the order of all others is induced
 from them with a queue that gives out suffix tuples by first symbol and order
-of arrival.  Each tuple carries its common prefix with the one before it.
+of arrival.  Each tuple carries its common prefix with the one before it.  Where
+the caller wants only some suffixes, only what induces them is carried along.
 
 The queue spills its blocks to an unlinked scratch file of the task (as
 Spark's own sorts do) once they pass a memory bound; no other task reads that
@@ -132,9 +133,26 @@ class Steps:
         return min(tail, between, int(lcp[:first + 1].min())) + 1
 
 
+def reached(wanted: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Flags of the suffixes through which the wanted ones are induced, from each of
+    these to before the next mark; and the next marks, where that begins.
+
+    Order and prefixes among them need no other suffix.
+    """
+    last = np.zeros(len(wanted), np.int32)
+    at = np.flatnonzero(wanted)
+    last[at] = at + 1
+    np.maximum.accumulate(last, out=last)
+    mark = np.repeat(np.append(0, marks + 1).astype(np.int32), np.diff(np.concatenate(([0], marks, [len(wanted)]))))
+    needed = last >= np.maximum(mark, 1)
+    after = marks[marks > 0]
+    return needed, after[needed[after - 1]]
+
+
 def induce(t: np.ndarray, small: np.ndarray, symbols: list[int], seeds, up: bool, memory: int,
-           run_length: np.ndarray | None) -> dict[int, np.ndarray]:
-    """One pass over the symbols: up, L tuples from the marks; down, S from L.
+           run_length: np.ndarray | None, needed: np.ndarray) -> dict[int, np.ndarray]:
+    """One pass over the symbols: up, L tuples from the marks; down, S from L;
+    of the ``needed`` suffixes only.
 
     ``seeds`` gives per symbol its (position; prefix) tuples in the order of
     the pass; a prefix is that with the tuple before in the pass.  Returns the
@@ -145,7 +163,7 @@ def induce(t: np.ndarray, small: np.ndarray, symbols: list[int], seeds, up: bool
     """
     queue, done, steps = BucketQueue(memory), {}, Steps()
     before = np.zeros_like(t)  # the symbol that a suffix induces, END for none
-    before[1:] = np.where(small[:-1] != up, t[:-1], END)
+    before[1:] = np.where((small[:-1] != up) & needed[:-1], t[:-1], END)
 
     def emit(tuples):
         pos, lcp = tuples
@@ -156,6 +174,7 @@ def induce(t: np.ndarray, small: np.ndarray, symbols: list[int], seeds, up: bool
             by = np.argsort(of, kind="stable")
             of = of[by]
             cuts = np.flatnonzero(of[1:] != of[:-1]) + 1
+            ext = None if run_length is None else np.append(lcp, BIG)
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(of)]):
                 idx, symbol = at[by[a:b]], int(of[a])
                 new = np.zeros((2, b - a), np.int64)
@@ -163,7 +182,7 @@ def induce(t: np.ndarray, small: np.ndarray, symbols: list[int], seeds, up: bool
                 if run_length is not None:
                     if b - a > 1:
                         bounds = np.stack([idx[:-1] + 1, idx[1:] + 1], 1).ravel()
-                        new[1, 1:] = np.minimum.reduceat(np.append(lcp, BIG), bounds)[::2] + 1
+                        new[1, 1:] = np.minimum.reduceat(ext, bounds)[::2] + 1
                     new[1, 0] = steps.since(symbol, lcp, int(idx[0]), int(idx[-1]))
                 queue.push(symbol, new)
         if run_length is not None:
@@ -231,6 +250,12 @@ def common_prefixes(t: np.ndarray, pos: np.ndarray) -> np.ndarray:
     return out
 
 
+def _by_value(x: np.ndarray) -> np.ndarray:
+    """Positions in the order of (value, position); values are whole numbers below about ``len(x)``."""
+    bits = len(x).bit_length()
+    return np.sort((x.astype(np.int64) << bits) | np.arange(len(x))) & ((1 << bits) - 1)
+
+
 def doubled_order(t: np.ndarray) -> np.ndarray:
     """Suffixes by rank doubling: the end of the recursion, for a short
     sequence over many names.  Positions of end marks are left out."""
@@ -240,13 +265,13 @@ def doubled_order(t: np.ndarray) -> np.ndarray:
 
     # a rank is the number of suffixes known to be smaller; only suffixes that
     # share theirs, and go on, are looked at again
-    order = np.argsort(t, kind="stable")
+    order = _by_value(t)
     heads = np.flatnonzero(np.append(True, t[order[1:]] != t[order[:-1]]))
     size = np.diff(np.append(heads, n))
     rank = np.empty(n, np.int64)
     rank[order] = np.repeat(heads, size)
     tied = order[np.repeat(size > 1, size)]
-    live = tied = tied[t[tied] != END]
+    live = tied[t[tied] != END]
     k = 1
     while len(live := live[reach[live] >= k]):
         second = np.zeros(len(live), np.int64)
@@ -263,39 +288,37 @@ def doubled_order(t: np.ndarray) -> np.ndarray:
         rank[live] = old + np.repeat(heads, size) - first
         live = live[np.repeat(size > 1, size)]
         k *= 2
-    order[rank] = np.arange(n)
-    again = tied[np.lexsort((tied, rank[tied]))]  # equal suffixes stand in order of position
-    old = rank[again]
-    group = np.flatnonzero(np.append(True, old[1:] != old[:-1]))[:len(again)]
-    order[old + np.arange(len(again)) - np.repeat(group, np.diff(np.append(group, len(again))))] = again
-    return order[len(ends):]
+    return _by_value(rank)[len(ends):]  # equal suffixes stand in order of position
 
 
 def sorted_marks(t: np.ndarray, small: np.ndarray, marks: np.ndarray, symbols: list[int], memory: int) -> np.ndarray:
-    """The marks (end marks left out) in the order of their suffixes."""
-    ends = marks[t[marks] == END]
-    inner = marks[t[marks] != END]
+    """The marks (end marks left out) in the order of their suffixes.
+
+    Of equal substrings from mark to mark one is induced; the others share its name.
+    """
+    which = np.flatnonzero(t[marks] != END)
+    inner = marks[which]
     if not len(inner):
         return inner
-    start = np.concatenate((ends, inner[np.argsort(t[inner], kind="stable")]))
-    large = induce(t, small, symbols, _by_symbol(t, start, np.zeros(len(start))), True, memory, None)
-    down = induce(t, small, symbols, {c: x[:, ::-1] for c, x in large.items()}, False, memory, None)
-    is_mark = np.zeros(len(t), bool)
-    is_mark[inner] = True
-    found = [down[c][0, ::-1] for c in symbols if c in down]
-    order = np.concatenate(found)
-    order = order[is_mark[order]]
-    after = np.zeros(len(t), np.int64)
-    after[marks[:-1]] = marks[1:]
-    nxt = after[order]
-    h = C.Stretches(C.mix(t.astype(np.uint64) + np.uint64(1))).hash(order, nxt + 1)
-    name = np.cumsum(np.concatenate(([True], h[1:] != h[:-1])))
-    if name[-1] == len(order):
+    h = C.Stretches(C.mix(t.astype(np.uint64) + np.uint64(1))).hash(inner, marks[which + 1] + 1)
+    by = np.argsort(h)
+    h = h[by]
+    heads = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+    group = np.full(len(t), -1, np.int32)
+    group[inner[by[heads]]] = np.arange(len(heads))
+    needed, start = reached(group >= 0, marks)
+    start = start[np.argsort(t[start], kind="stable")]  # end marks come first
+    large = induce(t, small, symbols, _by_symbol(t, start, np.zeros(len(start))), True, memory, None, needed)
+    down = induce(t, small, symbols, {c: x[:, ::-1] for c, x in large.items()}, False, memory, None, needed)
+    order = np.concatenate([down[c][0, ::-1] for c in symbols if c in down])
+    order = order[group[order] >= 0]
+    if len(heads) == len(inner):
         return order
-    named = np.zeros(len(t), np.int64)
-    named[order] = name
-    short = named[marks]  # the sequence of names; end marks stay end marks
-    if name[-1] <= FEW_NAMES and len(short) > SHORT:
+    name = np.empty(len(heads), np.int64)
+    name[group[order]] = np.arange(1, len(heads) + 1)
+    short = np.zeros(len(marks), np.int64)  # the sequence of names; end marks stay end marks
+    short[which[by]] = np.repeat(name, np.diff(np.append(heads, len(inner))))
+    if len(heads) <= FEW_NAMES and len(short) > SHORT:
         return marks[suffix_order(short, memory, carry=False)[0]]
     return marks[doubled_order(short)]
 
@@ -304,25 +327,31 @@ FEW_NAMES = 2048
 SHORT = 64
 
 
-def suffix_order(t: np.ndarray, memory: int = 64 << 20, carry: bool = True) -> tuple[np.ndarray, np.ndarray | None]:
+def suffix_order(t: np.ndarray, memory: int = 64 << 20, carry: bool = True,
+                 wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """All suffixes in order (end marks left out), and with ``carry`` the
-    common prefix of each with the one before it; prefixes end at end marks."""
+    common prefix of each with the one before it; prefixes end at end marks.
+    With ``wanted`` (flags) only these and the suffixes they are induced through."""
     if not len(t):
         return np.empty(0, np.int64), np.empty(0, np.int64)
     small = suffix_types(t)
     marks = marks_of(t, small)
     symbols = np.flatnonzero(np.bincount(t)).tolist()
     inner = sorted_marks(t, small, marks, symbols, memory)
+    needed, start = reached(t != END if wanted is None else wanted, marks)
+    begins = np.zeros(len(t), bool)
+    begins[start] = True
+    inner = inner[begins[inner]]
     run_length = None
     lcp = np.zeros(len(inner), np.int64)
     if carry:
         lcp = common_prefixes(t, inner)
         edge = np.flatnonzero(np.append(t[1:] != t[:-1], True))
         run_length = _next(edge) - np.arange(len(t)) + 1
-    ends = marks[t[marks] == END]
+    ends = start[t[start] == END]
     seeds = _by_symbol(t, np.concatenate((ends, inner)), np.concatenate((np.zeros(len(ends), np.int64), lcp)))
-    large = induce(t, small, symbols, seeds, True, memory, run_length)
-    down = induce(t, small, symbols, _down_seeds(large), False, memory, run_length)
+    large = induce(t, small, symbols, seeds, True, memory, run_length, needed)
+    down = induce(t, small, symbols, _down_seeds(large), False, memory, run_length, needed)
     pos, out = [], []
     for c in symbols:
         up_part, down_part = large.get(c), down.get(c)

@@ -57,7 +57,11 @@ def sources(table: pa.Table, length: int, memory: int = QUEUE_BYTES) -> pa.Table
     inside[begin + size] = False
     t[inside] = flat.astype(kind) + kind(1)
     del texts
-    pos, lcp = induced.suffix_order(t, memory)
+    windows = size - length + 1
+    at = np.repeat(begin, windows) + np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+    wanted = np.zeros(len(t), bool)
+    wanted[at] = True  # no window starts in the last bytes of a stretch
+    pos, lcp = induced.suffix_order(t, memory, wanted=wanted)
     seg_of = np.repeat(np.arange(len(size)), size + 1)
     # stretches are in document order and their windows do not overlap, so
     # the smallest place in the shard is the first in the corpus
@@ -68,8 +72,6 @@ def sources(table: pa.Table, length: int, memory: int = QUEUE_BYTES) -> pa.Table
     source = np.arange(len(t))
     if len(heads):
         source[pos] = np.repeat(np.minimum.reduceat(pos, heads), np.diff(np.append(heads, len(pos))))
-    windows = size - length + 1
-    at = np.repeat(begin, windows) + np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
     src, seg = source[at], seg_of[at]
     cut = np.flatnonzero((np.diff(seg) != 0) | (np.diff(src) != 1) | (np.diff(seg_of[src]) != 0)) + 1
     lo = np.concatenate(([0], cut)) if len(at) else cut

@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.llm import chat, common, decontaminate, induced, jaccard, language, line_quality, line_rules, mixing
@@ -127,6 +128,45 @@ def test_induced_order_and_prefixes(monkeypatch, few_names):
             assert a[:n] == b[:n] and a[n:n + 1] != b[n:n + 1] or n == min(len(a), len(b))
 
 
+@pytest.mark.parametrize("few_names", [3, 10**9])
+def test_wanted_suffixes_have_the_same_order_and_prefixes(monkeypatch, few_names):
+    monkeypatch.setattr(induced, "SHORT", 4)
+    monkeypatch.setattr(induced, "FEW_NAMES", few_names)
+    rnd = random.Random(few_names + 1)
+    for _ in range(150):
+        size = rnd.choice([1, 2, 4, 50])
+        parts = [[rnd.randint(1, size) for _ in range(rnd.randint(1, 25))] for _ in range(rnd.randint(1, 8))]
+        parts += [*parts[:2], [1] * 9, [1] * 9 + [2]]
+        t = np.array([x for p in parts for x in [*p, 0]], rnd.choice([np.uint8, np.uint16]))
+        wanted = (t != 0) & (np.random.default_rng(len(t)).random(len(t)) < rnd.choice([0, 0.1, 0.6]))
+        pos, lcp = induced.suffix_order(t, rnd.choice([64, 1 << 20]), wanted=wanted)
+        ends = np.flatnonzero(t == 0)
+        suffixes = [tuple(t[i:ends[np.searchsorted(ends, i)]].tolist()) for i in pos]
+        assert suffixes == sorted(suffixes) and len(set(pos.tolist())) == len(pos)
+        assert set(np.flatnonzero(wanted).tolist()) <= set(pos.tolist())
+        for a, b, n in zip(suffixes, suffixes[1:], lcp[1:]):
+            assert a[:n] == b[:n] and a[n:n + 1] != b[n:n + 1] or n == min(len(a), len(b))
+
+
+def test_only_suffixes_that_start_windows_are_put_in_order(monkeypatch):
+    """A stretch of 120 bytes has 21 windows of 100; the other suffixes need no prefixes."""
+    counted, induce = [], induced.induce
+
+    def counting(*args):
+        out = induce(*args)
+        counted.append((args[6] is not None, sum(x.shape[1] for x in out.values())))
+        return out
+
+    monkeypatch.setattr(induced, "induce", counting)
+    rnd = random.Random(9)
+    texts = [bytes(rnd.choice(b"abcdefgh ") for _ in range(120)) for _ in range(200)]
+    n = len(texts)
+    substrings.sources(pa.table({"key": [7] * n, "content": range(n), "first_doc": range(n), "first_tag": [0] * n,
+                                 "first_start": [0] * n, "bytes": pa.array(texts, pa.binary())}), 100)
+    assert n * 21 <= sum(x for carried, x in counted if carried) <= n * 30
+    assert sum(x for carried, x in counted if not carried) < n * 100
+
+
 def shingles(text, k):
     w = [x.lower() for x in words(text)]
     return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
