@@ -28,7 +28,9 @@ def describe_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {database}" if database else "SHOW TABLES")
+    """Tables of the database; without one, those of the current database and the
+    session's temporary views, which are in no database."""
+    return spark.sql(f"SHOW TABLES IN {database}").where("not isTemporary") if database else spark.sql("SHOW TABLES")
 
 
 @contextlib.contextmanager

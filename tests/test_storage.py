@@ -104,6 +104,15 @@ def test_database_is_restored_also_after_an_error(spark):
     spark.sql("DROP DATABASE tessera_test_db")
 
 
+def test_temporary_views_are_in_no_database(spark):
+    spark.range(1).createOrReplaceTempView("of_the_session")
+    try:
+        assert I.list_tables(spark, "default").where("tableName = 'of_the_session'").count() == 0
+        assert I.list_tables(spark).where("tableName = 'of_the_session' and isTemporary").count() == 1
+    finally:
+        spark.catalog.dropTempView("of_the_session")
+
+
 # --- lifetimes --------------------------------------------------------------------------
 
 def persistent(spark):
