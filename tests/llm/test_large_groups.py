@@ -328,3 +328,21 @@ def test_arrow_batches_of_texts_are_bounded_in_bytes(spark):
         assert spark.conf.get(common.ARROW_BYTES) == "3m"
     finally:
         spark.conf.unset(common.ARROW_BYTES)
+
+
+def test_parquet_reader_decodes_few_texts_at_a_time(spark, tmp_path):
+    common.prepare(spark)
+    path = str(tmp_path / "documents.parquet")
+    spark.range(0, 4000, 1, 1).select("id", F.repeat(F.lit("x"), 2000).alias("text")).write.parquet(path)
+    read = spark.read.parquet(path).select(F.length("text").alias("n"))
+    assert sum(r.n for r in read.collect()) == 8_000_000
+    node = read._jdf.queryExecution().executedPlan()
+    while not node.metrics().contains("numInputBatches"):
+        node = node.children().apply(0)
+    assert node.metrics().apply("numInputBatches").value() >= 4000 // 512
+    spark.conf.set(common.READER_ROWS, "3000")  # a bound of the session's own stays
+    try:
+        common.prepare(spark)
+        assert spark.conf.get(common.READER_ROWS) == "3000"
+    finally:
+        spark.conf.unset(common.READER_ROWS)
