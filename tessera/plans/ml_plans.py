@@ -20,6 +20,7 @@ from ..ml import models as MO
 from ..ml import pipelines as PL
 from ..ml import tuning as TU
 from ..ml.experiments import run_experiments
+from ..ml.forests import CountedForestClassifier
 from ..operators.sampling import hash_split
 from ..operators.stats import typed_crosstab
 from ..session import scratch_path
@@ -495,14 +496,13 @@ FOREST_GRID = {"maxDepth": [5, 10, 20], "numTrees": [20, 50, 100], "subsamplingR
 @query("m24_validator_as_last_stage", None, "M24 M12 M20 M21")
 def m24_validator_as_last_stage(spark, d, forest_grid=FOREST_GRID):
     from pyspark.ml import Pipeline
-    from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
     from pyspark.ml.tuning import TrainValidationSplit
 
     data = _rated_customers(spark, d).drop("reviewed").withColumn("star_rating", F.col("star_rating").cast("double"))
     train, test = hash_split(data, ["id"], 0.7)
-    clf = RandomForestClassifier(featuresCol="features", labelCol="star_rating", seed=12345)
+    clf = CountedForestClassifier(featuresCol="features", labelCol="star_rating", seed=12345)
     grid = TU.param_grid({clf.getParam(name): values for name, values in forest_grid.items()})
     stages = [PL.prepared_rows("NOT boolean(cancelled)", {"reviewed": "isnotnull(review)"}),
               StringIndexer(inputCol="segment", outputCol="segment_index"),
@@ -518,7 +518,7 @@ def m24_validator_as_last_stage(spark, d, forest_grid=FOREST_GRID):
     finally:
         train.unpersist()
     best = model.stages[-1].bestModel
-    scored = model.transform(test).withColumn("prediction_baseline", F.lit(5.0))
+    scored = model.transform(TU.spread_rows(test, "id")).withColumn("prediction_baseline", F.lit(5.0))
     acc = EV.accuracy_aggregate(scored, "star_rating", accuracy_model="prediction",
                                 accuracy_baseline="prediction_baseline").first()
     return spark.createDataFrame(
