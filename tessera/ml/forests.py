@@ -15,6 +15,7 @@ import math
 import threading
 import time
 import uuid
+import weakref
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,10 @@ MOST_CELLS = 4_000_000
 CELLS_AT_ONCE = 500_000
 #: classes that MLlib infers from labels at most; its error is raised beyond that
 MOST_CLASSES = 100
+#: nodes of the models of one grid that the driver holds at once (about 200 bytes each), if one model alone has no more
+MOST_NODES = 1_000_000
+#: seconds after which a model is loaded all the same, as those before it may be held for good
+LONGEST_WAIT = 600
 EPSILON = 2.0 ** -52
 
 NODE = ("treeID int, nodeData struct<id: int, prediction: double, impurity: double, impurityStats: array<double>, "
@@ -324,6 +329,30 @@ def _subset(strategy: str, trees: int, width: int) -> int | None:
     return sizes.get(strategy)
 
 
+class _Room:
+    """Models of a grid wait here to be loaded until those in use leave room; a model leaves when nobody refers to it.
+    A thread whose last model is still inside does not wait: its caller keeps the models."""
+
+    def __init__(self):
+        self.inside, self.changed = {}, threading.Condition()
+
+    def enter(self, ticket: str, nodes: int) -> None:
+        me = threading.get_ident()
+
+        def fits():
+            inside = self.inside.values()
+            return not inside or me in (who for who, _ in inside) or sum(n for _, n in inside) + nodes <= MOST_NODES
+
+        with self.changed:
+            self.changed.wait_for(fits, LONGEST_WAIT)
+            self.inside[ticket] = me, nodes
+
+    def leave(self, ticket: str) -> None:
+        with self.changed:
+            self.inside.pop(ticket, None)
+            self.changed.notify_all()
+
+
 class CountedForestClassifier(RandomForestClassifier):
     """``RandomForestClassifier`` whose trees are grown from counted rows.
 
@@ -335,12 +364,13 @@ class CountedForestClassifier(RandomForestClassifier):
     """
 
     def fitMultiple(self, dataset, paramMaps):
-        """Rows are counted once for all maps that agree in the columns, bins and seed."""
-        estimator, shared, lock = self.copy(), {}, threading.Lock()
+        """Rows are counted once for all maps that agree in the columns, bins and seed.  Trees of several maps may grow
+        at once; their models come one after another where the driver would hold over ``MOST_NODES``."""
+        estimator, shared, lock, room = self.copy(), {}, threading.Lock(), _Room()
 
         def one(index):
             own = estimator.copy(paramMaps[index])
-            own._shared = shared, lock
+            own._shared = shared, lock, room
             return own._fit(dataset)
 
         return _FitMultipleIterator(one, len(paramMaps))
@@ -350,7 +380,7 @@ class CountedForestClassifier(RandomForestClassifier):
         plain = not self.isDefined(self.weightCol) or not self.getWeightCol()
         if not (width_free and plain) or "ml_attr" in dataset.schema[self.getLabelCol()].metadata:
             return super()._fit(dataset)
-        shared, lock = getattr(self, "_shared", ({}, threading.Lock()))
+        shared, lock, room = getattr(self, "_shared", None) or ({}, threading.Lock(), _Room())
         columns = self.getFeaturesCol(), self.getLabelCol()
         key, counted = (*columns, self.getMaxBins(), self.getSeed()), None
         with lock:
@@ -361,7 +391,7 @@ class CountedForestClassifier(RandomForestClassifier):
                 if key not in shared:
                     shared[key] = counted_rows(dataset, *key, rows, classes)
                 counted = shared[key]
-        return super()._fit(dataset) if counted is None else self._grown(dataset.sparkSession, counted, rows)
+        return super()._fit(dataset) if counted is None else self._grown(dataset.sparkSession, counted, rows, room)
 
     def _rows_and_classes(self, dataset):
         y = F.col(self.getLabelCol()).cast("double")
@@ -372,7 +402,7 @@ class CountedForestClassifier(RandomForestClassifier):
             raise ValueError(f"{found.bad} rows have no features, or a label that is no class number")
         return found.n, int(found.top or 0) + 1
 
-    def _grown(self, spark, counted: CountedRows, rows: int):
+    def _grown(self, spark, counted: CountedRows, rows: int, room: _Room):
         trees, sc = self.getNumTrees(), spark.sparkContext
         folder = scratch_path(spark, "forest")
         self._write_metadata(spark, folder, counted)
@@ -385,9 +415,15 @@ class CountedForestClassifier(RandomForestClassifier):
                              min_weight=self.getMinWeightFractionPerNode() * rows)
             spark.range(0, trees, 1, min(trees, sc.defaultParallelism)).mapInArrow(grown, NODE) \
                 .write.parquet(f"{folder}/data")
-            model = RandomForestClassificationModel.load(folder)
         finally:
             sent.destroy()
+        room.enter(folder, trees * min(2 ** (self.getMaxDepth() + 1), 2 * len(counted.counts)))
+        try:
+            model = RandomForestClassificationModel.load(folder)
+        except BaseException:
+            room.leave(folder)
+            raise
+        weakref.finalize(model, room.leave, folder)
         path, files = _path(spark, folder)
         files.delete(path, True)
         return self._copyValues(model)

@@ -119,3 +119,19 @@ def test_deep_points_of_the_validator_stage_need_no_pass_a_level(spark, counting
     row = P.m24_validator_as_last_stage(spark, SF_SMALL, grid).first()
     assert not counting and len(calls) == 2  # once for the points, once for the refit
     assert row.max_depth in (3, 12) and row.num_trees == 10 and 0 < row.accuracy_model < 1
+
+
+def test_models_of_a_grid_wait_for_room_and_all_come(spark, data, counting, monkeypatch):
+    """The driver holds few large models at once; held ones do not stop the rest for good."""
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.tuning import TrainValidationSplit
+
+    most, enter = [], FO._Room.enter
+    monkeypatch.setattr(FO, "MOST_NODES", 10)
+    monkeypatch.setattr(FO._Room, "enter", lambda self, *a: (enter(self, *a), most.append(len(self.inside))))
+    est = FO.CountedForestClassifier(maxDepth=6, seed=1)
+    grid = [{est.numTrees: n} for n in (2, 3, 4, 5)]
+    fit = TrainValidationSplit(estimator=est, estimatorParamMaps=grid, seed=3, parallelism=4,
+                               evaluator=MulticlassClassificationEvaluator(metricName="accuracy")).fit(data)
+    assert most == [1] * 5 and len(fit.validationMetrics) == 4 and not counting
+    assert [m.getNumTrees for m in est.fit(data, grid)] == [2, 3, 4, 5]
